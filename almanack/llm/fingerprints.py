@@ -120,10 +120,12 @@ def with_next(docs: DataFrame) -> DataFrame:
         steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
         bounds = F.array(*map(F.lit, cuts))
         part = F.aggregate(steps, F.lit(0), lambda acc, s: F.when((acc + s <= len(cuts)) & (F.get(bounds, acc + s - 1) < F.col("doc_id")), acc + s).otherwise(acc))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("sigs", signatures(F.col("text"))).withColumn("part", F.coalesce(part, F.lit(0)))
+    # only texts are dealt, once for both uses; signatures follow where the rows end up
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(part, F.lit(0)).alias("part")).repartition("part")
     order = Window.partitionBy("part").orderBy(F.col("doc_id").asc_nulls_first(), "text")
-    ranged = rows.select("*", F.lag(F.struct("text", "sigs")).over(order).alias("below"), F.lead(F.lit(True)).over(order).isNull().alias("top"))
-    tops = ranged.where("top").select("part", F.struct("text", "sigs").alias("of"))
+    ranged = rows.withColumn("sigs", signatures(F.col("text"))).withColumn("below", F.lag(F.struct("text", "sigs")).over(order))
+    top = rows.withColumn("top", F.lead(F.lit(True)).over(order).isNull()).where("top")
+    tops = top.select("part", F.struct("text", signatures(F.col("text")).alias("sigs")).alias("of"))
     # one row per range, at most 4096
     across = Window.orderBy("part")
     whole = Window.partitionBy()
