@@ -29,6 +29,7 @@ CELLS = 1 << 20
 #: Standard errors by which the rates must differ.
 SIGNIFICANT = 4.0
 _PIECE = 1 << 19
+_LOT = 256
 _U = np.uint64
 _BASE = _U(0x9FB21C651E98DF25)
 
@@ -78,15 +79,18 @@ def present(texts, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.nda
 
 def fit(texts: list[str], y: np.ndarray, steps: int = 150, penalty: float = 1e-3) -> tuple[np.ndarray, float]:
     """Weights of all cells (scaled by their ratios) and the intercept."""
-    rows, cells = present(texts)
     n1, n0 = max(1, int(y.sum())), max(1, int((1 - y).sum()))
-    p = np.bincount(cells, weights=y[rows], minlength=CELLS)
-    q = np.bincount(cells, weights=1 - y[rows], minlength=CELLS)
+    p, q = np.zeros(CELLS), np.zeros(CELLS)
+    for at in range(0, len(texts), _LOT):  # first the rates, then only the n-grams that count: memory stays small
+        rows, cells = present(texts[at : at + _LOT])
+        toxic = y[at : at + _LOT][rows] == 1
+        p += np.bincount(cells[toxic], minlength=CELLS)
+        q += np.bincount(cells[~toxic], minlength=CELLS)
     a, b = (p + 1) / (n1 + 2), (q + 1) / (n0 + 2)
     z = (a - b) / np.sqrt(a * (1 - a) / n1 + b * (1 - b) / n0)
     r = np.where((np.abs(z) >= SIGNIFICANT) & (p + q >= 5), np.log(a / b), 0.0)
-    keep = r[cells] != 0
-    rows, cells = rows[keep], cells[keep]
+    parts = [(at, *present(texts[at : at + _LOT], r != 0)) for at in range(0, len(texts), _LOT)]
+    rows, cells = np.concatenate([rows + at for at, rows, _ in parts]), np.concatenate([cells for _, _, cells in parts])
     used, column = np.unique(cells, return_inverse=True)
     ratio = r[used]
     x = ratio[column]
