@@ -27,7 +27,7 @@ GRAMS = (3, 4, 5)
 #: Feature cells: the model that is broadcast has this many weights of 4 bytes.
 CELLS = 1 << 20
 #: Standard errors by which the rates must differ.
-SIGNIFICANT = 4.0
+SIGNIFICANT = 3.0
 _PIECE = 1 << 19
 _LOT = 256
 _U = np.uint64
