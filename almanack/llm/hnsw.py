@@ -123,7 +123,7 @@ class Graph:
     def _entries(self, queries: np.ndarray, layer: int, done: int) -> np.ndarray:
         entry = np.zeros((len(queries), 1), np.int64)
         for k in reversed(range(layer + 1, len(self.sizes))):
-            size = min(self.sizes[k], done) if layer == 0 else self.sizes[k]
+            size = min(self.sizes[k], done)
             if size > 1:
                 links = self.layers[k][:size]
                 entry, _ = beam_search(self.vectors[:size], np.where(links < size, links, -1), queries, entry, min(8, size))
