@@ -22,23 +22,25 @@ Empty tables give no rows; of extra columns none is read.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import hashing as H
-from . import trie
+from . import marks, trie
 from .blocks import block_tasks
 from .common import components, settle, ship, table
 
 N = 4
 PERCENT = 85
-#: Cells in which n-grams are counted: the size of the only table that is broadcast (8 bytes each).
-CELLS = 1 << 18
+#: Cells in which n-grams are counted; their levels (1 byte each) are broadcast.
+CELLS = 1 << 22
 #: n-grams that a cell of a task holds at most (but for a single set that is larger).
 TASK_GRAMS = 1 << 20
-_SHARD = 1 << 12
+_SHARD = 1 << 16
 
 
 def grams(texts, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -70,29 +72,35 @@ def _count_cells(n: int):
         for pdf in batches:
             hashes, _ = grams(pdf["text"].tolist(), n)
             counts += np.bincount(_cell(hashes).astype(np.int64), minlength=CELLS)
-        counts = counts.astype(np.uint32 if counts.max() < 1 << 32 else np.uint64).reshape(-1, _SHARD)
         if counts.any():
-            yield pd.DataFrame({"shard": np.arange(len(counts), dtype=np.int32), "counts": [c.tobytes() for c in counts], "wide": counts.dtype.itemsize == 8})
+            shards = counts.reshape(-1, _SHARD)
+            yield pd.DataFrame({"shard": np.arange(len(shards), dtype=np.int32), "counts": [_packed(c) for c in shards]})
 
     return run
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Most counts are small: the byte planes of a shard deflate well."""
+    return zlib.compress(np.ascontiguousarray(counts.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+
+
 def _sum_cells(pdf: pd.DataFrame) -> pd.DataFrame:
-    total = np.zeros(_SHARD, np.uint64)
-    for c, wide in zip(pdf["counts"], pdf["wide"]):
-        total += np.frombuffer(c, np.uint64 if wide else np.uint32)
-    return pd.DataFrame({"shard": pdf["shard"][:1], "counts": [total.tobytes()], "wide": [True]})
+    return pd.DataFrame({"shard": pdf["shard"][:1], "counts": [_packed(sum(_unpacked(c) for c in pdf["counts"]))]})
 
 
 def cell_levels(docs: DataFrame, n: int) -> np.ndarray:
     """For each cell, how far its count is above the ordinary: 0, or the power of two."""
-    schema = "shard int, counts binary, wide boolean"
+    schema = "shard int, counts binary"
     shards = docs.select("text").mapInPandas(_count_cells(n), schema).groupBy("shard").applyInPandas(_sum_cells, schema)
-    counts = np.zeros((CELLS // _SHARD, _SHARD), np.uint64)
+    counts = np.zeros((CELLS // _SHARD, _SHARD), np.float32)
     for row in shards.collect():  # CELLS counts in all
-        counts[row["shard"]] = np.frombuffer(row["counts"], np.uint64)
-    counts = counts.ravel().astype(float)
-    return np.floor(np.log2(np.maximum(counts / (4 * max(1.0, counts.mean())), 1.0))).astype(np.int8)
+        counts[row["shard"]] = _unpacked(row["counts"])
+    counts = counts.ravel()
+    return np.floor(np.log2(np.maximum(counts / (2 * max(1.0, float(counts.mean(dtype=np.float64)))), 1.0))).astype(np.int8)
 
 
 _SET = "key long, doc_id string, n int, k1 long, k2 long, head array<long>"
@@ -120,24 +128,21 @@ def _describe(n: int, percent: int, levels):
     return run
 
 
-_PAYLOAD = "node long, grams binary"
-
-
-def _pack(n: int):
+def _pick(bits):
     def run(batches):
         for pdf in batches:
-            hashes, offsets = grams(pdf["text"].tolist(), n)
-            yield pd.DataFrame({"node": pdf["key"], "grams": [hashes[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]})
+            yield pdf[marks.marked(bits.value, pdf["key"].to_numpy())]
 
     return run
 
 
-def _join(percent: int):
+def _join(n: int, percent: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = [], []
         for _, block in pdf.groupby("block", sort=False):
             nodes = block["node"].to_numpy()
-            for i, j in trie.links([np.frombuffer(g, np.uint64) for g in block["grams"]], block["cell"].to_numpy(), percent):
+            hashes, offsets = grams(block["text"].tolist(), n)
+            for i, j in trie.links(np.split(hashes, offsets[1:-1]), block["cell"].to_numpy(), percent):
                 a.append(nodes[i])
                 b.append(nodes[j])
         return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
@@ -169,9 +174,11 @@ def link_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
     members = classes.join(blocks, "cls").select(F.col("cls").alias("node"), "block", "n", F.col("n").cast("long").alias("weight"))
     members = settle(members, "members")
     tasks = block_tasks(members, percent / 100, TASK_GRAMS)
-    texts = rows.join(members.select(F.col("node").alias("key")), "key", "left_semi").select("key", "text").dropDuplicates(["key"])
-    payload = texts.mapInPandas(_pack(n), _PAYLOAD)
-    found = tasks.join(payload, "node").groupBy("task").applyInPandas(_join(percent), "a long, b long")
+    # only texts of candidates leave the scan
+    bits = marks.bitmap(members.select(F.col("node").alias("key")))
+    texts = rows.select("key", "text").mapInPandas(_pick(bits), "key long, text string").join(members.select(F.col("node").alias("key")), "key", "left_semi")
+    texts = texts.dropDuplicates(["key"]).withColumnRenamed("key", "node")
+    found = tasks.join(texts, "node").groupBy("task").applyInPandas(_join(n, percent), "a long, b long")
     linked = components(found).select(F.col("node").alias("cls"), F.col("component").alias("root"))
     rooted = classes.join(linked, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     lowest = rooted.groupBy("root").agg(F.min("first_doc").alias("lowest"))
