@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import hashing as H
-from . import trie
+from . import marks, trie
 from .blocks import block_tasks
 from .common import components, settle, ship, table
 
@@ -38,9 +38,6 @@ PERCENT = 80
 #: Bins of 48 that must agree before sets are compared; at a coefficient of 0.8, 38 do on average.
 AGREE = 24
 TASK_RUNS = 1 << 20
-#: Bits of the bitmap by which the second reading passes over lines without candidates (2 MB, whatever the input).
-BITMAP = 1 << 24
-_SHARD = 1 << 12
 _U = np.uint64
 _BASE = _U(0x2127599BF4325C37)
 
@@ -115,7 +112,7 @@ def signatures(lines: list[str]) -> np.ndarray:
     return out
 
 
-_LINE = "key long, doc_id string, number int, line long, n int, bands array<long>, bins binary"
+_LINE = "key long, doc_id string, number int, line long, n int, bins binary"
 
 
 def _read_lines(batches):
@@ -123,63 +120,40 @@ def _read_lines(batches):
         keys, ids = pdf["key"].to_numpy(), pdf["doc_id"].to_numpy(object)
         for owner, number, lines in _batches(pdf):
             h = _line_hashes(lines)
+            # a signature, one byte of each bin, goes with the first of equal lines of a lot
             _, first = np.unique(h, return_index=True)
-            sig = signatures([lines[i] for i in first.tolist()])
-            # signatures go with the first of equal lines of a lot
-            bands, bins = np.full(len(lines), None, object), np.full(len(lines), None, object)
-            banded = np.zeros((len(first), BINS // BAND), _U)
-            for k in range(BAND):
-                banded = H.mix(banded + sig[:, k::BAND] + _U(k + 1))
-            banded = H.mix(banded + np.arange(BINS // BAND, dtype=_U)).view(np.int64)
-            small = H.mix(sig).astype(np.uint8)
+            small = H.mix(signatures([lines[i] for i in first.tolist()])).astype(np.uint8)
+            bins = np.full(len(lines), None, object)
             for row, i in enumerate(first.tolist()):
-                bands[i] = banded[row]
                 bins[i] = small[row].tobytes()
-            yield pd.DataFrame({"key": keys[owner], "doc_id": ids[owner], "number": number.astype(np.int32), "line": h, "n": np.array([len(x) for x in lines], np.int32), "bands": bands, "bins": bins})
+            yield pd.DataFrame({"key": keys[owner], "doc_id": ids[owner], "number": number.astype(np.int32), "line": h, "n": np.array([len(x) for x in lines], np.int32), "bins": bins})
 
 
-def _mark(batches):
-    bits = np.zeros(BITMAP // 8, np.uint8)
-    for pdf in batches:
-        at = pdf["node"].to_numpy().view(_U) & _U(BITMAP - 1)
-        np.bitwise_or.at(bits, (at >> _U(3)).astype(np.int64), (_U(1) << (at & _U(7))).astype(np.uint8))
-    shards = bits.reshape(-1, _SHARD)
-    some = np.flatnonzero(shards.any(axis=1)).astype(np.int32)
-    yield pd.DataFrame({"shard": some, "bits": [shards[i].tobytes() for i in some.tolist()]})
-
-
-def _join_marks(pdf: pd.DataFrame) -> pd.DataFrame:
-    total = np.zeros(_SHARD, np.uint8)
-    for b in pdf["bits"]:
-        total |= np.frombuffer(b, np.uint8)
-    return pd.DataFrame({"shard": pdf["shard"][:1], "bits": [total.tobytes()]})
-
-
-def _fetch(marks):
+def _fetch(bits):
     def run(batches):
-        bits = marks.value
         for pdf in batches:
             for _, _, lines in _batches(pdf):
                 h = _line_hashes(lines)
-                at = h.view(_U) & _U(BITMAP - 1)
-                hit = ((bits[(at >> _U(3)).astype(np.int64)] >> (at & _U(7)).astype(np.uint8)) & 1).astype(bool)
-                where = np.flatnonzero(hit)
+                where = np.flatnonzero(marks.marked(bits.value, h))
                 where = where[np.unique(h[where], return_index=True)[1]]
-                if not len(where):
-                    continue
-                hashes, owner = _runs([lines[i] for i in where.tolist()])
-                sets = [np.unique(s) for s in np.split(hashes, np.flatnonzero(np.diff(owner)) + 1)]
-                yield pd.DataFrame({"node": h[where], "n": np.array([len(s) for s in sets], np.int32), "grams": [s.tobytes() for s in sets]})
+                if len(where):
+                    lines = [lines[i] for i in where.tolist()]
+                    yield pd.DataFrame({"node": h[where], "n": np.array([len(s) for s in _sets(lines)], np.int32), "text": lines})
 
     return run
 
 
+def _sets(lines: list[str]) -> list[np.ndarray]:
+    hashes, owner = _runs(lines)
+    return [np.unique(s) for s in np.split(hashes, np.flatnonzero(np.diff(owner)) + 1)]
+
+
 def _compare(percent: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = [], []
         for _, block in pdf.groupby("block", sort=False):
             nodes = block["node"].to_numpy()
-            for i, j in trie.links([np.frombuffer(g, _U) for g in block["grams"]], block["cell"].to_numpy(), percent):
+            for i, j in trie.links(_sets(block["text"].tolist()), block["cell"].to_numpy(), percent):
                 a.append(nodes[i])
                 b.append(nodes[j])
         return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
@@ -188,25 +162,21 @@ def _compare(percent: int):
 
 
 def line_links(docs: DataFrame, lines: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links ``a, b`` between the distinct lines (``line, bands, bins``) of ``docs``; between them they connect all that link."""
-    spark = docs.sparkSession
-    met = lines.select("line", F.explode("bands").alias("band"))
+    """Links ``a, b`` between the lines (``line, bins``) of ``docs``; between them they connect all that link."""
+    bands = F.array(*[F.xxhash64(F.lit(k), F.substring("bins", BAND * k + 1, BAND)) for k in range(BINS // BAND)])
+    met = lines.select("line", F.explode(bands).alias("band"))
     first = F.first("line").over(Window.partitionBy("band").orderBy("line"))
     edges = met.select(first.alias("a"), F.col("line").alias("b")).where("a != b").distinct()
-    bins = lines.select("line", "bins")
+    bins = lines.dropDuplicates(["line"])
     edges = edges.join(bins.select(F.col("line").alias("a"), F.col("bins").alias("x")), "a").join(bins.select(F.col("line").alias("b"), F.col("bins").alias("y")), "b")
     pairs = F.zip_with(F.split(F.hex("x"), "(?<=\\G..)"), F.split(F.hex("y"), "(?<=\\G..)"), lambda x, y: x == y)
     edges = edges.where(F.size(F.filter(pairs, lambda same: same)) > AGREE)  # the empty string after the last bin agrees too
     blocks = settle(components(edges).select("node", F.col("component").alias("block")), "blocks")
-    shards = blocks.mapInPandas(_mark, "shard int, bits binary").groupBy("shard").applyInPandas(_join_marks, "shard int, bits binary")
-    marks = np.zeros((BITMAP // 8 // _SHARD, _SHARD), np.uint8)
-    for row in shards.collect():  # BITMAP bits in all
-        marks[row["shard"]] = np.frombuffer(row["bits"], np.uint8)
-    marked = spark.sparkContext.broadcast(marks.ravel())
-    sets = docs.select("text").mapInPandas(_fetch(marked), "node long, n int, grams binary").dropDuplicates(["node"])
-    sets = settle(sets.join(blocks, "node"), "sets")
+    bits = marks.bitmap(blocks.select(F.col("node").alias("key")))
+    sets = docs.select("text").mapInPandas(_fetch(bits), "node long, n int, text string")
+    sets = settle(sets.join(blocks, "node").dropDuplicates(["node"]), "sets")
     tasks = block_tasks(sets.select("node", "block", "n", F.col("n").cast("long").alias("weight")), percent / 100, TASK_RUNS)
-    return tasks.join(sets.select("node", "grams"), "node").groupBy("task").applyInPandas(_compare(percent), "a long, b long")
+    return tasks.join(sets.select("node", "text"), "node").groupBy("task").applyInPandas(_compare(percent), "a long, b long")
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -215,10 +185,10 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.col("doc_id").cast("string").alias("doc_id"), "text")
     seen = settle(rows.mapInPandas(_read_lines, _LINE), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("doc_id"), "key", "number")
-    lines = settle(seen.groupBy("line", "n").agg(F.first("bands", True).alias("bands"), F.first("bins", True).alias("bins"), F.min(place).alias("first"), F.max(place).alias("last")), "distinct")
-    united = components(line_links(rows, lines, percent)).select(F.col("node").alias("line"), F.col("component").alias("root"))
+    lines = settle(seen.groupBy("line", "n").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")), "distinct")
+    united = components(line_links(rows, seen.where("bins is not null").select("line", "bins"), percent)).select(F.col("node").alias("line"), F.col("component").alias("root"))
     # lines that occur once and link with nothing need no decision
-    classes = lines.select("line", "n", "first", "last").join(united, "line", "left").where("root is not null or first != last").withColumn("root", F.coalesce("root", "line"))
+    classes = lines.join(united, "line", "left").where("root is not null or times > 1").withColumn("root", F.coalesce("root", "line"))
     kept = classes.groupBy("root").agg(F.min("first").alias("kept"))
     decided = classes.join(kept, "root").select("line", "n", F.col("kept.key").alias("kept_key"), F.col("kept.number").alias("kept_number"))
     gone = seen.select("key", "number", "line", "n").join(decided, ["line", "n"]).where("key != kept_key or number != kept_number")
