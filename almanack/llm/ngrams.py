@@ -1,14 +1,19 @@
 """Operator 2: n-gram Jaccard join with a prefix tree.
 
-Method: a document's set is its distinct word n-grams.  All sets share one
-global order: n-grams that the corpus holds often come last (counts of all
-documents in a fixed number of cells), ties by hash.  Two sets that reach the
-threshold share an n-gram among the first few of each, so such n-grams give the
-candidates, chained in order of size; components of the candidate graph are
-blocks.  In a block the sets are stored in a prefix tree (:mod:`.trie`), which
-is traversed once per set, sharing partial overlaps and pruning subtrees by
+Method: a document's set is its distinct word n-grams.  The sets of a block are
+stored, in one global order of n-grams, in a prefix tree (:mod:`.trie`), which is
+traversed once per set, sharing partial overlaps and pruning subtrees by
 remaining length.  The links found are exact and connect all that link.
 
+Blocks keep apart what cannot link.  Two sets that reach the threshold differ
+in at most d n-grams, so if the hash space is cut into more than d parts, one part
+holds the same n-grams in both; the hash of a part's n-grams is a sign, and sets
+that share one are candidates.  The number of parts goes by size: sizes are
+cut into intervals so that partners lie in equal or adjacent ones, and a set gives its
+signs for its own interval and the next.  A part holds about six n-grams, so a
+passage that many documents share makes no candidates.  Candidates are
+chained in order of size; components of that graph are the blocks.
+
 Equal sets are one class throughout, so a group of copies costs one set.
 Texts travel once, and only those of classes with candidates are turned into
 sets again.  Blocks of any size are cut into bounded tasks (:mod:`.blocks`).
@@ -22,8 +27,6 @@ Empty tables give no rows; of extra columns none is read.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -36,11 +39,10 @@ from .common import components, settle, ship, table
 
 N = 4
 PERCENT = 85
-#: Cells in which n-grams are counted; their levels (1 byte each) are broadcast.
-CELLS = 1 << 22
+#: Parts beyond d + 1: as many may be empty in both sets before an empty part counts as a sign.
+SPARE = 3
 #: n-grams that a cell of a task holds at most (but for a single set that is larger).
 TASK_GRAMS = 1 << 20
-_SHARD = 1 << 16
 
 
 def grams(texts, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -62,68 +64,62 @@ def grams(texts, n: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(owner, np.arange(len(counts) + 1))
 
 
-def _cell(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(20)) & np.uint64(CELLS - 1)
-
-
-def _count_cells(n: int):
-    def run(batches):
-        counts = np.zeros(CELLS, np.int64)
-        for pdf in batches:
-            hashes, _ = grams(pdf["text"].tolist(), n)
-            counts += np.bincount(_cell(hashes).astype(np.int64), minlength=CELLS)
-        if counts.any():
-            shards = counts.reshape(-1, _SHARD)
-            yield pd.DataFrame({"shard": np.arange(len(shards), dtype=np.int32), "counts": [_packed(c) for c in shards]})
-
-    return run
-
-
-def _packed(counts: np.ndarray) -> bytes:
-    """Most counts are small: the byte planes of a shard deflate well."""
-    return zlib.compress(np.ascontiguousarray(counts.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
-
-
-def _unpacked(packed: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1).T).view(np.int64).ravel()
-
-
-def _sum_cells(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"shard": pdf["shard"][:1], "counts": [_packed(sum(_unpacked(c) for c in pdf["counts"]))]})
-
-
-def cell_levels(docs: DataFrame, n: int) -> np.ndarray:
-    """For each cell, how far its count is above the ordinary: 0, or the power of two."""
-    schema = "shard int, counts binary"
-    shards = docs.select("text").mapInPandas(_count_cells(n), schema).groupBy("shard").applyInPandas(_sum_cells, schema)
-    counts = np.zeros((CELLS // _SHARD, _SHARD), np.float32)
-    for row in shards.collect():  # CELLS counts in all
-        counts[row["shard"]] = _unpacked(row["counts"])
-    counts = counts.ravel()
-    return np.floor(np.log2(np.maximum(counts / (2 * max(1.0, float(counts.mean(dtype=np.float64)))), 1.0))).astype(np.int8)
-
-
-_SET = "key long, doc_id string, n int, k1 long, k2 long, head array<long>"
-
-
-def _describe(n: int, percent: int, levels):
+def intervals(longest: int, percent: int) -> np.ndarray:
+    """Upper ends of the size intervals up to one past that of ``longest``; the first is 0."""
+    ends = [0, 1]
+    while ends[-2] < longest:
+        ends.append((ends[-1] + 1) * 100 // percent)
+    ends.append((ends[-1] + 1) * 100 // percent)
+    return np.array(ends)
+
+
+def signs(hashes: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signs of all sets, one after the other, and their offsets.  Empty sets have none."""
+    sizes = np.diff(offsets)
+    ends = intervals(int(sizes.max(initial=1)), percent)
+    own = np.searchsorted(ends, sizes)
+    mixed = H.mix(hashes)
+    high = hashes >> np.uint64(32)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    out, of = [], []
+    for interval in (own, own + 1):
+        end = ends[np.minimum(interval, len(ends) - 1)]
+        parts = np.where(sizes > 0, 2 * end * (100 - percent) // (100 + percent) + 1 + SPARE, 0)
+        base = np.cumsum(parts) - parts
+        at = base[owner] + ((high * parts[owner].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+        total = np.zeros(int(parts.sum()), np.uint64)
+        np.add.at(total, at, mixed)
+        empty = np.bincount(at, minlength=len(total)) == 0
+        whose = np.repeat(np.arange(len(sizes)), parts)
+        number = (np.arange(len(total)) - base[whose]).astype(np.uint64)
+        sign = H.mix(total + H.mix((interval[whose].astype(np.uint64) << np.uint64(40)) + number + np.uint64(1)))
+        many = np.bincount(whose[empty], minlength=len(sizes)) > SPARE
+        keep = ~empty | many[whose]
+        out.append(sign[keep])
+        of.append(whose[keep])
+    whose = np.concatenate(of)
+    order = np.argsort(whose, kind="stable")
+    return np.concatenate(out)[order], np.searchsorted(whose[order], np.arange(len(sizes) + 1))
+
+
+_SET = "key long, doc_id string, n int, k1 long, k2 long, signs array<long>"
+
+
+def _describe(n: int, percent: int):
     def run(batches):
-        level = levels.value
         for pdf in batches:
-            hashes, offsets = grams(pdf["text"].tolist(), n)
-            sizes = np.diff(offsets)
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            zero = np.zeros(len(hashes) + 1, np.uint64)
-            sums = []
-            for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F):
-                np.cumsum(H.mix(hashes * np.uint64(salt) + np.uint64(salt >> 7)), out=zero[1:])
-                sums.append((zero[offsets[1:]] - zero[offsets[:-1]]).view(np.int64))
-            order = np.lexsort((hashes, level[_cell(hashes).astype(np.int64)], owner))
-            ordered = hashes[order].view(np.int64)
-            # a partner shares one of the first size - ceil(percent / 100 * size) + 1
-            head = sizes - -(-percent * sizes // 100) + 1
-            yield pd.DataFrame({"key": pdf["key"], "doc_id": pdf["doc_id"], "n": sizes.astype(np.int32), "k1": sums[0], "k2": sums[1],
-                                "head": [ordered[a : a + h] if s else ordered[:0] for a, h, s in zip(offsets[:-1], head, sizes)]})
+            for at in range(0, len(pdf), 512):
+                part = pdf.iloc[at : at + 512]
+                hashes, offsets = grams(part["text"].tolist(), n)
+                sums = []
+                for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F):
+                    total = np.zeros(len(hashes) + 1, np.uint64)
+                    np.cumsum(H.mix(hashes * np.uint64(salt) + np.uint64(salt >> 7)), out=total[1:])
+                    sums.append((total[offsets[1:]] - total[offsets[:-1]]).view(np.int64))
+                sign, ends = signs(hashes, offsets, percent)
+                sign = sign.view(np.int64)
+                yield pd.DataFrame({"key": part["key"].to_numpy(), "doc_id": part["doc_id"].to_numpy(object), "n": np.diff(offsets).astype(np.int32), "k1": sums[0], "k2": sums[1],
+                                    "signs": [sign[a:b] for a, b in zip(ends[:-1], ends[1:])]})
 
     return run
 
@@ -150,27 +146,25 @@ def _join(n: int, percent: int):
     return run
 
 
-def candidate_edges(heads: DataFrame, percent: int) -> DataFrame:
-    """Edges ``a, b`` between classes (``cls, n, head``) that share an n-gram of their heads and may reach the threshold by size.
+def candidate_edges(sets: DataFrame, percent: int) -> DataFrame:
+    """Edges ``a, b`` between classes (``cls, n, signs``) that share a sign and may reach the threshold by size.
 
     Chained in order of size: if the ends of a stretch may reach it, so may all neighbours between.
     """
-    shared = heads.select("cls", "n", F.explode("head").alias("gram"))
-    by = Window.partitionBy("gram").orderBy("n", "cls")
+    shared = sets.select("cls", "n", F.explode("signs").alias("sign"))
+    by = Window.partitionBy("sign").orderBy("n", "cls")
     chained = shared.select("cls", "n", F.lag("cls").over(by).alias("before"), F.lag("n").over(by).alias("n_before"))
-    return chained.where(f"before is not null and 100 * n_before >= {percent} * n").select(F.col("before").alias("a"), F.col("cls").alias("b")).distinct()
+    return chained.where(f"before is not null and before != cls and 100 * n_before >= {percent} * n").select(F.col("before").alias("a"), F.col("cls").alias("b")).distinct()
 
 
 def link_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs``: ``key, doc_id, n_shingles, component_id``; ``key`` is xxhash64 of id and text."""
-    spark = docs.sparkSession
-    ship(spark)
+    ship(docs.sparkSession)
     rows = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.col("doc_id").cast("string").alias("doc_id"), "text")
-    levels = spark.sparkContext.broadcast(cell_levels(docs, n))
-    sets = settle(rows.mapInPandas(_describe(n, percent, levels), _SET).withColumn("doc_id", F.col("doc_id").cast("long")), "sets")
+    sets = settle(rows.mapInPandas(_describe(n, percent), _SET).withColumn("doc_id", F.col("doc_id").cast("long")), "sets")
     classes = settle(sets.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("key").alias("cls"), F.min("doc_id").alias("first_doc")), "classes")
-    heads = sets.join(classes.select(F.col("cls").alias("key")), "key", "left_semi").select(F.col("key").alias("cls"), "n", "head")
-    blocks = components(candidate_edges(heads, percent)).select(F.col("node").alias("cls"), F.col("component").alias("block"))
+    singles = sets.join(classes.select(F.col("cls").alias("key")), "key", "left_semi").select(F.col("key").alias("cls"), "n", "signs")
+    blocks = components(candidate_edges(singles, percent)).select(F.col("node").alias("cls"), F.col("component").alias("block"))
     members = classes.join(blocks, "cls").select(F.col("cls").alias("node"), "block", "n", F.col("n").cast("long").alias("weight"))
     members = settle(members, "members")
     tasks = block_tasks(members, percent / 100, TASK_GRAMS)
@@ -183,7 +177,7 @@ def link_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
     rooted = classes.join(linked, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     lowest = rooted.groupBy("root").agg(F.min("first_doc").alias("lowest"))
     labels = rooted.join(lowest, "root").select("k1", "k2", "n", "lowest")
-    return sets.drop("head").join(labels, ["k1", "k2", "n"], "left").select("key", "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("lowest", "doc_id").alias("component_id"))
+    return sets.drop("signs").join(labels, ["k1", "k2", "n"], "left").select("key", "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("lowest", "doc_id").alias("component_id"))
 
 
 def first_of_each(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
