@@ -2,8 +2,8 @@
 
 Method: a line's set is its distinct runs of five characters.  One hash per
 run fills a signature of 48 bins (one-permutation MinHash, empty bins borrowing
-from the next); bands of four bins make lines meet.  Lines that meet and agree in
-half of their signatures are candidates; components of candidates are blocks,
+from the next); bands of four bins make lines meet.  Lines that meet and whose
+one-bit sketches of the signature agree well are candidates; components of candidates are blocks,
 cut into bounded tasks, in which the exact Jaccard coefficient of the whole sets is
 compared (0.8 or more links).  Links are united by star contraction
 (:func:`.common.components`), and of each component one line stays: the first
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import hashing as H
-from . import marks, trie
+from . import marks
 from .blocks import block_tasks
 from .common import components, settle, ship, table
 
@@ -35,9 +35,9 @@ RUN = 5
 BINS = 48
 BAND = 4
 PERCENT = 80
-#: Bins of 48 that must agree before sets are compared; at a coefficient of 0.8, 38 do on average.
-AGREE = 24
-TASK_RUNS = 1 << 20
+#: Bits of 48, one of each bin, that must agree before sets are compared; at a coefficient of 0.8, 43 do on average, of strangers half.
+AGREE = 33
+TASK_RUNS = 1 << 19
 _U = np.uint64
 _BASE = _U(0x2127599BF4325C37)
 
@@ -112,7 +112,7 @@ def signatures(lines: list[str]) -> np.ndarray:
     return out
 
 
-_LINE = "key long, doc_id string, number int, line long, n int, bins binary"
+_LINE = "key long, doc_id string, number int, line long, n int, bins binary, sketch long"
 
 
 def _read_lines(batches):
@@ -122,11 +122,14 @@ def _read_lines(batches):
             h = _line_hashes(lines)
             # a signature, one byte of each bin, goes with the first of equal lines of a lot
             _, first = np.unique(h, return_index=True)
-            small = H.mix(signatures([lines[i] for i in first.tolist()])).astype(np.uint8)
+            mixed = H.mix(signatures([lines[i] for i in first.tolist()]))
+            small = mixed.astype(np.uint8)
+            sketch = np.zeros(len(lines), np.int64)
+            sketch[first] = (((mixed >> _U(8)) & _U(1)) << np.arange(BINS, dtype=_U)).sum(1, dtype=_U).view(np.int64)
             bins = np.full(len(lines), None, object)
             for row, i in enumerate(first.tolist()):
                 bins[i] = small[row].tobytes()
-            yield pd.DataFrame({"key": keys[owner], "doc_id": ids[owner], "number": number.astype(np.int32), "line": h, "n": np.array([len(x) for x in lines], np.int32), "bins": bins})
+            yield pd.DataFrame({"key": keys[owner], "doc_id": ids[owner], "number": number.astype(np.int32), "line": h, "n": np.array([len(x) for x in lines], np.int32), "bins": bins, "sketch": sketch})
 
 
 def _fetch(bits):
@@ -148,29 +151,76 @@ def _sets(lines: list[str]) -> list[np.ndarray]:
     return [np.unique(s) for s in np.split(hashes, np.flatnonzero(np.diff(owner)) + 1)]
 
 
+def _overlaps(token: np.ndarray, owner: np.ndarray, m: int):
+    """For each of ``m`` sets (distinct tokens of owners, by owner): how many tokens it shares with every set."""
+    _, token = np.unique(token, return_inverse=True)
+    if m <= 64:
+        held = np.zeros((m, int(token.max()) + 1), np.float32)
+        held[owner, token] = 1
+        yield from (held @ held.T).astype(np.int64)
+        return
+    order = np.argsort(token, kind="stable")
+    first = np.searchsorted(token[order], np.arange(int(token.max()) + 2))
+    holders, ends = owner[order], np.searchsorted(owner, np.arange(m + 1))
+    for i in range(m):
+        own = token[ends[i] : ends[i + 1]]
+        counts = first[own + 1] - first[own]
+        at = np.repeat(first[own] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        yield np.bincount(holders[at], minlength=m)
+
+
+def forest(token: np.ndarray, owner: np.ndarray, cells: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs of sets that link by the exact Jaccard coefficient and between them connect all that link; cells as in :mod:`.blocks`."""
+    m = len(cells)
+    sizes = np.bincount(owner, minlength=m)
+    top = list(range(m))
+
+    def root(x: int) -> int:
+        while top[x] != x:
+            top[x] = top[top[x]]
+            x = top[x]
+        return x
+
+    out = []
+    for i, shared in enumerate(_overlaps(token, owner, m)):
+        linked = (100 + percent) * shared >= percent * (sizes[i] + sizes)
+        linked[: i + 1] = False
+        if cells[i] >= 0:
+            linked &= cells != cells[i]
+        for j in np.flatnonzero(linked).tolist():
+            a, b = root(i), root(j)
+            if a != b:
+                top[max(a, b)] = min(a, b)
+                out.append((i, j))
+    return out
+
+
 def _compare(percent: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("block", ignore_index=True)
+        nodes, block, cells, lines = pdf["node"].to_numpy(), pdf["block"].to_numpy(), pdf["cell"].to_numpy(), pdf["text"].tolist()
+        sets = _sets(lines)
+        cuts = np.flatnonzero(np.diff(block)) + 1
         a, b = [], []
-        for _, block in pdf.groupby("block", sort=False):
-            nodes = block["node"].to_numpy()
-            for i, j in trie.links(_sets(block["text"].tolist()), block["cell"].to_numpy(), percent):
-                a.append(nodes[i])
-                b.append(nodes[j])
+        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(block)]):
+            some = sets[low:high]
+            for i, j in forest(np.concatenate(some), np.repeat(np.arange(high - low), [len(x) for x in some]), cells[low:high], percent):
+                a.append(nodes[low + i])
+                b.append(nodes[low + j])
         return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
     return run
 
 
 def line_links(docs: DataFrame, lines: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links ``a, b`` between the lines (``line, bins``) of ``docs``; between them they connect all that link."""
+    """Links ``a, b`` between the lines (``line, bins, sketch``) of ``docs``; between them they connect all that link."""
     bands = F.array(*[F.xxhash64(F.lit(k), F.substring("bins", BAND * k + 1, BAND)) for k in range(BINS // BAND)])
     met = lines.select("line", F.explode(bands).alias("band"))
     first = F.first("line").over(Window.partitionBy("band").orderBy("line"))
     edges = met.select(first.alias("a"), F.col("line").alias("b")).where("a != b").distinct()
-    bins = lines.dropDuplicates(["line"])
-    edges = edges.join(bins.select(F.col("line").alias("a"), F.col("bins").alias("x")), "a").join(bins.select(F.col("line").alias("b"), F.col("bins").alias("y")), "b")
-    pairs = F.zip_with(F.split(F.hex("x"), "(?<=\\G..)"), F.split(F.hex("y"), "(?<=\\G..)"), lambda x, y: x == y)
-    edges = edges.where(F.size(F.filter(pairs, lambda same: same)) > AGREE)  # the empty string after the last bin agrees too
+    sketches = lines.groupBy("line").agg(F.first("sketch").alias("sketch"))
+    edges = edges.join(sketches.select(F.col("line").alias("a"), F.col("sketch").alias("x")), "a").join(sketches.select(F.col("line").alias("b"), F.col("sketch").alias("y")), "b")
+    edges = edges.where(F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= BINS - AGREE)
     blocks = settle(components(edges).select("node", F.col("component").alias("block")), "blocks")
     bits = marks.bitmap(blocks.select(F.col("node").alias("key")))
     sets = docs.select("text").mapInPandas(_fetch(bits), "node long, n int, text string")
@@ -186,7 +236,7 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     seen = settle(rows.mapInPandas(_read_lines, _LINE), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("doc_id"), "key", "number")
     lines = settle(seen.groupBy("line", "n").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")), "distinct")
-    united = components(line_links(rows, seen.where("bins is not null").select("line", "bins"), percent)).select(F.col("node").alias("line"), F.col("component").alias("root"))
+    united = components(line_links(rows, seen.where("bins is not null").select("line", "bins", "sketch"), percent)).select(F.col("node").alias("line"), F.col("component").alias("root"))
     # lines that occur once and link with nothing need no decision
     classes = lines.join(united, "line", "left").where("root is not null or times > 1").withColumn("root", F.coalesce("root", "line"))
     kept = classes.groupBy("root").agg(F.min("first").alias("kept"))
