@@ -39,8 +39,6 @@ from .common import components, settle, ship, table
 
 N = 4
 PERCENT = 85
-#: Parts beyond d + 1: as many may be empty in both sets before an empty part counts as a sign.
-SPARE = 3
 #: n-grams that a cell of a task holds at most (but for a single set that is larger).
 TASK_GRAMS = 1 << 20
 
@@ -84,7 +82,10 @@ def signs(hashes: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[np.nda
     out, of = [], []
     for interval in (own, own + 1):
         end = ends[np.minimum(interval, len(ends) - 1)]
-        parts = np.where(sizes > 0, 2 * end * (100 - percent) // (100 + percent) + 1 + SPARE, 0)
+        apart = 2 * end * (100 - percent) // (100 + percent)
+        # some parts are empty by chance; up to so many in both sets still leave one that is not empty and equal
+        spare = 4 + apart // 25
+        parts = np.where(sizes > 0, apart + 1 + spare, 0)
         base = np.cumsum(parts) - parts
         at = base[owner] + ((high * parts[owner].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
         total = np.zeros(int(parts.sum()), np.uint64)
@@ -93,7 +94,7 @@ def signs(hashes: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[np.nda
         whose = np.repeat(np.arange(len(sizes)), parts)
         number = (np.arange(len(total)) - base[whose]).astype(np.uint64)
         sign = H.mix(total + H.mix((interval[whose].astype(np.uint64) << np.uint64(40)) + number + np.uint64(1)))
-        many = np.bincount(whose[empty], minlength=len(sizes)) > SPARE
+        many = np.bincount(whose[empty], minlength=len(sizes)) > spare
         keep = ~empty | many[whose]
         out.append(sign[keep])
         of.append(whose[keep])
