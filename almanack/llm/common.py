@@ -35,7 +35,12 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application: Python workers import it wherever they run."""
+    """Send this package to the executors, once per application: Python workers import it wherever they run.
+
+    Arrow batches are made smaller than by default, as rows hold whole texts.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

@@ -264,9 +264,9 @@ def rewrite(docs: DataFrame, removed: DataFrame) -> DataFrame:
     once = keyed.withColumn("_copy", F.row_number().over(Window.partitionBy("_key").orderBy("_key"))).where("_copy = 1").drop("_copy")
     once = once.withColumn("_lines", F.split("text", "\n")).withColumn("_left", F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_numbers"))
     text = F.when(F.col("_numbers").isNull(), F.col("text")).otherwise(F.array_join(F.transform("_left", lambda i: F.get("_lines", i)), "\n"))
-    blank = F.size(F.filter("_lines", lambda x: F.trim(F.regexp_replace(x, r"(?U)\s|[\x1C-\x1F]", "")) == ""))
+    filled = F.size(F.filter("_lines", lambda x: x.rlike(r"(?U)[^\s\x1C-\x1F]")))
     counted = once.withColumn("_n_removed", F.coalesce(F.size("_numbers"), F.lit(0))).withColumn("_text", text)
-    counted = counted.withColumn("_n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines") - blank))
+    counted = counted.withColumn("_n_lines", F.when(F.col("text").isNull(), 0).otherwise(filled))
     counted = counted.withColumn("_text", F.when((F.col("_n_removed") > 0) & (F.col("_n_removed") >= F.col("_n_lines")), F.lit("")).otherwise(F.col("_text")))
     return counted.select(*[counted["_text"].alias("text") if c == "text" else counted[f"`{c}`"] for c in docs.columns], "_key", "_n_lines", "_n_removed")
 
