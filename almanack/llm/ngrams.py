@@ -71,21 +71,35 @@ def intervals(longest: int, percent: int) -> np.ndarray:
     return np.array(ends)
 
 
+def part_counts(ends: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each size interval: the number of parts, and how many of them may be empty.
+
+    The sets of an interval and the one before it that reach the threshold
+    differ in at most ``apart`` n-grams.  Beyond one more part there are as many
+    as are empty by chance in the smallest such set, and a quarter more.
+    """
+    apart = 2 * ends * (100 - percent) // (100 + percent)
+    least = np.concatenate(([0, 0], ends[:-2])) + 1
+    spare = np.full(len(ends), 4)
+    for _ in range(12):
+        parts = apart + 1 + spare
+        spare = 4 + (1.25 * parts * np.exp(-least / parts)).astype(np.int64)
+    return apart + 1 + spare, spare
+
+
 def signs(hashes: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Signs of all sets, one after the other, and their offsets.  Empty sets have none."""
     sizes = np.diff(offsets)
     ends = intervals(int(sizes.max(initial=1)), percent)
+    of_interval, allowed = part_counts(ends, percent)
     own = np.searchsorted(ends, sizes)
     mixed = H.mix(hashes)
     high = hashes >> np.uint64(32)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     out, of = [], []
     for interval in (own, own + 1):
-        end = ends[np.minimum(interval, len(ends) - 1)]
-        apart = 2 * end * (100 - percent) // (100 + percent)
-        # some parts are empty by chance; up to so many in both sets still leave one that is not empty and equal
-        spare = 4 + apart // 25
-        parts = np.where(sizes > 0, apart + 1 + spare, 0)
+        interval = np.minimum(interval, len(ends) - 1)
+        parts, spare = np.where(sizes > 0, of_interval[interval], 0), allowed[interval]
         base = np.cumsum(parts) - parts
         at = base[owner] + ((high * parts[owner].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
         total = np.zeros(int(parts.sum()), np.uint64)
