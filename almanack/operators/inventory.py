@@ -11,7 +11,7 @@ from ..functions import rules as R
 
 def split_cell(cell: Column) -> Column:
     """Titles of a pipe-joined cell, trimmed, without blanks; of titles equal but for case the first."""
-    parts = F.filter(F.transform(F.split(F.coalesce(cell, F.lit("")), r"\|"), F.trim), lambda t: t != "")
+    parts = F.filter(F.transform(F.split(F.coalesce(cell, F.lit("")), r"\|"), lambda t: F.trim(t)), lambda t: t != "")
     return F.aggregate(parts, F.array().cast("array<string>"), lambda kept, t: F.when(F.exists(kept, lambda k: F.lower(k) == F.lower(t)), kept).otherwise(F.concat(kept, F.array(t))))
 
 

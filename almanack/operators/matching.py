@@ -7,6 +7,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Words that carry no content in a title.
 STOP = ("and", "of", "the", "in", "for", "program", "department", "studies", "major", "minor", "certificate", "degree")
@@ -29,16 +30,20 @@ def overlap(a: Column, b: Column) -> Column:
     return F.when(low == 0, 0.0).when((low == 1) & (high >= 3), both / high).otherwise(both / low)
 
 
-@F.pandas_udf("double")
-def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+def sequence_ratio(a: Column, b: Column) -> Column:
     """Ratio of matching blocks (Ratcliff and Obershelp) of two strings; null counts as empty."""
-    return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)], dtype="float64")
+
+    def ratios(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([difflib.SequenceMatcher(None, s or "", t or "").ratio() for s, t in zip(x, y)], dtype="float64")
+
+    # made here, so that workers get it by value and need no copy of this package
+    return F.pandas_udf(ratios, T.DoubleType())(a, b)
 
 
 def scored_pairs(pairs: DataFrame, a: str, b: str) -> DataFrame:
     """Adds ``overlap``, ``ratio`` and ``score``, the larger. The ratio is computed once per distinct pair of strings."""
     keyed = pairs.withColumn("_x", loose_key(F.col(a))).withColumn("_y", loose_key(F.col(b)))
-    ratios = keyed.select("_x", "_y").distinct().withColumn("ratio", sequence_ratio("_x", "_y"))
+    ratios = keyed.select("_x", "_y").distinct().withColumn("ratio", sequence_ratio(F.col("_x"), F.col("_y")))
     out = keyed.join(ratios, ["_x", "_y"]).withColumn("overlap", overlap(content_tokens(F.col(a)), content_tokens(F.col(b))))
     return out.withColumn("score", F.greatest("overlap", "ratio")).drop("_x", "_y")
 
