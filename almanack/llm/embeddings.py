@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from . import hnsw
 from .common import components, settle, ship, table
+from .memory import trimmed
 
 THRESHOLD = 0.95
 #: Vectors of a shard, and queries of a block, at most on average.
@@ -50,6 +51,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+@trimmed
 def _build(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("node")
     exact = _unit(_matrix(pdf["vector"]))
@@ -93,6 +95,7 @@ def audited_beam(graph, exact, queries, threshold: float) -> int:
 
 
 def _query(threshold: float):
+    @trimmed
     def run(index: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         a, n, b = [], [], []
         if len(index) and len(asked):

@@ -30,6 +30,7 @@ from . import hashing as H
 from . import marks
 from .blocks import block_tasks
 from .common import components, settle, ship, table
+from .memory import trimmed
 
 RUN = 5
 BINS = 48
@@ -115,6 +116,7 @@ def signatures(lines: list[str]) -> np.ndarray:
 _LINE = "key long, doc_id string, number int, line long, n int, first boolean, " + ", ".join(f"s{k} long" for k in range(6))
 
 
+@trimmed
 def _read_lines(batches):
     for pdf in batches:
         keys, ids = pdf["key"].to_numpy(), pdf["doc_id"].to_numpy(object)
@@ -132,6 +134,7 @@ def _read_lines(batches):
 
 
 def _fetch(bits):
+    @trimmed
     def run(batches):
         for pdf in batches:
             for _, _, lines in _batches(pdf):
@@ -195,6 +198,7 @@ def forest(token: np.ndarray, owner: np.ndarray, cells: np.ndarray, percent: int
 
 
 def _compare(percent: int):
+    @trimmed
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("block", ignore_index=True)
         nodes, block, cells, lines = pdf["node"].to_numpy(), pdf["block"].to_numpy(), pdf["cell"].to_numpy(), pdf["text"].tolist()

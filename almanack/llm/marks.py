@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
+from .memory import trimmed
+
 BITS = 1 << 24
 _SHARD = 1 << 12
 _U = np.uint64
@@ -21,6 +23,7 @@ def _place(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (at >> _U(3)).astype(np.int64), (at & _U(7)).astype(np.uint8)
 
 
+@trimmed
 def _mark(batches):
     bits = np.zeros(BITS // 8, np.uint8)
     for pdf in batches:

@@ -36,6 +36,7 @@ from . import hashing as H
 from . import marks, trie
 from .blocks import block_tasks
 from .common import components, settle, ship, table
+from .memory import trimmed
 
 N = 4
 PERCENT = 85
@@ -121,6 +122,7 @@ _SET = "key long, doc_id string, n int, k1 long, k2 long, signs array<long>"
 
 
 def _describe(n: int, percent: int):
+    @trimmed
     def run(batches):
         for pdf in batches:
             for at in range(0, len(pdf), 512):
@@ -140,6 +142,7 @@ def _describe(n: int, percent: int):
 
 
 def _pick(bits):
+    @trimmed
     def run(batches):
         for pdf in batches:
             yield pdf[marks.marked(bits.value, pdf["key"].to_numpy())]
@@ -148,6 +151,7 @@ def _pick(bits):
 
 
 def _join(n: int, percent: int):
+    @trimmed
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = [], []
         for _, block in pdf.groupby("block", sort=False):

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from . import hashing as H
 from .common import crc32_mod, ship, table
+from .memory import trimmed
 from .training import constant, labelled_sample
 
 WORD_CELLS = 1 << 15
@@ -145,6 +146,7 @@ def _scores(machine: Machine, batch: pa.RecordBatch) -> np.ndarray:
 
 
 def _append(model, columns: list[str]):
+    @trimmed
     def run(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], pa.array(_scores(model.value, batch))], [*columns, "score"])
@@ -153,6 +155,7 @@ def _append(model, columns: list[str]):
 
 
 def _keep(model):
+    @trimmed
     def run(batches):
         for batch in batches:
             yield batch.filter(pa.array(_scores(model.value, batch) >= 0.5))

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from . import hashing as H
 from .common import ship, table
+from .memory import trimmed
 
 WIDTH = 35
 #: Bytes of text per chunk, and windows per bucket, aimed at.
@@ -51,6 +52,7 @@ def _chunk_windows(texts, width: int):
 
 
 def _send(width: int, bits: int):
+    @trimmed
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         _, _, distinct, _, _ = _chunk_windows(pdf["text"].tolist(), width)
         bucket = (distinct >> np.uint64(64 - bits)).astype(np.int32)
@@ -78,6 +80,7 @@ def _count(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _remove(width: int, bits: int):
+    @trimmed
     def run(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         texts = docs["text"].tolist()
         offsets, at, distinct, number, count = _chunk_windows(texts, width)

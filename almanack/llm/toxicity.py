@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from . import hashing as H
 from .common import crc32_mod, ship, table
+from .memory import trimmed
 from .training import constant, labelled_sample
 
 GRAMS = (3, 4, 5)
@@ -113,6 +114,7 @@ def fit(texts: list[str], y: np.ndarray, steps: int = 150, penalty: float = 1e-3
 
 
 def _score(model):
+    @trimmed
     def run(batches):
         weights, intercept = model.value
         wanted = weights != 0
