@@ -6,13 +6,13 @@ traversed once per set, sharing partial overlaps and pruning subtrees by
 remaining length.  The links found are exact and connect all that link.
 
 Blocks keep apart what cannot link.  Two sets that reach the threshold differ
-in at most d n-grams, so if the hash space is cut into more than d parts, one part
-holds the same n-grams in both; the hash of a part's n-grams is a sign, and sets
-that share one are candidates.  The number of parts goes by size: sizes are
+in at most d n-grams, so if the hash space is cut into d + 2 parts, two parts
+hold the same n-grams in both; the hash of a part's n-grams is a sign, and sets
+that share two are candidates.  The number of parts goes by size: sizes are
 cut into intervals so that partners lie in equal or adjacent ones, and a set gives its
-signs for its own interval and the next.  A part holds about six n-grams, so a
-passage that many documents share makes no candidates.  Candidates are
-chained in order of size; components of that graph are the blocks.
+signs for its own interval and the next.  A part holds some n-grams, so
+a short passage that many documents share makes few candidates.  Components
+of the candidate graph are the blocks.
 
 Equal sets are one class throughout, so a group of copies costs one set.
 Texts travel once, and only those of classes with candidates are turned into
@@ -40,6 +40,8 @@ from .memory import trimmed
 
 N = 4
 PERCENT = 85
+#: Classes of a sign among which pairs are counted; larger groups are chained.
+FEW = 8
 #: n-grams that a cell of a task holds at most (but for a single set that is larger).
 TASK_GRAMS = 1 << 20
 
@@ -76,10 +78,11 @@ def part_counts(ends: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]
     """For each size interval: the number of parts, and how many of them may be empty.
 
     The sets of an interval and the one before it that reach the threshold
-    differ in at most ``apart`` n-grams.  Beyond one more part there are as many
-    as are empty by chance in the smallest such set, and a quarter more.
+    differ in so many n-grams at most; there are two parts more, and beyond those as
+    many as are empty by chance in the smallest such set, and a quarter more.
     """
-    apart = 2 * ends * (100 - percent) // (100 + percent)
+    # two more than they differ in: partners share two signs
+    apart = 2 * ends * (100 - percent) // (100 + percent) + 1
     least = np.concatenate(([0, 0], ends[:-2])) + 1
     spare = np.full(len(ends), 4)
     for _ in range(12):
@@ -166,14 +169,20 @@ def _join(n: int, percent: int):
 
 
 def candidate_edges(sets: DataFrame, percent: int) -> DataFrame:
-    """Edges ``a, b`` between classes (``cls, n, signs``) that share a sign and may reach the threshold by size.
+    """Edges ``a, b`` between classes (``cls, n, signs``) that may reach the threshold by size and by signs.
 
-    Chained in order of size: if the ends of a stretch may reach it, so may all neighbours between.
+    Partners share two signs.  Where at most ``FEW`` classes share a sign, each class looks back at
+    all before it in order of size, and a pair must be seen twice.  A larger
+    group is chained in order of size instead, at the cost of one row per
+    class: if the ends of a stretch may reach the threshold, so may all neighbours between.
     """
     shared = sets.select("cls", "n", F.explode("signs").alias("sign"))
     by = Window.partitionBy("sign").orderBy("n", "cls")
-    chained = shared.select("cls", "n", F.lag("cls").over(by).alias("before"), F.lag("n").over(by).alias("n_before"))
-    return chained.where(f"before is not null and before != cls and 100 * n_before >= {percent} * n").select(F.col("before").alias("a"), F.col("cls").alias("b")).distinct()
+    back = [F.struct(F.lag("cls", k).over(by).alias("a"), F.lag("n", k).over(by).alias("n_a")) for k in range(1, FEW + 1)]
+    held = shared.select("cls", "n", F.array(*back).alias("back"), F.count(F.lit(1)).over(Window.partitionBy("sign")).alias("members")).where("members > 1")
+    seen = held.select("n", F.col("cls").alias("b"), "members", F.explode(F.expr(f"if(members <= {FEW}, slice(back, 1, {FEW - 1}), slice(back, 1, 1))")).alias("x"))
+    seen = seen.where(f"x.a is not null and x.a != b and 100 * x.n_a >= {percent} * n").select("x.a", "b", F.when(F.col("members") > FEW, 2).otherwise(1).alias("times"))
+    return seen.groupBy("a", "b").agg(F.sum("times").alias("times")).where("times > 1").select("a", "b")
 
 
 def link_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
