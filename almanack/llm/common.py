@@ -63,15 +63,20 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 
 
 @atexit.register
-def release() -> None:
-    """Remove the tables that :func:`settle` wrote; frames that still read them must not be used afterwards."""
+def release(spared: str = "") -> None:
+    """Remove the tables that :func:`settle` wrote, but for those named ``spared``; frames that still read them must not be used afterwards."""
+    left = []
     while _written:
         spark, path = _written.pop()
+        if spared and path.endswith(f"/{spared}"):
+            left.append((spark, path))
+            continue
         try:
             p = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
         except Exception:  # the session has ended
-            return
+            break
+    _written.extend(left)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-from .memory import trimmed
+from .memory import trim, trimmed
 
 BITS = 1 << 24
 _SHARD = 1 << 12
@@ -48,7 +48,10 @@ def bitmap(keys: DataFrame) -> Broadcast:
     out = np.zeros((BITS // 8 // _SHARD, _SHARD), np.uint8)
     for row in shards.collect():  # BITS bits in all
         out[row["shard"]] = np.frombuffer(row["bits"], np.uint8)
-    return keys.sparkSession.sparkContext.broadcast(out.ravel())
+    sent = keys.sparkSession.sparkContext.broadcast(out.ravel())
+    del out
+    trim()
+    return sent
 
 
 def marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from . import hashing as H
 from .common import crc32_mod, ship, table
-from .memory import trimmed
+from .memory import trim, trimmed
 from .training import constant, labelled_sample
 
 WORD_CELLS = 1 << 15
@@ -167,7 +167,10 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Machine | float:
     """The machine, or the score of everything where there is nothing to learn."""
     texts, y = labelled_sample(docs, labels, "quality", 3, 1)
     fixed = constant(y)
-    return fit(texts, [len(t) for t in texts], y) if fixed is None else fixed
+    machine = fit(texts, [len(t) for t in texts], y) if fixed is None else fixed
+    del texts
+    trim()  # the driver keeps the machine only
+    return machine
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from . import hashing as H
 from .common import crc32_mod, ship, table
-from .memory import trimmed
+from .memory import trim, trimmed
 from .training import constant, labelled_sample
 
 GRAMS = (3, 4, 5)
@@ -136,6 +136,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     if fixed is None:
         model = spark.sparkContext.broadcast(fit(texts, y))
+        del texts
+        trim()  # the driver keeps the weights only
         scored = rows.mapInPandas(_score(model), "doc_id string, score double")
     else:
         scored = rows.select("doc_id", F.lit(fixed).alias("score"))

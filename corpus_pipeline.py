@@ -2,7 +2,8 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame: all but the
 last the columns of ``documents``, the last where each piece of each document
-goes.  Every stage works on all that the one before it kept.
+goes.  Every stage works on all that the one before it kept, written and read again; so a
+stage first removes the tables that the one before it needed.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almanack.llm import lines, mixing, ngrams, packing, quality
-from almanack.llm.common import settle, table
+from almanack.llm.common import release, settle, table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,21 +22,25 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One line of each group of like lines, over all documents."""
+    release(spared="stage")
     return _counted(lines.dedup_lines(docs))
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by 5-word shingles at 0.8 or more."""
+    release(spared="stage")
     return ngrams.first_of_each(docs, n=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in training order, as often as the weights of their sources ask for."""
+    release(spared="stage")
     return mixing.mixed_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document goes."""
+    release(spared="stage")
     return packing.pack(docs)
 
 
