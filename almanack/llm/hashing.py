@@ -28,7 +28,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 def mix(h: np.ndarray) -> np.ndarray:
     """Finaliser: every input bit reaches every output bit."""
     h = h ^ (h >> _U(33))
-    h = h * _U(0xFF51AFD7ED558CCD)
+    h *= _U(0xFF51AFD7ED558CCD)
     h ^= h >> _U(33)
     h *= _U(0xC4CEB9FE1A85EC53)
     h ^= h >> _U(33)

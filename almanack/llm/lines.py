@@ -39,8 +39,11 @@ PERCENT = 80
 #: Bins of 48 that must agree before sets are compared; at a coefficient of 0.8, 38 do on average.
 AGREE = 25
 TASK_RUNS = 1 << 19
+#: Characters hashed at once.
+SLICE = 1 << 17
 _U = np.uint64
 _BASE = _U(0x2127599BF4325C37)
+_EMPTY = _U(0xFFFFFFFFFFFFFFFF)
 
 
 def _batches(pdf: pd.DataFrame):
@@ -63,30 +66,43 @@ def _batches(pdf: pd.DataFrame):
         yield np.array(owner), np.array(number), lines
 
 
+def _slices(lines: list[str]):
+    """Bounds of stretches of ``lines`` whose arrays stay in a core's cache."""
+    ends = np.cumsum([len(x) for x in lines])
+    low = 0
+    while low < len(lines):
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + SLICE, "right")))
+        yield low, high
+        low = high
+
+
 def _line_hashes(lines: list[str]) -> np.ndarray:
-    raw = [x.encode("utf-8", "surrogatepass") for x in lines]
-    sizes = np.array([len(r) for r in raw])
-    ends = np.cumsum(sizes)
-    return H._hash_spans(np.frombuffer(b"".join(raw), np.uint8), ends - sizes, ends, False).view(np.int64)
+    out = [np.zeros(0, _U)]
+    for low, high in _slices(lines):
+        buf = np.frombuffer("\n".join([*lines[low:high], ""]).encode("utf-8", "surrogatepass"), np.uint8)
+        ends = np.flatnonzero(buf == 10)
+        out.append(H._hash_spans(buf, np.concatenate(([0], ends[:-1] + 1)), ends, False))
+    return np.concatenate(out).view(np.int64)
 
 
 def _runs(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the runs of ``RUN`` characters of each line and the lines they are of; a shorter line is one run."""
     sizes = np.array([len(x) for x in lines])
-    chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(_U)
+    chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4")
     counts = np.maximum(sizes - RUN + 1, 1)
     owner = np.repeat(np.arange(len(lines)), counts)
-    first = np.cumsum(sizes) - sizes
-    at = np.arange(len(owner)) + (first - (np.cumsum(counts) - counts))[owner]
-    h = np.zeros(len(chars), _U)
-    padded = np.concatenate((chars, np.zeros(RUN, _U)))
-    for k in range(RUN):
-        h = h * _BASE + padded[k : k + len(chars)] + _U(1)
-    hashes = h[at]
+    padded = np.zeros(len(chars) + RUN, _U)
+    padded[: len(chars)] = chars
+    padded += _U(1)
+    h = padded[: len(chars)].copy()
+    for k in range(1, RUN):
+        h *= _BASE
+        h += padded[k : k + len(chars)]
+    first, starts = np.cumsum(sizes) - sizes, np.cumsum(counts) - counts
+    hashes = h[np.arange(len(owner)) + np.repeat(first - starts, counts)]
     short = np.flatnonzero(sizes < RUN)
     if len(short):
-        where = (np.cumsum(counts) - counts)[short]
-        hashes[where] = [hash_short(lines[i]) for i in short.tolist()]
+        hashes[starts[short]] = [hash_short(lines[i]) for i in short.tolist()]
     return H.mix(hashes), owner
 
 
@@ -98,21 +114,25 @@ def hash_short(line: str) -> int:
 
 
 def signatures(lines: list[str]) -> np.ndarray:
-    hashes, owner = _runs(lines)
-    bins = ((hashes >> _U(32)) * _U(BINS)) >> _U(32)
-    empty = np.uint64(0xFFFFFFFFFFFFFFFF)
-    out = np.full(len(lines) * BINS, empty, _U)
-    np.minimum.at(out, owner * BINS + bins.astype(np.int64), hashes & _U(0xFFFFFFFF))
-    out = out.reshape(-1, BINS)
-    for _ in range(BINS):  # an empty bin takes the next one's value, marked by its distance
-        gap = out == empty
-        if not gap.any():
-            break
-        following = np.roll(out, -1, axis=1)
-        out = np.where(gap & (following != empty), following + _U(0x100000000), out)
+    out = np.full((len(lines), BINS), _EMPTY, _U)
+    for low, high in _slices(lines):
+        hashes, owner = _runs(lines[low:high])
+        bins = ((hashes >> _U(32)) * _U(BINS)) >> _U(32)
+        some = out[low:high]
+        np.minimum.at(some.reshape(-1), owner * BINS + bins.astype(np.int64), hashes & _U(0xFFFFFFFF))
+        gaps = np.flatnonzero((some == _EMPTY).any(axis=1))
+        some[gaps] = _filled(some[gaps])
     return out
 
 
+def _filled(some: np.ndarray) -> np.ndarray:
+    """Signatures in which an empty bin takes the value of the next one that isn't, marked by its distance."""
+    at = np.arange(2 * BINS)
+    held = np.where(np.tile(some != _EMPTY, 2), at, 2 * BINS)
+    following = np.minimum.accumulate(held[:, ::-1], axis=1)[:, ::-1][:, :BINS]
+    return np.take_along_axis(some, following % BINS, axis=1) + ((following - at[:BINS]).astype(_U) << _U(32))
+
+
 _LINE = "key long, doc_id string, number int, line long, n int, first boolean, " + ", ".join(f"s{k} long" for k in range(6))
 
 
@@ -149,8 +169,18 @@ def _fetch(bits):
 
 
 def _sets(lines: list[str]) -> list[np.ndarray]:
-    hashes, owner = _runs(lines)
-    return [np.unique(s) for s in np.split(hashes, np.flatnonzero(np.diff(owner)) + 1)]
+    out = []
+    for low, high in _slices(lines):
+        hashes, owner = _runs(lines[low:high])
+        ends = np.searchsorted(owner, np.arange(high - low + 1))
+        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+            hashes[a:b].sort()
+        keep = np.ones(len(hashes), bool)
+        keep[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+        hashes = hashes[keep]
+        ends = np.searchsorted(owner[keep], np.arange(high - low + 1)).tolist()
+        out.extend(hashes[a:b] for a, b in zip(ends[:-1], ends[1:]))
+    return out
 
 
 def _overlaps(token: np.ndarray, owner: np.ndarray, m: int):
