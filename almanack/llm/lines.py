@@ -254,15 +254,14 @@ def _differ(x: Column, y: Column) -> Column:
 
 
 def line_links(docs: DataFrame, lines: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links ``a, b`` between the lines (``line`` and signature ``s0`` to ``s5``) of ``docs``; between them they connect all that link."""
+    """Links ``a, b`` between the distinct ``lines`` (``line`` and signature ``s0`` to ``s5``) of ``docs``; between them they connect all that link."""
     packed = [f"s{k}" for k in range(6)]
     bands = F.array(*[F.xxhash64(F.lit(2 * k + half), F.shiftrightunsigned(s, 32 * half).bitwiseAND(F.lit(0xFFFFFFFF))) for k, s in enumerate(packed) for half in (0, 1)])
     met = lines.select("line", F.explode(bands).alias("band"))
     first = F.first("line").over(Window.partitionBy("band").orderBy("line"))
     edges = met.select(first.alias("a"), F.col("line").alias("b")).where("a != b").distinct()
-    known = lines.groupBy("line").agg(*[F.min(s).alias(s) for s in packed])
-    edges = edges.join(known.select(F.col("line").alias("a"), *[F.col(s).alias(f"a_{s}") for s in packed]), "a")
-    edges = edges.join(known.select(F.col("line").alias("b"), *[F.col(s).alias(f"b_{s}") for s in packed]), "b")
+    edges = edges.join(lines.select(F.col("line").alias("a"), *[F.col(s).alias(f"a_{s}") for s in packed]), "a")
+    edges = edges.join(lines.select(F.col("line").alias("b"), *[F.col(s).alias(f"b_{s}") for s in packed]), "b")
     apart = sum((_differ(F.col(f"a_{s}"), F.col(f"b_{s}")) for s in packed), F.lit(0))
     edges = edges.where(apart <= BINS - AGREE).select("a", "b")
     blocks = settle(components(edges).select("node", F.col("component").alias("block")), "blocks")
@@ -279,10 +278,12 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.col("doc_id").cast("string").alias("doc_id"), "text")
     seen = settle(rows.mapInPandas(_read_lines, _LINE), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("doc_id"), "key", "number")
-    lines = settle(seen.groupBy("line", "n").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")), "distinct")
-    united = components(line_links(rows, seen.where("first").drop("key", "doc_id", "number", "n", "first"), percent)).select(F.col("node").alias("line"), F.col("component").alias("root"))
+    # equal lines are one before they meet others: a line of a third of all documents is one row in its bands
+    signature = [F.min(F.when(F.col("first"), F.col(s))).alias(s) for s in (f"s{k}" for k in range(6))]
+    lines = settle(seen.groupBy("line", "n").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"), *signature), "distinct")
+    united = components(line_links(rows, lines, percent)).select(F.col("node").alias("line"), F.col("component").alias("root"))
     # lines that occur once and link with nothing need no decision
-    classes = lines.join(united, "line", "left").where("root is not null or times > 1").withColumn("root", F.coalesce("root", "line"))
+    classes = lines.select("line", "n", "first", "times").join(united, "line", "left").where("root is not null or times > 1").withColumn("root", F.coalesce("root", "line"))
     kept = classes.groupBy("root").agg(F.min("first").alias("kept"))
     decided = classes.join(kept, "root").select("line", "n", F.col("kept.key").alias("kept_key"), F.col("kept.number").alias("kept_number"))
     gone = seen.select("key", "number", "line", "n").join(decided, ["line", "n"]).where("key != kept_key or number != kept_number")
