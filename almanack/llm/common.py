@@ -112,6 +112,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v"))))).where("u != v").distinct()
         e = settle(small, "stars")
-        if e.join(e.select(F.col("v").alias("u")).distinct(), "u", "left_semi").isEmpty():
+        # done when all are stars: no parent is a child, no child has two parents
+        parents = e.join(e.select(F.col("v").alias("u")).distinct(), "u", "left_semi").select("u")
+        if parents.unionByName(e.groupBy("u").count().where("count > 1").select("u")).isEmpty():
             break
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -67,6 +67,11 @@ def test_components(spark):
     assert sorted(map(tuple, components(edges).collect())) == [(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (6, 6), (7, 6), (8, 6)]
 
 
+def test_components_are_not_cut_while_a_node_has_two_parents(spark):
+    edges = spark.createDataFrame([(1, 5), (5, 6), (6, 7), (7, 2)], "a long, b long")
+    assert sorted(map(tuple, components(edges).collect())) == [(1, 1), (2, 1), (5, 1), (6, 1), (7, 1)]
+
+
 def test_mixing_meets_targets(docs):
     rows = mixing.mix(docs).collect()
     assert len(rows) == len(ROWS)
