@@ -12,7 +12,8 @@ votes for the same start; its score is the found share of the template's
 weight.
 
 Everything is DataFrame and SQL functions.  One pass reads the texts and keeps
-only hits, which are rare; the index is a constant of a few hundred rows.
+hits of texts that may hold a key phrase, which are rare, and of all texts the distinct
+index words, for their frequencies; the index is a constant of a few hundred rows.
 
 A null or empty text has no words, no places (null positions), no labels
 and score 0.  Rows may repeat; an empty table gives no rows.
@@ -50,7 +51,7 @@ TEMPLATES = (
 )
 #: Template words too common to be looked up.
 FUNCTION_WORDS = ("a", "all", "and", "any", "are", "by", "in", "is", "of", "or", "the", "this", "to", "under", "with")
-#: Parts of index words; a text without any of them has no hits.
+#: Parts of key phrases; a text without any of them has no findings.
 GATE = r"(?i)licen[sc]e|reserved|permission|redistribution|cc0|cc[^a-z0-9]+by"
 
 
@@ -74,7 +75,10 @@ def _fold(c: Column) -> Column:
 
 
 def hits(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
-    """Settled ``row_id, doc_id, n_words, hits``: per row of ``docs`` the positions of index words, in order."""
+    """Settled ``row_id, doc_id, n_words, hits, seen``: per row of ``docs`` the positions of index words, in order, and the distinct ones.
+
+    Only texts that match ``GATE`` have hits; ``seen`` is there for all.
+    """
     vocabulary = sorted({w for _, _, w, _, _ in index_rows(templates)} | {w for phrase in BASE for w in phrase.split()})
     words = F.split(F.coalesce("text", F.lit("")), SEPARATOR)
     # a separator before the first or after the last word leaves an empty string
@@ -85,7 +89,10 @@ def hits(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     gate = F.coalesce(F.col("text").rlike(GATE), F.lit(False))
     none = F.array().cast("array<struct<p:bigint,w:string>>")
     rows = docs.select("doc_id", gate.alias("_gate"), words.alias("_w")).withColumn("_lead", lead)
-    rows = rows.select("doc_id", (F.size("_w") - F.col("_lead") - trail).cast("long").alias("n_words"), F.when(F.col("_gate"), found).otherwise(none).alias("hits"))
+    rows = rows.select("doc_id", "_gate", (F.size("_w") - F.col("_lead") - trail).cast("long").alias("n_words"), found.alias("_found"))
+    # the gate is for places only: every text's words count in the statistics
+    seen = F.array_distinct(F.transform("_found", lambda x: x["w"]))
+    rows = rows.select("doc_id", "n_words", F.when(F.col("_gate"), F.col("_found")).otherwise(none).alias("hits"), seen.alias("seen"))
     return settle(rows.withColumn("row_id", F.monotonically_increasing_id()), "hits")
 
 
@@ -115,7 +122,7 @@ def findings(found: DataFrame, templates=TEMPLATES) -> DataFrame:
     each = found.where(F.size("hits") > 0).select("row_id", F.explode("hits").alias("h")).select("row_id", "h.p", F.col("h.w").alias("word"))
     index = _index(spark, templates)
     n_files = found.agg(F.count(F.lit(1)).alias("n"))
-    df = each.select("row_id", "word").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    df = found.select(F.explode("seen").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(F.lit(1.0) + F.col("n") / (F.coalesce("df", F.lit(0)) + F.lit(1.0)))
     # one row per template word: a constant size
     weighed = index.join(df, "word", "left").crossJoin(n_files).withColumn("idf", idf).drop("df", "n")

@@ -146,6 +146,15 @@ def test_license_places(docs):
     assert got[4, 0]["places"] == [] and got[4, 0]["score"] == 0
 
 
+def test_license_weights_count_all_texts(spark):
+    texts = ["the mit license"] + ["komm mit der person"] * 20 + ["nothing here"] * 20
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = licenses.scan(rows).where("doc_id = 0").collect()[0]
+    # by hand: the texts without a key phrase hold mit too
+    released, mit, license = (np.log(1 + 41 / (n + 1)) for n in (0, 21, 1))
+    assert got["score"] == pytest.approx((mit + license) / (released + mit + license))
+
+
 def test_fingerprints(docs):
     rows = fingerprints.with_next(docs).collect()
     assert len(rows) == len(ROWS)
