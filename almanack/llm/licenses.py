@@ -5,9 +5,9 @@ template word that is not a function word, its templates and positions, and its
 weight: the inverse document frequency over all scanned files.  A file's hits
 are its occurrences of index words with their positions; a hit at ``p`` of
 a word at ``q`` in a template votes for that template starting at ``p - q``.
-The rarest words of each file are looked up first: a start is a candidate only
-if the template's highest-weight word found in the file votes for it.  A
-candidate is a finding when every word of the template's mandatory key phrase
+The rarest word of each template's mandatory key phrase is looked up first: a
+start is a candidate only if that word votes for it, which none with a whole key
+phrase lacks.  A candidate is a finding when every word of the key phrase
 votes for the same start; its score is the found share of the template's
 weight.
 
@@ -128,13 +128,16 @@ def findings(found: DataFrame, templates=TEMPLATES) -> DataFrame:
     weighed = index.join(df, "word", "left").crossJoin(n_files).withColumn("idf", idf).drop("df", "n")
     whole = Window.partitionBy("template")
     weighed = weighed.withColumn("total", F.sum("idf").over(whole)).withColumn("n_key", F.sum(F.col("is_key").cast("int")).over(whole))
-    votes = each.join(F.broadcast(weighed), "word").withColumn("start", F.col("p") - F.col("q"))
+    # the rarest key word of each template is looked up first
+    rarest = F.row_number().over(Window.partitionBy("template").orderBy(F.col("idf").desc(), "word", "q"))
+    leads = weighed.where("is_key").withColumn("_rank", rarest).where("_rank = 1").select("word", "template", "q")
+    starts = each.join(F.broadcast(leads), "word").select("row_id", "template", (F.col("p") - F.col("q")).alias("start")).distinct()
+    votes = each.join(F.broadcast(weighed), "word").withColumn("start", F.col("p") - F.col("q")).join(starts, ["row_id", "template", "start"], "left_semi")
     votes = votes.groupBy("row_id", "template", "start").agg(
-        F.first("label").alias("label"), F.sum("idf").alias("weight"), F.first("total").alias("total"), F.max("idf").alias("rarest"),
+        F.first("label").alias("label"), F.sum("idf").alias("weight"), F.first("total").alias("total"),
         F.sum(F.col("is_key").cast("int")).alias("keys"), F.first("n_key").alias("n_key"),
     )
-    best = votes.groupBy("row_id", "template").agg(F.max("rarest").alias("top"))
-    verified = votes.where("keys = n_key").join(best, ["row_id", "template"]).where("rarest >= top")
+    verified = votes.where("keys = n_key")
     return verified.select("row_id", "label", "start", F.least(F.lit(1.0), F.col("weight") / F.col("total")).alias("score"))
 
 

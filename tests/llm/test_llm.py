@@ -155,6 +155,13 @@ def test_license_weights_count_all_texts(spark):
     assert got["score"] == pytest.approx((mit + license) / (released + mit + license))
 
 
+def test_rare_template_words_elsewhere_cost_no_license(spark):
+    texts = ["available under CC0 1.0 and much later a dedication", "redistribution and use in source only; permitted", "cc0 and source", "cc0 and use in redistribution"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan(rows).collect()}
+    assert got == {0: ["cc0"], 1: ["bsd"], 2: [], 3: []}
+
+
 def test_fingerprints(docs):
     rows = fingerprints.with_next(docs).collect()
     assert len(rows) == len(ROWS)
