@@ -204,6 +204,23 @@ def test_vectors(spark):
     assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in (300, 301, 302, 303, 304))
 
 
+def test_a_large_cluster_hides_no_missed_links():
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((3000, 8))
+    x[:1000] = x[0] + rng.standard_normal((1000, 8)) * 1e-4
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+
+    class Graph:  # finds all of the cluster, of others nothing until the beam is wide
+        def search(self, queries, beam):
+            sims = queries @ x.T
+            sims[:, 1000 if beam < 400 else 3000 :] = -2
+            order = np.argsort(-sims, axis=1)[:, :beam]
+            sims = np.take_along_axis(sims, order, 1)
+            return np.where(sims > -2, order, -1), sims
+
+    assert embeddings.audited_beam(Graph(), x, x, 0.95) >= 400
+
+
 def test_lines(docs):
     rows = {r["doc_id"]: r["text"] for r in lines.dedup_lines(docs).collect()}
     assert rows[0] == BASE and 1 not in rows and rows[14].count("same line here") == 1
