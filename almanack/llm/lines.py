@@ -2,8 +2,9 @@
 
 Method: a line's set is its distinct runs of five characters.  One hash per
 run fills a signature of 48 bins (one-permutation MinHash, empty bins borrowing
-from the next); bands of four bins make lines meet.  Lines that meet and agree in
-half of their signatures are candidates; components of candidates are blocks,
+from the next); bands of four bins make lines meet.  Pairs that meet and agree in
+half of their signatures are candidates, and lines of few runs that meet, whatever
+their signatures; components of candidates are blocks,
 cut into bounded tasks, in which the exact Jaccard coefficient of the whole sets is
 compared (0.8 or more links).  Links are united by star contraction
 (:func:`.common.components`), and of each component one line stays: the first
@@ -38,6 +39,10 @@ BAND = 4
 PERCENT = 80
 #: Bins of 48 that must agree before sets are compared; at a coefficient of 0.8, 38 do on average.
 AGREE = 25
+#: Bins not borrowed under which a signature says too little to tell lines apart.
+OWN = 0
+#: Lines of a band of which all pairs are looked at.
+FEW = 32
 TASK_RUNS = 1 << 19
 #: Characters hashed at once.
 SLICE = 1 << 17
@@ -133,7 +138,12 @@ def _filled(some: np.ndarray) -> np.ndarray:
     return np.take_along_axis(some, following % BINS, axis=1) + ((following - at[:BINS]).astype(_U) << _U(32))
 
 
-_LINE = "key long, doc_id string, number int, line long, n int, first boolean, " + ", ".join(f"s{k} long" for k in range(6))
+def own_bins(some: np.ndarray) -> np.ndarray:
+    """How many bins of each signature are not borrowed."""
+    return (some >> _U(32) == 0).sum(axis=1)
+
+
+_LINE = "key long, doc_id string, number int, line long, n int, own int, first boolean, " + ", ".join(f"s{k} long" for k in range(6))
 
 
 @trimmed
@@ -147,9 +157,12 @@ def _read_lines(batches):
             first = np.zeros(len(lines), bool)
             first[at] = True
             small = np.zeros((len(lines), BINS), np.uint8)
-            small[at] = H.mix(signatures([lines[i] for i in at.tolist()])).astype(np.uint8)
+            whole = signatures([lines[i] for i in at.tolist()])
+            small[at] = H.mix(whole).astype(np.uint8)
+            own = np.zeros(len(lines), np.int32)
+            own[at] = own_bins(whole)
             packed = small.view(np.int64)
-            yield pd.DataFrame({"key": keys[owner], "doc_id": ids[owner], "number": number.astype(np.int32), "line": h, "n": np.array([len(x) for x in lines], np.int32), "first": first}
+            yield pd.DataFrame({"key": keys[owner], "doc_id": ids[owner], "number": number.astype(np.int32), "line": h, "n": np.array([len(x) for x in lines], np.int32), "own": own, "first": first}
                                | {f"s{k}": packed[:, k] for k in range(6)})
 
 
@@ -253,17 +266,46 @@ def _differ(x: Column, y: Column) -> Column:
     return F.bit_count(z.bitwiseAND(F.lit(0x0101010101010101)))
 
 
+def _pairs(rows: DataFrame, key: str) -> DataFrame:
+    """All pairs ``a, b`` of the lines that share ``key``, but those of two lines of few runs."""
+    own = rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("line", "few"))).alias("own"))
+    later = F.expr("flatten(transform(own, (x, i) -> transform(slice(own, i + 2, size(own)), y -> struct(x.line as a, y.line as b, x.few and y.few as few))))")
+    return own.select(F.inline(later)).where("not few").select("a", "b")
+
+
+def _hubs(rows: DataFrame, key: str) -> DataFrame:
+    """Edges ``a, b`` from the first of the lines that share ``key`` to the others."""
+    first = F.first("line").over(Window.partitionBy(key).orderBy("line"))
+    return rows.select(first.alias("a"), F.col("line").alias("b")).where("a != b")
+
+
+def band_edges(lines: DataFrame, packed: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Edges ``a, b`` of lines that meet in a band: those that stand, and those whose signatures must agree.
+
+    Lines of few runs (``own`` under ``OWN``) are tied to the first such line of the band, as their
+    signatures say little.  All other pairs of a band of up to ``FEW`` lines are looked at; a larger
+    band is split by each of the other bands, and where that leaves many, they are tied to their first.
+    """
+    bands = F.array(*[F.xxhash64(F.lit(2 * k + half), F.shiftrightunsigned(s, 32 * half).bitwiseAND(F.lit(0xFFFFFFFF))) for k, s in enumerate(packed) for half in (0, 1)])
+    met = lines.select("line", (F.col("own") < OWN).alias("few"), F.explode(bands).alias("band"))
+    met = settle(met.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("band"))).where("members > 1"), "met")
+    large = met.where(f"members > {FEW}").select("line", "few", "band")
+    split = large.join(lines.select("line", F.explode(bands).alias("other")), "line").where("band != other")
+    split = split.select("line", "few", F.xxhash64(F.least("band", "other"), F.greatest("band", "other")).alias("sub")).distinct()
+    split = settle(split.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("sub"))).where("members > 1"), "split")
+    free = _hubs(met.where("few"), "band").unionByName(_hubs(split.where(f"members > {FEW}"), "sub"))
+    doubtful = _pairs(met.where(f"members <= {FEW}"), "band").unionByName(_pairs(split.where(f"members <= {FEW}"), "sub"))
+    return free.distinct(), doubtful.distinct()
+
+
 def line_links(docs: DataFrame, lines: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links ``a, b`` between the distinct ``lines`` (``line`` and signature ``s0`` to ``s5``) of ``docs``; between them they connect all that link."""
+    """Links ``a, b`` between the distinct ``lines`` (``line``, ``own`` bins and signature ``s0`` to ``s5``) of ``docs``; between them they connect all that link."""
     packed = [f"s{k}" for k in range(6)]
-    bands = F.array(*[F.xxhash64(F.lit(2 * k + half), F.shiftrightunsigned(s, 32 * half).bitwiseAND(F.lit(0xFFFFFFFF))) for k, s in enumerate(packed) for half in (0, 1)])
-    met = lines.select("line", F.explode(bands).alias("band"))
-    first = F.first("line").over(Window.partitionBy("band").orderBy("line"))
-    edges = met.select(first.alias("a"), F.col("line").alias("b")).where("a != b").distinct()
-    edges = edges.join(lines.select(F.col("line").alias("a"), *[F.col(s).alias(f"a_{s}") for s in packed]), "a")
-    edges = edges.join(lines.select(F.col("line").alias("b"), *[F.col(s).alias(f"b_{s}") for s in packed]), "b")
+    free, doubtful = band_edges(lines, packed)
+    doubtful = doubtful.join(lines.select(F.col("line").alias("a"), *[F.col(s).alias(f"a_{s}") for s in packed]), "a")
+    doubtful = doubtful.join(lines.select(F.col("line").alias("b"), *[F.col(s).alias(f"b_{s}") for s in packed]), "b")
     apart = sum((_differ(F.col(f"a_{s}"), F.col(f"b_{s}")) for s in packed), F.lit(0))
-    edges = edges.where(apart <= BINS - AGREE).select("a", "b")
+    edges = free.unionByName(doubtful.where(apart <= BINS - AGREE).select("a", "b"))
     blocks = settle(components(edges).select("node", F.col("component").alias("block")), "blocks")
     bits = marks.bitmap(blocks.select(F.col("node").alias("key")))
     sets = docs.select("text").mapInPandas(_fetch(bits), "node long, n int, text string")
@@ -279,7 +321,7 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     seen = settle(rows.mapInPandas(_read_lines, _LINE), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("doc_id"), "key", "number")
     # equal lines are one before they meet others: a line of a third of all documents is one row in its bands
-    signature = [F.min(F.when(F.col("first"), F.col(s))).alias(s) for s in (f"s{k}" for k in range(6))]
+    signature = [F.min(F.when(F.col("first"), F.col(s))).alias(s) for s in ("own", *(f"s{k}" for k in range(6)))]
     lines = settle(seen.groupBy("line", "n").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"), *signature), "distinct")
     united = components(line_links(rows, lines, percent)).select(F.col("node").alias("line"), F.col("component").alias("root"))
     # lines that occur once and link with nothing need no decision

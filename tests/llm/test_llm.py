@@ -227,6 +227,15 @@ def test_lines(docs):
     assert rows[4] is None and rows[5] == "" and rows[6] == " \n\t"
 
 
+def test_a_stranger_first_in_a_band_hides_no_pair(spark):
+    sign = list(range(1, 7))
+    far = [sign[0]] + [x << 40 | 0x1234567 for x in sign[1:]]  # meets the others in its first bins only
+    near = [sign[0]] + [x ^ 0xFF00000000 for x in sign[1:]]  # meets them there and in the lower bands
+    rows = spark.createDataFrame([(0, 48, *far), (1, 48, *sign), (2, 48, *near)], "line long, own int, " + ", ".join(f"s{k} long" for k in range(6)))
+    _, doubtful = lines.band_edges(rows, [f"s{k}" for k in range(6)])
+    assert {(1, 2), (0, 1), (0, 2)} == set(map(tuple, doubtful.collect()))
+
+
 def test_packing_keeps_conflicts_apart(docs):
     rows = [r for r in packing.pack(docs, capacity=200).collect() if r["bin"]]
     bins = {}
