@@ -40,7 +40,7 @@ PERCENT = 80
 #: Bins of 48 that must agree before sets are compared; at a coefficient of 0.8, 38 do on average.
 AGREE = 25
 #: Bins not borrowed under which a signature says too little to tell lines apart.
-OWN = 0
+OWN = 42
 #: Lines of a band of which all pairs are looked at.
 FEW = 32
 TASK_RUNS = 1 << 19

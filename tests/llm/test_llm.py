@@ -236,6 +236,18 @@ def test_a_stranger_first_in_a_band_hides_no_pair(spark):
     assert {(1, 2), (0, 1), (0, 2)} == set(map(tuple, doubtful.collect()))
 
 
+def test_short_lines_that_meet_are_compared(spark):
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 8)) for _ in range(300)]
+    texts += [x + "q" for x in texts]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id long, text string")
+    bytes_ = hashing.mix(lines.signatures(texts)).astype(np.uint8).reshape(len(texts), 12, 4)
+    meet = [(bytes_[i] == bytes_[i + 300]).all(1).any() for i in range(300)]
+    gone = {r["key"] for r in lines.removed_lines(docs).collect()}
+    keys = [r["k"] for r in docs.select(F.xxhash64("doc_id", "text").alias("k"), "doc_id").orderBy("doc_id").collect()]
+    assert [keys[i + 300] in gone for i in range(300)] == meet
+
+
 def test_packing_keeps_conflicts_apart(docs):
     rows = [r for r in packing.pack(docs, capacity=200).collect() if r["bin"]]
     bins = {}
