@@ -260,6 +260,19 @@ def test_packing_keeps_conflicts_apart(docs):
     assert sum(r["words"] for r in rows) == sum(len(split(t)) for _, t, *_ in ROWS)
 
 
+def test_a_source_is_in_a_bin_once_per_lane_at_most():
+    sizes = np.sort(np.random.default_rng(8).integers(5, 16, 300))[::-1].copy()
+    source = np.arange(300) % 3
+    lane = packing.lanes(sizes, source, 200)
+    bins, _ = packing.best_fit(sizes, lane, np.full(300, -1), 200)
+    assert max(Counter(zip(bins.tolist(), lane.tolist())).values()) == 1
+    at_best = -(-int(sizes.sum()) // 200)
+    for k in range(3):
+        most = -(-100 // at_best)
+        assert len(set(lane[source == k].tolist())) == most
+        assert max(Counter(bins[source == k].tolist()).values()) <= most
+
+
 def test_classifiers_learn(spark):
     texts = [(i, prose(i, 30) + (" horribleword" if i % 4 == 0 else ""), i % 4 == 0) for i in range(400)]
     rows = spark.createDataFrame([(i, t if i % 3 else (t.split()[0] + " ") * 30) for i, t, _ in texts], "doc_id long, text string")
