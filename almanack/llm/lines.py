@@ -283,18 +283,14 @@ def band_edges(lines: DataFrame, packed: list[str]) -> tuple[DataFrame, DataFram
     """Edges ``a, b`` of lines that meet in a band: those that stand, and those whose signatures must agree.
 
     Lines of few runs (``own`` under ``OWN``) are tied to the first such line of the band, as their
-    signatures say little.  All other pairs of a band of up to ``FEW`` lines are looked at; a larger
-    band is split by each of the other bands, and where that leaves many, they are tied to their first.
+    signatures say little.  All other pairs of a band of up to ``FEW`` lines are looked at; in a larger
+    band all are tied to the first, so none is lost.
     """
     bands = F.array(*[F.xxhash64(F.lit(2 * k + half), F.shiftrightunsigned(s, 32 * half).bitwiseAND(F.lit(0xFFFFFFFF))) for k, s in enumerate(packed) for half in (0, 1)])
     met = lines.select("line", (F.col("own") < OWN).alias("few"), F.explode(bands).alias("band"))
     met = settle(met.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("band"))).where("members > 1"), "met")
-    large = met.where(f"members > {FEW}").select("line", "few", "band")
-    split = large.join(lines.select("line", F.explode(bands).alias("other")), "line").where("band != other")
-    split = split.select("line", "few", F.xxhash64(F.least("band", "other"), F.greatest("band", "other")).alias("sub")).distinct()
-    split = settle(split.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("sub"))).where("members > 1"), "split")
-    free = _hubs(met.where("few"), "band").unionByName(_hubs(split.where(f"members > {FEW}"), "sub"))
-    doubtful = _pairs(met.where(f"members <= {FEW}"), "band").unionByName(_pairs(split.where(f"members <= {FEW}"), "sub"))
+    free = _hubs(met.where("few"), "band").unionByName(_hubs(met.where(f"members > {FEW}"), "band"))
+    doubtful = _pairs(met.where(f"members <= {FEW}"), "band")
     return free.distinct(), doubtful.distinct()
 
 
