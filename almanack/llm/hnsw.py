@@ -91,10 +91,19 @@ class Graph:
         self.vectors = self.vectors[self.order]
         levels = levels[self.order]
         self.sizes = [int((levels >= k).sum()) for k in range(int(levels.max(initial=0)) + 1)]
-        self.layers = [np.full((size, M0 if k == 0 else M), -1, np.int64) for k, size in enumerate(self.sizes)]
+        self.layers = [np.full((size, M0 if k == 0 else M), -1, np.int32) for k, size in enumerate(self.sizes)]
         for k in reversed(range(len(self.sizes))):
             self._fill(k)
 
+    @classmethod
+    def restored(cls, vectors: np.ndarray, layers: list[np.ndarray]) -> Graph:
+        """The graph over ``vectors`` in the order of the built one, with its ``layers``."""
+        graph = cls.__new__(cls)
+        graph.vectors = np.ascontiguousarray(vectors, np.float32)
+        graph.layers = layers
+        graph.sizes = [len(links) for links in layers]
+        return graph
+
     def _fill(self, layer: int) -> None:
         """Insert the vectors of a layer in growing batches; each batch sees what is there and itself."""
         n, links = self.sizes[layer], self.layers[layer]
