@@ -1,30 +1,36 @@
 """Operator 9: fuzzy line dedup by MinHash.
 
 Method: a line's set is its distinct runs of five characters.  One hash per
-run fills a signature of 48 bins (one-permutation MinHash, empty bins borrowing
-from the next); bands of four bins make lines meet.  Pairs that meet and agree in
-half of their signatures are candidates, and lines of few runs that meet, whatever
-their signatures; components of candidates are blocks,
-cut into bounded tasks, in which the exact Jaccard coefficient of the whole sets is
-compared (0.8 or more links).  Links are united by star contraction
+run fills a signature of 48 bins (one-permutation MinHash; an empty bin takes the value of
+another that hashing picks); each band of four whole bins is a 64-bit key, and lines that share
+a key meet.  Very short lines also meet by exact keys: their set, and their set without any one run.
+All that meet are tied together; components of these ties are blocks, cut into bounded
+tasks, in which the exact Jaccard coefficient of the whole sets alone decides (0.8
+or more links).  A block too large for a task is taken apart again: its
+lines are compared key by key.  Links are united by star contraction
 (:func:`.common.components`), and of each component one line stays: the first
 by document id and line number.  At a coefficient of 0.8 the twelve bands miss
-two in a thousand pairs.
+two in a thousand pairs; nothing else is lost.
 
 Lines are what lies between newlines; blank lines are no lines, they stay.
-Equal lines are one class from the start, so a line that a third of all
+Equal lines (by two hashes and length) are one class from the start, so a line that a third of all
 documents hold costs one row per task.  Texts are shuffled once, to be rewritten.
 
-Null and empty texts stay as they are.  Equal rows (id and text) become one. A
+Null and empty texts stay as they are.  Equal rows (id and text) become one: of those that differ
+in other columns the first by hash of the row. A
 document that loses its last line that is not blank is a duplicate as a whole and
-goes.  Null ids come after all others.  Empty tables give no rows.
+goes.  Ids keep their type; null ids come after all others.  Other columns pass unread, whatever their names.
+A very long text is read in stretches of lines; a line is never cut.  Empty tables give no rows.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import hashing as H
@@ -37,12 +43,8 @@ RUN = 5
 BINS = 48
 BAND = 4
 PERCENT = 80
-#: Bins of 48 that must agree before sets are compared; at a coefficient of 0.8, 38 do on average.
-AGREE = 25
-#: Bins not borrowed under which a signature says too little to tell lines apart.
-OWN = 42
-#: Lines of a band of which all pairs are looked at.
-FEW = 32
+#: Sets of at most so many runs also meet by exact keys.
+TINY = 10
 TASK_RUNS = 1 << 19
 #: Characters hashed at once.
 SLICE = 1 << 17
@@ -51,9 +53,8 @@ _BASE = _U(0x2127599BF4325C37)
 _EMPTY = _U(0xFFFFFFFFFFFFFFFF)
 
 
-def _batches(pdf: pd.DataFrame):
-    """(texts' numbers, lines' texts' numbers, line numbers, lines) for lots of about a million characters."""
-    texts = pdf["text"].tolist()
+def _batches(texts: list):
+    """(texts' numbers of lines, line numbers, lines) for lots of about half a million characters."""
     owner, number, lines, size = [], [], [], 0
     for k, text in enumerate(texts):
         if not text:
@@ -118,61 +119,115 @@ def hash_short(line: str) -> int:
     return out
 
 
-def signatures(lines: list[str]) -> np.ndarray:
-    out = np.full((len(lines), BINS), _EMPTY, _U)
-    for low, high in _slices(lines):
-        hashes, owner = _runs(lines[low:high])
-        bins = ((hashes >> _U(32)) * _U(BINS)) >> _U(32)
-        some = out[low:high]
-        np.minimum.at(some.reshape(-1), owner * BINS + bins.astype(np.int64), hashes & _U(0xFFFFFFFF))
-        gaps = np.flatnonzero((some == _EMPTY).any(axis=1))
-        some[gaps] = _filled(some[gaps])
-    return out
+def _borrowed() -> np.ndarray:
+    """For each bin the order in which the others are asked when it is empty."""
+    rng = np.random.default_rng(17)
+    return np.stack([rng.permutation(BINS) for _ in range(BINS)])
+
+
+_ASKED = _borrowed()
 
 
 def _filled(some: np.ndarray) -> np.ndarray:
-    """Signatures in which an empty bin takes the value of the next one that isn't, marked by its distance."""
-    at = np.arange(2 * BINS)
-    held = np.where(np.tile(some != _EMPTY, 2), at, 2 * BINS)
-    following = np.minimum.accumulate(held[:, ::-1], axis=1)[:, ::-1][:, :BINS]
-    return np.take_along_axis(some, following % BINS, axis=1) + ((following - at[:BINS]).astype(_U) << _U(32))
+    """Signatures in which an empty bin takes the value of the first that isn't, in an order of its own."""
+    out = some.copy()
+    for low in range(0, len(some), 512):
+        part, held = some[low : low + 512], some[low : low + 512] != _EMPTY
+        source = _ASKED[np.arange(BINS), held[:, _ASKED].argmax(axis=2)]
+        out[low : low + 512] = np.where(held, part, np.take_along_axis(part, source, axis=1))
+    return out
+
+
+def signatures(lines: list[str]) -> np.ndarray:
+    """The least hash of each line's runs in each of ``BINS`` bins."""
+    return np.concatenate([np.zeros((0, BINS), _U), *(_signed(*_runs(lines[low:high]), high - low) for low, high in _slices(lines))])
+
+
+def _signed(hashes: np.ndarray, owner: np.ndarray, m: int) -> np.ndarray:
+    out = np.full((m, BINS), _EMPTY, _U)
+    bins = ((hashes >> _U(32)) * _U(BINS)) >> _U(32)
+    np.minimum.at(out.reshape(-1), owner * BINS + bins.astype(np.int64), hashes & _U(0xFFFFFFFF))
+    gaps = np.flatnonzero((out == _EMPTY).any(axis=1))
+    out[gaps] = _filled(out[gaps])
+    return out
 
 
-def own_bins(some: np.ndarray) -> np.ndarray:
-    """How many bins of each signature are not borrowed."""
-    return (some >> _U(32) == 0).sum(axis=1)
+def bands(some: np.ndarray) -> np.ndarray:
+    """One 64-bit key for each ``BAND`` bins of each signature."""
+    parts = some.reshape(len(some), BINS // BAND, BAND)
+    key = np.broadcast_to(np.arange(1, BINS // BAND + 1, dtype=_U), parts.shape[:2])
+    for k in range(BAND):
+        key = H.mix(key * _BASE + parts[:, :, k])
+    return key
+
+
+def _tiny_keys(hashes: np.ndarray, owner: np.ndarray, few: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exact keys of the lines ``few``, by line: the sum of the set's hashes, and the sums without one of them."""
+    inside = np.isin(owner, few)
+    pairs = np.unique(np.stack((owner[inside].astype(_U), hashes[inside]), 1), axis=0)
+    of, h = pairs[:, 0].astype(np.int64), pairs[:, 1]
+    size = np.bincount(of, minlength=int(few.max()) + 1)
+    keep = size[of] <= TINY
+    of, h = of[keep], h[keep]
+    total = np.zeros(len(size), _U)
+    np.add.at(total, of, H.mix(h.copy()))
+    lines = np.flatnonzero((size > 0) & (size <= TINY))
+    # a set of up to three runs has only itself as a partner
+    less = size[of] >= 4
+    keys = H.mix(np.concatenate((total[lines], total[of[less]] - H.mix(h[less].copy()))) + _U(99))
+    whose = np.concatenate((lines, of[less]))
+    order = np.argsort(whose, kind="stable")
+    return keys[order], whose[order]
+
+
+def meeting_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys by which the lines meet others, one line after the other, and their offsets."""
+    keys, counts = [np.zeros(0, _U)], [np.zeros(0, np.int64)]
+    for low, high in _slices(lines):
+        m = high - low
+        hashes, owner = _runs(lines[low:high])
+        key, whose = bands(_signed(hashes, owner, m)).ravel(), np.repeat(np.arange(m), BINS // BAND)
+        few = np.flatnonzero(np.bincount(owner, minlength=m) <= 2 * TINY)
+        if len(few):
+            more, of = _tiny_keys(hashes, owner, few)
+            order = np.argsort(np.concatenate((whose, of)), kind="stable")
+            key, whose = np.concatenate((key, more))[order], np.concatenate((whose, of))[order]
+        keys.append(key)
+        counts.append(np.bincount(whose, minlength=m))
+    return np.concatenate(keys), np.concatenate(([0], np.cumsum(np.concatenate(counts))))
 
 
-_LINE = "key long, doc_id string, number int, line long, n int, own int, first boolean, " + ", ".join(f"s{k} long" for k in range(6))
+_LINE = "key long, id string, number int, line long, crc long, n int, keys array<long>"
 
 
 @trimmed
 def _read_lines(batches):
-    for pdf in batches:
-        keys, ids = pdf["key"].to_numpy(), pdf["doc_id"].to_numpy(object)
-        for owner, number, lines in _batches(pdf):
+    for batch in batches:
+        key, ids = batch.column("key"), batch.column("id")
+        for owner, number, lines in _batches(batch.column("text").to_pylist()):
             h = _line_hashes(lines)
-            # a signature, one byte of each bin, goes with the first of equal lines of a lot
+            # the keys go with the first of equal lines of a lot
             _, at = np.unique(h, return_index=True)
-            first = np.zeros(len(lines), bool)
-            first[at] = True
-            small = np.zeros((len(lines), BINS), np.uint8)
-            whole = signatures([lines[i] for i in at.tolist()])
-            small[at] = H.mix(whole).astype(np.uint8)
-            own = np.zeros(len(lines), np.int32)
-            own[at] = own_bins(whole)
-            packed = small.view(np.int64)
-            yield pd.DataFrame({"key": keys[owner], "doc_id": ids[owner], "number": number.astype(np.int32), "line": h, "n": np.array([len(x) for x in lines], np.int32), "own": own, "first": first}
-                               | {f"s{k}": packed[:, k] for k in range(6)})
+            keys, ends = meeting_keys([lines[i] for i in at.tolist()])
+            counts = np.zeros(len(lines), np.int64)
+            counts[at] = np.diff(ends)
+            turn = np.argsort(at, kind="stable")
+            pick = np.repeat(ends[:-1][turn] - np.cumsum(counts[at][turn]) + counts[at][turn], counts[at][turn]) + np.arange(len(keys))
+            offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+            where = pa.array(owner)
+            yield pa.RecordBatch.from_arrays([
+                key.take(where), ids.take(where), pa.array(number.astype(np.int32)), pa.array(h), pa.array(np.array([zlib.crc32(x.encode("utf-8", "surrogatepass")) for x in lines], np.int64)),
+                pa.array(np.array([len(x) for x in lines], np.int32)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[pick].view(np.int64))),
+            ], ["key", "id", "number", "line", "crc", "n", "keys"])
 
 
 def _fetch(bits):
     @trimmed
     def run(batches):
         for pdf in batches:
-            for _, _, lines in _batches(pdf):
+            for _, _, lines in _batches(pdf["text"].tolist()):
                 h = _line_hashes(lines)
-                where = np.flatnonzero(marks.marked(bits.value, h))
+                where = np.flatnonzero(marks.marked(bits, h))
                 where = where[np.unique(h[where], return_index=True)[1]]
                 if len(where):
                     lines = [lines[i] for i in where.tolist()]
@@ -258,103 +313,101 @@ def _compare(percent: int):
     return run
 
 
-def _differ(x: Column, y: Column) -> Column:
-    """Number of bytes in which two longs differ: each byte's bits are gathered in its lowest."""
-    z = x.bitwiseXOR(y)
-    for shift in (4, 2, 1):
-        z = z.bitwiseOR(F.shiftrightunsigned(z, shift))
-    return F.bit_count(z.bitwiseAND(F.lit(0x0101010101010101)))
-
+def _marked_keys(bits):
+    @trimmed
+    def run(batches):
+        for batch in batches:
+            keys = batch.column("keys").combine_chunks() if isinstance(batch.column("keys"), pa.ChunkedArray) else batch.column("keys")
+            band = keys.flatten().to_numpy()
+            line = np.repeat(batch.column("line").to_numpy(), np.diff(keys.offsets.to_numpy()))
+            keep = marks.marked(bits, band)
+            yield pa.RecordBatch.from_arrays([pa.array(band[keep]), pa.array(line[keep])], ["band", "line"])
 
-def _pairs(rows: DataFrame, key: str) -> DataFrame:
-    """All pairs ``a, b`` of the lines that share ``key``, but those of two lines of few runs."""
-    own = rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("line", "few"))).alias("own"))
-    later = F.expr("flatten(transform(own, (x, i) -> transform(slice(own, i + 2, size(own)), y -> struct(x.line as a, y.line as b, x.few and y.few as few))))")
-    return own.select(F.inline(later)).where("not few").select("a", "b")
+    return run
 
 
-def _hubs(rows: DataFrame, key: str) -> DataFrame:
-    """Edges ``a, b`` from the first of the lines that share ``key`` to the others."""
-    first = F.first("line").over(Window.partitionBy(key).orderBy("line"))
-    return rows.select(first.alias("a"), F.col("line").alias("b")).where("a != b")
+def meetings(keyed: DataFrame) -> DataFrame:
+    """Settled ``band, line, hub`` for the keys that several distinct lines share, from ``line, keys``; ``hub`` is the smallest.
 
+    The smallest line of a key is a partial aggregate, and only rows of keys
+    that are marked as shared are joined with it, so a hot key is split.
+    """
+    hubs = keyed.select("line", F.explode("keys").alias("band")).groupBy("band").agg(F.min("line").alias("hub"), F.max("line").alias("top"))
+    hubs = settle(hubs.where("hub != top").select("band", "hub"), "hubs")
+    bits = marks.bitmap(hubs.select(F.col("band").alias("key")))
+    shared = keyed.select("line", "keys").mapInArrow(_marked_keys(bits), "band long, line long")
+    return settle(shared.join(hubs, "band"), "met")
 
-def band_edges(lines: DataFrame, packed: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Edges ``a, b`` of lines that meet in a band: those that stand, and those whose signatures must agree.
 
-    Lines of few runs (``own`` under ``OWN``) are tied to the first such line of the band, as their
-    signatures say little.  All other pairs of a band of up to ``FEW`` lines are looked at; in a larger
-    band all are tied to the first, so none is lost.
-    """
-    bands = F.array(*[F.xxhash64(F.lit(2 * k + half), F.shiftrightunsigned(s, 32 * half).bitwiseAND(F.lit(0xFFFFFFFF))) for k, s in enumerate(packed) for half in (0, 1)])
-    met = lines.select("line", (F.col("own") < OWN).alias("few"), F.explode(bands).alias("band"))
-    met = settle(met.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("band"))).where("members > 1"), "met")
-    free = _hubs(met.where("few"), "band").unionByName(_hubs(met.where(f"members > {FEW}"), "band"))
-    doubtful = _pairs(met.where(f"members <= {FEW}"), "band")
-    return free.distinct(), doubtful.distinct()
-
-
-def line_links(docs: DataFrame, lines: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links ``a, b`` between the distinct ``lines`` (``line``, ``own`` bins and signature ``s0`` to ``s5``) of ``docs``; between them they connect all that link."""
-    packed = [f"s{k}" for k in range(6)]
-    free, doubtful = band_edges(lines, packed)
-    doubtful = doubtful.join(lines.select(F.col("line").alias("a"), *[F.col(s).alias(f"a_{s}") for s in packed]), "a")
-    doubtful = doubtful.join(lines.select(F.col("line").alias("b"), *[F.col(s).alias(f"b_{s}") for s in packed]), "b")
-    apart = sum((_differ(F.col(f"a_{s}"), F.col(f"b_{s}")) for s in packed), F.lit(0))
-    edges = free.unionByName(doubtful.where(apart <= BINS - AGREE).select("a", "b"))
-    blocks = settle(components(edges).select("node", F.col("component").alias("block")), "blocks")
+def line_links(docs: DataFrame, keyed: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links ``a, b`` between the distinct lines of ``docs`` (``line`` and its ``keys``, repeated or not); between them they connect all that link."""
+    met = meetings(keyed)
+    blocks = settle(components(met.where("line != hub").select("hub", "line").distinct(), "hub", "line").select("node", F.col("component").alias("block")), "blocks")
     bits = marks.bitmap(blocks.select(F.col("node").alias("key")))
     sets = docs.select("text").mapInPandas(_fetch(bits), "node long, n int, text string")
     sets = settle(sets.join(blocks, "node").dropDuplicates(["node"]), "sets")
-    tasks = block_tasks(sets.select("node", "block", "n", F.col("n").cast("long").alias("weight")), percent / 100, TASK_RUNS)
+    # blocks that don't fit a task are left for the keys that made them
+    too_large = settle(sets.groupBy("block").agg(F.sum("n").alias("runs")).where(F.col("runs") > TASK_RUNS).select("block"), "large")
+    large = sets.select("node", "block", "n").join(too_large, "block", "left_semi")
+    by_key = met.select("band", F.col("line").alias("node")).distinct().join(large.select("node", "n"), "node").select("node", F.col("band").alias("block"), "n")
+    members = sets.select("node", "block", "n").join(too_large, "block", "left_anti").unionByName(by_key)
+    tasks = block_tasks(settle(members.withColumn("weight", F.col("n").cast("long")), "members"), percent / 100, TASK_RUNS)
     return tasks.join(sets.select("node", "text"), "node").groupBy("task").applyInPandas(_compare(percent), "a long, b long")
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.xxhash64("doc_id", "text").alias("key"), F.col("doc_id").cast("string").alias("id"), "text")
+
+
 def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``key, numbers`` for every text that loses lines: their numbers from 0; ``key`` is xxhash64 of id and text."""
+    """``key, id, numbers`` for every text that loses lines: their numbers from 0; ``key`` is xxhash64 of id and text, ``id`` the id as text."""
     ship(docs.sparkSession)
-    rows = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.col("doc_id").cast("string").alias("doc_id"), "text")
-    seen = settle(rows.mapInPandas(_read_lines, _LINE), "lines")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("doc_id"), "key", "number")
-    # equal lines are one before they meet others: a line of a third of all documents is one row in its bands
-    signature = [F.min(F.when(F.col("first"), F.col(s))).alias(s) for s in ("own", *(f"s{k}" for k in range(6)))]
-    lines = settle(seen.groupBy("line", "n").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"), *signature), "distinct")
-    united = components(line_links(rows, lines, percent)).select(F.col("node").alias("line"), F.col("component").alias("root"))
+    own_type = docs.schema["doc_id"].dataType
+    rows = _rows(docs)
+    seen = settle(rows.mapInArrow(_read_lines, _LINE), "lines")
+    place = F.struct(F.col("id").isNull().alias("none"), F.col("id").cast(own_type).alias("doc_id"), "id", "key", "number")
+    same = ["line", "crc", "n"]
+    lines = seen.groupBy(*same).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"))
+    linked = line_links(rows, seen.where(F.size("keys") > 0).select("line", "keys"), percent)
+    united = components(linked).select(F.col("node").alias("line"), F.col("component").alias("root"))
     # lines that occur once and link with nothing need no decision
-    classes = lines.select("line", "n", "first", "times").join(united, "line", "left").where("root is not null or times > 1").withColumn("root", F.coalesce("root", "line"))
+    classes = settle(lines.join(united, "line", "left").where("root is not null or times > 1").withColumn("root", F.coalesce("root", F.xxhash64(*same))), "classes")
     kept = classes.groupBy("root").agg(F.min("first").alias("kept"))
-    decided = classes.join(kept, "root").select("line", "n", F.col("kept.key").alias("kept_key"), F.col("kept.number").alias("kept_number"))
-    gone = seen.select("key", "number", "line", "n").join(decided, ["line", "n"]).where("key != kept_key or number != kept_number")
-    return gone.groupBy("key").agg(F.collect_set("number").alias("numbers"))
+    decided = classes.join(kept, "root").select(*same, "kept")
+    gone = seen.select("key", "id", "number", *same).join(decided, same).where("key != kept.key or number != kept.number or not id <=> kept.id")
+    return gone.groupBy("key", "id").agg(F.collect_set("number").alias("numbers"))
 
 
 def rewrite(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    """All columns of ``docs``, texts without the removed lines; adds ``_key``, ``_n_lines`` and ``_n_removed``.
+    """``row`` (all columns of ``docs``), ``text`` without the removed lines, ``n_lines`` and ``n_removed``.
 
-    Equal rows are one; texts that lost every line that is not blank are there, empty.
+    Equal rows (id and text) are one; texts that lost every line that is not blank are there, empty.
     """
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text")).join(removed.select(F.col("key").alias("_key"), F.col("numbers").alias("_numbers")), "_key", "left")
-    once = keyed.withColumn("_copy", F.row_number().over(Window.partitionBy("_key").orderBy("_key"))).where("_copy = 1").drop("_copy")
-    once = once.withColumn("_lines", F.split("text", "\n")).withColumn("_left", F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_numbers"))
-    text = F.when(F.col("_numbers").isNull(), F.col("text")).otherwise(F.array_join(F.transform("_left", lambda i: F.get("_lines", i)), "\n"))
-    filled = F.size(F.filter("_lines", lambda x: x.rlike(r"(?U)[^\s\x1C-\x1F]")))
-    counted = once.withColumn("_n_removed", F.coalesce(F.size("_numbers"), F.lit(0))).withColumn("_text", text)
-    counted = counted.withColumn("_n_lines", F.when(F.col("text").isNull(), 0).otherwise(filled))
-    counted = counted.withColumn("_text", F.when((F.col("_n_removed") > 0) & (F.col("_n_removed") >= F.col("_n_lines")), F.lit("")).otherwise(F.col("_text")))
-    return counted.select(*[counted["_text"].alias("text") if c == "text" else counted[f"`{c}`"] for c in docs.columns], "_key", "_n_lines", "_n_removed")
+    keyed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")).withColumn("key", F.xxhash64("row.doc_id", "row.text")).withColumn("id", F.col("row.doc_id").cast("string"))
+    first = F.row_number().over(Window.partitionBy("key", "id").orderBy(F.xxhash64("row")))
+    once = keyed.withColumn("copy", first).where("copy = 1").select("row", "key", "id")
+    gone = removed.select(F.col("key").alias("k"), F.col("id").alias("i"), "numbers")
+    once = once.join(gone, (F.col("key") == F.col("k")) & F.col("id").eqNullSafe(F.col("i")), "left")
+    once = once.select("row", "numbers", F.split("row.text", "\n").alias("lines"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "numbers")
+    text = F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n")
+    filled = F.size(F.filter("lines", lambda x: x.rlike(r"(?U)[^\s\x1C-\x1F]")))
+    counted = once.select("row", text.alias("left"), F.when(F.col("row.text").isNull(), 0).otherwise(filled).alias("n_lines"), F.coalesce(F.size("numbers"), F.lit(0)).alias("n_removed"))
+    whole = (F.col("n_removed") > 0) & (F.col("n_removed") >= F.col("n_lines"))
+    return counted.select("row", F.when(whole, "").when(F.col("n_removed") > 0, F.col("left")).otherwise(F.col("row.text")).alias("text"), "n_lines", "n_removed")
 
 
 def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one line of each component left, without documents that lost all lines."""
-    out = rewrite(docs, removed_lines(docs, percent))
-    return out.where("_n_removed = 0 or _n_removed < _n_lines").select(*[f"`{c}`" for c in docs.columns])
+    out = rewrite(docs, removed_lines(docs, percent)).where("n_removed = 0 or n_removed < n_lines")
+    return out.select(*[out["text"] if c == "text" else out["row"].getField(c).alias(c) for c in docs.columns])
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fuzzy line dedup of all documents: ``doc_id, n_lines, n_removed, kept_sha256``."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return rewrite(docs, removed_lines(docs)).select(
-        "doc_id", F.col("_n_lines").cast("long").alias("n_lines"), F.col("_n_removed").cast("long").alias("n_removed"),
+        "row.doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.col("n_removed").cast("long").alias("n_removed"),
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )
 

@@ -1,7 +1,9 @@
-"""A bitmap of keys, of a fixed size, by which a second reading of the texts passes over rows without candidates.
+"""A bitmap of keys by which a second reading of the texts passes over rows without candidates.
 
 A set bit may be another key's, so what it lets through is joined by key
-afterwards.  The size is constant: 2 MB, whatever the input.
+afterwards.  It has 16 bits or more for each key up to ``MOST_BITS`` (16 MB, the bound of what is
+broadcast), and beyond that fewer; once it would let nearly all pass there is none, and
+the join does the work alone.
 """
 
 from __future__ import annotations
@@ -13,25 +15,28 @@ from pyspark.sql import DataFrame
 
 from .memory import trim, trimmed
 
-BITS = 1 << 24
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27
 _SHARD = 1 << 12
 _U = np.uint64
 
 
-def _place(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = keys.view(_U) & _U(BITS - 1)
+def _place(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    at = keys.view(_U) & _U(bits - 1)
     return (at >> _U(3)).astype(np.int64), (at & _U(7)).astype(np.uint8)
 
 
-@trimmed
-def _mark(batches):
-    bits = np.zeros(BITS // 8, np.uint8)
-    for pdf in batches:
-        byte, bit = _place(pdf["key"].to_numpy())
-        np.bitwise_or.at(bits, byte, np.uint8(1) << bit)
-    shards = bits.reshape(-1, _SHARD)
-    some = np.flatnonzero(shards.any(axis=1)).astype(np.int32)
-    yield pd.DataFrame({"shard": some, "bits": [shards[i].tobytes() for i in some.tolist()]})
+def _mark(bits: int):
+    @trimmed
+    def run(batches):
+        held = np.zeros(bits // 8, np.uint8)
+        for pdf in batches:
+            byte, bit = _place(pdf["key"].to_numpy(), bits)
+            np.bitwise_or.at(held, byte, np.uint8(1) << bit)
+        shards = held.reshape(-1, _SHARD)
+        some = np.flatnonzero(shards.any(axis=1)).astype(np.int32)
+        yield pd.DataFrame({"shard": some, "bits": [shards[i].tobytes() for i in some.tolist()]})
+
+    return run
 
 
 def _join(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -41,12 +46,16 @@ def _join(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"shard": pdf["shard"][:1], "bits": [total.tobytes()]})
 
 
-def bitmap(keys: DataFrame) -> Broadcast:
-    """The bitmap of the column ``key`` (64-bit hashes, not null), united in Spark and broadcast."""
+def bitmap(keys: DataFrame) -> Broadcast | None:
+    """The bitmap of the column ``key`` (64-bit hashes, not null), united in Spark and broadcast; none for too many keys."""
+    n = keys.count()
+    if n > MOST_BITS:
+        return None
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * n).bit_length()))
     schema = "shard int, bits binary"
-    shards = keys.select("key").mapInPandas(_mark, schema).groupBy("shard").applyInPandas(_join, schema)
-    out = np.zeros((BITS // 8 // _SHARD, _SHARD), np.uint8)
-    for row in shards.collect():  # BITS bits in all
+    shards = keys.select("key").mapInPandas(_mark(bits), schema).groupBy("shard").applyInPandas(_join, schema)
+    out = np.zeros((bits // 8 // _SHARD, _SHARD), np.uint8)
+    for row in shards.collect():  # ``bits`` in all
         out[row["shard"]] = np.frombuffer(row["bits"], np.uint8)
     sent = keys.sparkSession.sparkContext.broadcast(out.ravel())
     del out
@@ -54,6 +63,10 @@ def bitmap(keys: DataFrame) -> Broadcast:
     return sent
 
 
-def marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    byte, bit = _place(keys)
-    return ((bits[byte] >> bit) & 1).astype(bool)
+def marked(bits: Broadcast | None, keys: np.ndarray) -> np.ndarray:
+    """Which of ``keys`` may be in the bitmap; all if there is none."""
+    if bits is None:
+        return np.ones(len(keys), bool)
+    held = bits.value
+    byte, bit = _place(keys, 8 * len(held))
+    return ((held[byte] >> bit) & 1).astype(bool)

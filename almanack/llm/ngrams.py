@@ -148,7 +148,7 @@ def _pick(bits):
     @trimmed
     def run(batches):
         for pdf in batches:
-            yield pdf[marks.marked(bits.value, pdf["key"].to_numpy())]
+            yield pdf[marks.marked(bits, pdf["key"].to_numpy())]
 
     return run
 

@@ -1,0 +1,141 @@
+"""The registered queries over the smallest tables, each against a brute-force version."""
+
+import hashlib
+import os
+import re
+from collections import defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+
+from almanack.llm import embeddings, lines
+
+D = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(D), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def documents():
+    rows = duckdb.sql(f"select * from '{D}/documents.parquet' order by doc_id").df()
+    rows["text"] = [t if isinstance(t, str) else None for t in rows["text"]]
+    rows["source"] = [t if isinstance(t, str) else None for t in rows["source"]]
+    return rows
+
+
+def rows_of(frame, key):
+    out = {}
+    for r in frame.collect():
+        assert r[key] not in out
+        out[r[key]] = r
+    return out
+
+
+def roots(pairs, nodes):
+    top = {x: x for x in nodes}
+
+    def root(x):
+        while top[x] != x:
+            top[x] = top[top[x]]
+            x = top[x]
+        return x
+
+    for a, b in pairs:
+        u, v = root(a), root(b)
+        top[max(u, v)] = min(u, v)
+    return {x: root(x) for x in nodes}
+
+
+def near_sets(sets, percent):
+    """Pairs of numbers of sets with ``100 * shared >= percent * united``, by an inverted index."""
+    holders, pairs = defaultdict(list), []
+    for i, s in enumerate(sets):
+        shared = defaultdict(int)
+        for x in s:
+            for j in holders[x]:
+                shared[j] += 1
+            holders[x].append(i)
+        pairs += [(j, i) for j, n in shared.items() if 100 * n >= percent * (len(s) + len(sets[j]) - n)]
+    return pairs
+
+
+def line_sets(texts):
+    first = {}
+    for k, text in enumerate(texts):
+        for i, line in enumerate((text or "").split("\n")):
+            if line.strip():
+                first.setdefault(line, (k, i))
+    names = list(first)
+    sets = [{x[i : i + 5] for i in range(max(1, len(x) - 4))} for x in names]
+    linked = roots(near_sets(sets, 80), range(len(names)))
+    return {names[i]: first[names[r]] for i, r in linked.items()}
+
+
+def test_op9_keeps_the_lines_that_brute_force_keeps(spark, documents):
+    kept = line_sets(documents["text"])
+    got = rows_of(lines.op9_line_dedup(spark, D), "doc_id")
+    for k, (doc, text) in enumerate(zip(documents["doc_id"], documents["text"])):
+        every = (text or "").split("\n")
+        gone = [bool(x.strip()) and kept[x] != (k, i) for i, x in enumerate(every)]
+        n = sum(bool(x.strip()) for x in every)
+        left = "" if sum(gone) and sum(gone) == n else "\n".join(x for x, out in zip(every, gone) if not out)
+        assert (got[doc]["n_lines"], got[doc]["n_removed"]) == (n, sum(gone)), doc
+        assert got[doc]["kept_sha256"] == hashlib.sha256(left.encode()).hexdigest(), doc
+
+
+def test_op9_short_and_crowded_lines_lose_no_links(spark):
+    rng = np.random.default_rng(4)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    pairs = []
+    for size in (8, 9, 10, 12, 14, 20, 30, 60):
+        for _ in range(150):
+            a = "".join(letters[rng.integers(0, 26, size)])
+            pairs.append((a, a + str(letters[rng.integers(0, 26)])))
+    stem = "".join(letters[rng.integers(0, 26, 200)])
+    crowd = [stem[:k] + "#" + stem[k + 1 :] for k in range(200)]
+    texts = [x for p in pairs for x in p] + crowd
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    left = {r["doc_id"] for r in lines.dedup_lines(docs).collect()}
+    lost = sum(2 * i + 1 in left for i in range(len(pairs)))
+    assert lost <= len(pairs) * 0.01
+    assert all(2 * i in left for i in range(len(pairs)))
+    assert len([x for x in left if x >= 2 * len(pairs)]) == 1
+
+
+def test_op9_a_block_larger_than_a_task_is_compared_by_keys(spark, monkeypatch):
+    monkeypatch.setattr(lines, "TASK_RUNS", 400)
+    base = "the quick brown fox jumps over the lazy dog near the river bank %04d"
+    texts = [base % i for i in range(40)] + ["nothing like the others at all, number one", "nothing like the others at all, number two"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    kept = line_sets(texts)
+    assert {r["doc_id"] for r in lines.dedup_lines(docs).collect()} == {k for k, _ in kept.values()}
+
+
+def test_op7_links_and_components(spark):
+    rows = duckdb.sql(f"select vec_id, embedding from '{D}/embeddings.parquet' order by vec_id").df()
+    check_vectors(spark, rows["vec_id"].tolist(), np.stack(rows["embedding"].to_list()).astype(float), embeddings.op7_embedding_near_dedup(spark, D))
+
+
+def check_vectors(spark, ids, x, got, recall=0.99):
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    got = rows_of(got, "vec_id")
+    found = np.array([got[i]["n_links"] for i in ids])
+    assert (found <= near.sum(1)).all()
+    has = near.sum(1) > 0
+    assert found.sum() == near.sum() == 0 or (found[has] / near.sum(1)[has]).mean() >= recall
+    want = roots(np.argwhere(near).tolist(), range(len(ids)))
+    same = [got[i]["component_id"] == ids[want[k]] for k, i in enumerate(ids)]
+    assert np.mean(same) >= recall
+    assert all(got[i]["kept"] == (got[i]["component_id"] == i) for i in ids)
+
+
+def test_op7_a_dense_third_of_the_vectors(spark):
+    rng = np.random.default_rng(8)
+    lone = rng.standard_normal((1200, 32))
+    twins = lone[:200] + 0.03 * rng.standard_normal((200, 32))
+    dense = rng.standard_normal(32) + 0.05 * rng.standard_normal((700, 32))
+    x = np.concatenate((lone, twins, dense)).astype(np.float32)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    check_vectors(spark, list(range(len(x))), x.astype(float), embeddings.near_vectors(table))
