@@ -2,15 +2,16 @@
 
 Method: a line's set is its distinct runs of five characters.  One hash per
 run fills a signature of 48 bins (one-permutation MinHash; an empty bin takes the value of
-another that hashing picks); each band of four whole bins is a 64-bit key, and lines that share
+another that hashing picks); each band of four whole bins is a key, and lines that share
 a key meet.  Very short lines also meet by exact keys: their set, and their set without any one run.
-All that meet are tied together; components of these ties are blocks, cut into bounded
+All pairs that meet are looked at, but for those that a sketch of 128 bits tells apart
+(:func:`sketches`); components of the others are blocks, cut into bounded
 tasks, in which the exact Jaccard coefficient of the whole sets alone decides (0.8
 or more links).  A block too large for a task is taken apart again: its
 lines are compared key by key.  Links are united by star contraction
 (:func:`.common.components`), and of each component one line stays: the first
 by document id and line number.  At a coefficient of 0.8 the twelve bands miss
-two in a thousand pairs; nothing else is lost.
+two in a thousand pairs, and the sketches one in a hundred thousand; nothing else is lost.
 
 Lines are what lies between newlines; blank lines are no lines, they stay.
 Equal lines (by two hashes and length) are one class from the start, so a line that a third of all
@@ -45,6 +46,11 @@ BAND = 4
 PERCENT = 80
 #: Sets of at most so many runs also meet by exact keys.
 TINY = 10
+#: Bins not borrowed from which on a sketch is of the signature, and bins of 48 in which two such sketches must
+#: agree: two bits a bin agree in 41 of 48 at a coefficient of 0.8, with a deviation of 2.5.
+OWN, AGREE = 36, 30
+#: Lines of a key in a task; rows with keys in a task; keys sent at once.
+MEET, MEET_ROWS, SENT = 2048, 1 << 17, 1 << 21
 TASK_RUNS = 1 << 19
 #: Characters hashed at once.
 SLICE = 1 << 17
@@ -140,16 +146,47 @@ def _filled(some: np.ndarray) -> np.ndarray:
 
 def signatures(lines: list[str]) -> np.ndarray:
     """The least hash of each line's runs in each of ``BINS`` bins."""
-    return np.concatenate([np.zeros((0, BINS), _U), *(_signed(*_runs(lines[low:high]), high - low) for low, high in _slices(lines))])
+    return np.concatenate([np.zeros((0, BINS), _U), *(_signed(*_runs(lines[low:high]), high - low)[0] for low, high in _slices(lines))])
 
 
-def _signed(hashes: np.ndarray, owner: np.ndarray, m: int) -> np.ndarray:
+def _signed(hashes: np.ndarray, owner: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures, and how many bins of each are not borrowed."""
     out = np.full((m, BINS), _EMPTY, _U)
     bins = ((hashes >> _U(32)) * _U(BINS)) >> _U(32)
     np.minimum.at(out.reshape(-1), owner * BINS + bins.astype(np.int64), hashes & _U(0xFFFFFFFF))
-    gaps = np.flatnonzero((out == _EMPTY).any(axis=1))
+    own = (out != _EMPTY).sum(axis=1)
+    gaps = np.flatnonzero(own < BINS)
     out[gaps] = _filled(out[gaps])
-    return out
+    return out, own
+
+
+def sketches(hashes: np.ndarray, owner: np.ndarray, some: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """128 bits of each line: two of each bin of a signature with ``OWN`` bins of its own, else which of 128 cells its runs fall in.
+
+    Cells differ in no more places than sets in runs, so what they tell apart does not link for certain.
+    """
+    m = len(some)
+    cells = np.zeros((m, 128), bool)
+    cells.reshape(-1)[owner * 128 + (hashes & _U(127)).astype(np.int64)] = True
+    out = np.packbits(cells, axis=1)
+    full = np.flatnonzero(own >= OWN)
+    two = (H.mix(some[full]) & _U(3)).astype(np.uint8).reshape(len(full), BINS // 4, 4)
+    out[full] = 0
+    out[full, : BINS // 4] = (two << np.array([0, 2, 4, 6], np.uint8)).sum(axis=2, dtype=np.uint8)
+    return out.view(_U)
+
+
+def may_link(x: np.ndarray, y: np.ndarray, runs_x: np.ndarray, runs_y: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of sketches may be of lines that link; ``runs`` are negative for sketches of signatures.
+
+    Lines with sketches of different kinds are not told apart.
+    """
+    z = x ^ y
+    apart = np.bitwise_count(z).sum(axis=1)
+    unlike = np.bitwise_count((z | (z >> _U(1))) & _U(0x5555555555555555)).sum(axis=1)
+    most = (np.abs(runs_x) + np.abs(runs_y)) * (100 - percent) // (100 + percent)
+    signed = np.sign(runs_x) + np.sign(runs_y)
+    return np.where(signed == 0, True, np.where(signed < 0, unlike <= BINS - AGREE, apart <= most))
 
 
 def bands(some: np.ndarray) -> np.ndarray:
@@ -180,24 +217,28 @@ def _tiny_keys(hashes: np.ndarray, owner: np.ndarray, few: np.ndarray) -> tuple[
     return keys[order], whose[order]
 
 
-def meeting_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys by which the lines meet others, one line after the other, and their offsets."""
-    keys, counts = [np.zeros(0, _U)], [np.zeros(0, np.int64)]
+def meeting_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys by which the lines meet others, one line after the other, their offsets, sketches, and numbers of runs (negative: the sketch is of the signature)."""
+    keys, counts, sketch, runs = [np.zeros(0, _U)], [np.zeros(0, np.int64)], [np.zeros((0, 2), _U)], [np.zeros(0, np.int64)]
     for low, high in _slices(lines):
         m = high - low
         hashes, owner = _runs(lines[low:high])
-        key, whose = bands(_signed(hashes, owner, m)).ravel(), np.repeat(np.arange(m), BINS // BAND)
-        few = np.flatnonzero(np.bincount(owner, minlength=m) <= 2 * TINY)
+        some, own = _signed(hashes, owner, m)
+        key, whose = bands(some).ravel(), np.repeat(np.arange(m), BINS // BAND)
+        n = np.bincount(owner, minlength=m)
+        few = np.flatnonzero(n <= 2 * TINY)
         if len(few):
             more, of = _tiny_keys(hashes, owner, few)
             order = np.argsort(np.concatenate((whose, of)), kind="stable")
             key, whose = np.concatenate((key, more))[order], np.concatenate((whose, of))[order]
         keys.append(key)
         counts.append(np.bincount(whose, minlength=m))
-    return np.concatenate(keys), np.concatenate(([0], np.cumsum(np.concatenate(counts))))
+        sketch.append(sketches(hashes, owner, some, own))
+        runs.append(np.where(own >= OWN, -n, n))
+    return np.concatenate(keys), np.concatenate(([0], np.cumsum(np.concatenate(counts)))), np.concatenate(sketch), np.concatenate(runs)
 
 
-_LINE = "key long, id string, number int, line long, crc long, n int, keys array<long>"
+_LINE = "key long, id string, number int, line long, crc long, n int, runs int, k0 long, k1 long, keys array<long>"
 
 
 @trimmed
@@ -207,18 +248,17 @@ def _read_lines(batches):
         for owner, number, lines in _batches(batch.column("text").to_pylist()):
             h = _line_hashes(lines)
             # the keys go with the first of equal lines of a lot
-            _, at = np.unique(h, return_index=True)
-            keys, ends = meeting_keys([lines[i] for i in at.tolist()])
-            counts = np.zeros(len(lines), np.int64)
-            counts[at] = np.diff(ends)
-            turn = np.argsort(at, kind="stable")
-            pick = np.repeat(ends[:-1][turn] - np.cumsum(counts[at][turn]) + counts[at][turn], counts[at][turn]) + np.arange(len(keys))
+            at = np.sort(np.unique(h, return_index=True)[1])
+            keys, ends, sketch, runs = meeting_keys([lines[i] for i in at.tolist()])
+            counts, own, bits = np.zeros(len(lines), np.int64), np.zeros(len(lines), np.int32), np.zeros((len(lines), 2), np.int64)
+            counts[at], own[at], bits[at] = np.diff(ends), runs, sketch.view(np.int64)
             offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
             where = pa.array(owner)
+            crc = np.array([zlib.crc32(x.encode("utf-8", "surrogatepass")) for x in lines], np.int64)
             yield pa.RecordBatch.from_arrays([
-                key.take(where), ids.take(where), pa.array(number.astype(np.int32)), pa.array(h), pa.array(np.array([zlib.crc32(x.encode("utf-8", "surrogatepass")) for x in lines], np.int64)),
-                pa.array(np.array([len(x) for x in lines], np.int32)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[pick].view(np.int64))),
-            ], ["key", "id", "number", "line", "crc", "n", "keys"])
+                key.take(where), ids.take(where), pa.array(number.astype(np.int32)), pa.array(h), pa.array(crc), pa.array(np.array([len(x) for x in lines], np.int32)),
+                pa.array(own), pa.array(bits[:, 0]), pa.array(bits[:, 1]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.view(np.int64))),
+            ], ["key", "id", "number", "line", "crc", "n", "runs", "k0", "k1", "keys"])
 
 
 def _fetch(bits):
@@ -313,36 +353,136 @@ def _compare(percent: int):
     return run
 
 
-def _marked_keys(bits):
+def _short(keys: np.ndarray, bits: int) -> np.ndarray:
+    """The first ``bits + 40`` bits of keys, by which lines meet."""
+    return keys.view(_U) >> _U(24 - bits)
+
+
+def _send(bits: int):
+    """Keys to their buckets (the first ``bits`` bits), packed, five bytes each."""
+
+    def packed(lots: list[np.ndarray]):
+        short = np.sort(np.concatenate(lots))
+        bucket = (short >> _U(40)).astype(np.int32)
+        first = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1))
+        low = np.ascontiguousarray(short.view(np.uint8).reshape(-1, 8)[:, :5])
+        return pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array([low[a:b].tobytes() for a, b in zip(first, [*first[1:], len(low)])], pa.binary())], ["bucket", "packed"])
+
+    @trimmed
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            short = _short(batch.column("keys").flatten().to_numpy(), bits)
+            if len(short):
+                held.append(short)
+                size += len(short)
+            if size >= SENT:
+                yield packed(held)
+                held, size = [], 0
+        if held:
+            yield packed(held)
+
+    return run
+
+
+def _count(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Keys of a bucket that come more than once, and how often."""
+    low = np.frombuffer(b"".join(pdf["packed"]), np.uint8).reshape(-1, 5)
+    wide = np.zeros((len(low), 8), np.uint8)
+    wide[:, :5] = low
+    key, times = np.unique(wide.view(_U).ravel(), return_counts=True)
+    key, times = key[times > 1], times[times > 1]
+    return pd.DataFrame({"band": (key | (_U(pdf["bucket"].iloc[0]) << _U(40))).view(np.int64), "times": times})
+
+
+def _marked_keys(marked, bits: int):
     @trimmed
     def run(batches):
         for batch in batches:
-            keys = batch.column("keys").combine_chunks() if isinstance(batch.column("keys"), pa.ChunkedArray) else batch.column("keys")
-            band = keys.flatten().to_numpy()
-            line = np.repeat(batch.column("line").to_numpy(), np.diff(keys.offsets.to_numpy()))
-            keep = marks.marked(bits, band)
-            yield pa.RecordBatch.from_arrays([pa.array(band[keep]), pa.array(line[keep])], ["band", "line"])
+            keys = batch.column("keys")
+            band = _short(keys.flatten().to_numpy(), bits).view(np.int64)
+            of = np.repeat(np.arange(batch.num_rows), np.diff(keys.offsets.to_numpy()))
+            keep = marks.marked(marked, band)
+            rows = batch.select(["line", "runs", "k0", "k1"]).take(pa.array(of[keep]))
+            yield pa.RecordBatch.from_arrays([pa.array(band[keep]), *rows.columns], ["band", "line", "runs", "k0", "k1"])
 
     return run
 
 
 def meetings(keyed: DataFrame) -> DataFrame:
-    """Settled ``band, line, hub`` for the keys that several distinct lines share, from ``line, keys``; ``hub`` is the smallest.
+    """Settled ``band, line, runs, k0, k1, times`` for the keys that several rows share, from ``line, runs, k0, k1, keys``.
 
-    The smallest line of a key is a partial aggregate, and only rows of keys
-    that are marked as shared are joined with it, so a hot key is split.
+    Of all keys only five bytes each travel, to be counted; rows follow for the keys
+    that are marked as shared.  ``times``, how many rows share the key, is there for those too many for one task.
     """
-    hubs = keyed.select("line", F.explode("keys").alias("band")).groupBy("band").agg(F.min("line").alias("hub"), F.max("line").alias("top"))
-    hubs = settle(hubs.where("hub != top").select("band", "hub"), "hubs")
-    bits = marks.bitmap(hubs.select(F.col("band").alias("key")))
-    shared = keyed.select("line", "keys").mapInArrow(_marked_keys(bits), "band long, line long")
-    return settle(shared.join(hubs, "band"), "met")
+    bits = min(20, max(8, (12 * keyed.count() // SENT).bit_length()))
+    sent = keyed.select("keys").mapInArrow(_send(bits), "bucket int, packed binary")
+    shared = settle(sent.groupBy("bucket").applyInPandas(_count, "band long, times long"), "shared")
+    marked = marks.bitmap(shared.select(F.col("band").alias("key")))
+    rows = keyed.mapInArrow(_marked_keys(marked, bits), "band long, line long, runs int, k0 long, k1 long")
+    hot = shared.where(F.col("times") > MEET)
+    hot = F.broadcast(hot) if hot.limit(1 << 16).count() < 1 << 16 else hot  # bounded, or joined by key
+    return settle(rows.join(hot, "band", "left"), "met")
+
+
+def _near(percent: int):
+    @trimmed
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Of the pairs of a key that may link a forest; cells as in :mod:`.blocks`."""
+        pdf = pdf.sort_values(["band", "high", "low", "line"], ignore_index=True)
+        line, cell = pdf["line"].to_numpy(), pdf["cell"].to_numpy()
+        group = pdf.groupby(["band", "high", "low"], sort=False).ngroup().to_numpy()
+        sketch, runs = np.stack((pdf["k0"].to_numpy(), pdf["k1"].to_numpy()), 1).view(_U), pdf["runs"].to_numpy(np.int64)
+        nodes, place = np.unique(line, return_inverse=True)
+        label = np.arange(len(nodes))
+        step, left = 1, np.arange(len(line) - 1)
+        while len(left):
+            left = left[left + step < len(line)]
+            left = left[group[left] == group[left + step]]
+            right = left + step
+            pick = (line[left] != line[right]) & ((cell[left] < 0) | (cell[left] != cell[right])) & (label[place[left]] != label[place[right]])
+            a, b = left[pick], right[pick]
+            ok = may_link(sketch[a], sketch[b], runs[a], runs[b], percent)
+            label = _united(label, place[a[ok]], place[b[ok]])
+            step += 1
+        tied = np.flatnonzero(label != np.arange(len(nodes)))
+        return pd.DataFrame({"a": nodes[label[tied]], "b": nodes[tied]})
+
+    return run
+
+
+def _united(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels (the smallest place of each tree) after ``a`` and ``b`` are connected."""
+    while len(a):
+        x, y = label[a], label[b]
+        differ = x != y
+        a, b, x, y = a[differ], b[differ], x[differ], y[differ]
+        label = label.copy()
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while True:
+            above = label[label]
+            if np.array_equal(above, label):
+                break
+            label = above
+    return label
+
+
+def candidate_edges(met: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: lines that meet and may link, or a tree that connects them.  A key of very many rows is cut into cells, each pair of which is a task."""
+    cells = F.ceil(F.coalesce("times", F.lit(1)) / MEET).cast("int")
+    own = met.withColumn("cells", cells).withColumn("own", F.pmod(F.xxhash64("line"), F.col("cells")).cast("int"))
+    dealt = F.transform(F.sequence(F.lit(0), F.col("cells") - 1), lambda k: F.struct(
+        F.least("own", k).alias("low"), F.greatest("own", k).alias("high"), F.when(k == F.col("own"), -1).when(F.col("own") < k, 0).otherwise(1).alias("cell")))
+    rows = own.select("band", "line", "runs", "k0", "k1", F.inline(dealt))
+    tasks = max(1, -(-met.count() // MEET_ROWS))
+    rows = rows.withColumn("task", F.when(F.col("high") > 0, F.xxhash64("band", "low", "high")).otherwise(F.pmod(F.xxhash64("band"), F.lit(tasks))))
+    return rows.groupBy("task").applyInPandas(_near(percent), "a long, b long").distinct()
 
 
 def line_links(docs: DataFrame, keyed: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links ``a, b`` between the distinct lines of ``docs`` (``line`` and its ``keys``, repeated or not); between them they connect all that link."""
+    """Links ``a, b`` between the distinct lines of ``docs`` (``line`` and its ``keys`` and sketch, repeated or not); between them they connect all that link."""
     met = meetings(keyed)
-    blocks = settle(components(met.where("line != hub").select("hub", "line").distinct(), "hub", "line").select("node", F.col("component").alias("block")), "blocks")
+    blocks = settle(components(candidate_edges(met, percent)).select("node", F.col("component").alias("block")), "blocks")
     bits = marks.bitmap(blocks.select(F.col("node").alias("key")))
     sets = docs.select("text").mapInPandas(_fetch(bits), "node long, n int, text string")
     sets = settle(sets.join(blocks, "node").dropDuplicates(["node"]), "sets")
@@ -368,7 +508,7 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     place = F.struct(F.col("id").isNull().alias("none"), F.col("id").cast(own_type).alias("doc_id"), "id", "key", "number")
     same = ["line", "crc", "n"]
     lines = seen.groupBy(*same).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"))
-    linked = line_links(rows, seen.where(F.size("keys") > 0).select("line", "keys"), percent)
+    linked = line_links(rows, seen.where(F.size("keys") > 0).select("line", "runs", "k0", "k1", "keys"), percent)
     united = components(linked).select(F.col("node").alias("line"), F.col("component").alias("root"))
     # lines that occur once and link with nothing need no decision
     classes = settle(lines.join(united, "line", "left").where("root is not null or times > 1").withColumn("root", F.coalesce("root", F.xxhash64(*same))), "classes")

@@ -228,12 +228,36 @@ def test_lines(docs):
 
 
 def test_a_stranger_first_in_a_band_hides_no_pair(spark):
-    sign = list(range(1, 7))
-    far = [sign[0]] + [x << 40 | 0x1234567 for x in sign[1:]]  # meets the others in its first bins only
-    near = [sign[0]] + [x ^ 0xFF00000000 for x in sign[1:]]  # meets them there and in the lower bands
-    rows = spark.createDataFrame([(0, 48, *far), (1, 48, *sign), (2, 48, *near)], "line long, own int, " + ", ".join(f"s{k} long" for k in range(6)))
-    _, doubtful = lines.band_edges(rows, [f"s{k}" for k in range(6)])
-    assert {(1, 2), (0, 1), (0, 2)} == set(map(tuple, doubtful.collect()))
+    keys = [k << 24 for k in (7, 8, 9)]
+    rows = [(0, 9, 0, 0, keys[:1]), (1, 9, -1, -1, keys[:1]), (2, 9, -1, -1, keys[:1]), (2, 9, -1, -1, keys[1:2]), (5, 9, 0, 0, keys[2:])]
+    met = lines.meetings(spark.createDataFrame(rows, "line long, runs int, k0 long, k1 long, keys array<long>"))
+    assert {r["line"] for r in met.collect()} == {0, 1, 2}
+    assert set(map(tuple, lines.candidate_edges(met, 80).collect())) == {(1, 2)}
+
+
+def test_sketches_tell_no_pair_apart_that_links():
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefgh "))
+    pairs = []
+    for n in (6, 12, 30, 60, 90, 120, 200, 400, 900):
+        for _ in range(200):
+            a = list(rng.choice(letters, n))
+            b = list(a)
+            for i in rng.integers(0, n, max(1, n // 60)):
+                b[i] = "x"
+            pairs.append(("".join(a), "".join(b)))
+    sets = [[{x[i : i + 5] for i in range(max(1, len(x) - 4))} for x in p] for p in pairs]
+    linked = np.array([len(x & y) >= 0.8 * len(x | y) for x, y in sets])
+    _, _, sketch, runs = lines.meeting_keys([x for p in pairs for x in p])
+    assert linked.sum() > 300 and lines.may_link(sketch[::2], sketch[1::2], runs[::2], runs[1::2], 80)[linked].all()
+
+
+def test_a_key_of_very_many_lines_is_cut_into_cells(spark, monkeypatch):
+    monkeypatch.setattr(lines, "MEET", 10)
+    rows = [(i, 9, i % 2 - 1, 0, [7 << 24]) for i in range(100)]
+    met = lines.meetings(spark.createDataFrame(rows, "line long, runs int, k0 long, k1 long, keys array<long>"))
+    found = {r["node"]: r["component"] for r in components(lines.candidate_edges(met, 80)).collect()}
+    assert found == {i: i % 2 for i in range(100)}
 
 
 def test_short_lines_that_meet_are_compared(spark):
@@ -241,11 +265,9 @@ def test_short_lines_that_meet_are_compared(spark):
     texts = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 8)) for _ in range(300)]
     texts += [x + "q" for x in texts]
     docs = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id long, text string")
-    bytes_ = hashing.mix(lines.signatures(texts)).astype(np.uint8).reshape(len(texts), 12, 4)
-    meet = [(bytes_[i] == bytes_[i + 300]).all(1).any() for i in range(300)]
-    gone = {r["key"] for r in lines.removed_lines(docs).collect()}
-    keys = [r["k"] for r in docs.select(F.xxhash64("doc_id", "text").alias("k"), "doc_id").orderBy("doc_id").collect()]
-    assert [keys[i + 300] in gone for i in range(300)] == meet
+    keys, at, _, _ = lines.meeting_keys(texts)
+    assert all(set(keys[at[i] : at[i + 1]].tolist()) & set(keys[at[i + 300] : at[i + 301]].tolist()) for i in range(300))
+    assert {r["id"] for r in lines.removed_lines(docs).collect()} == {str(i + 300) for i in range(300)}
 
 
 def test_packing_keeps_conflicts_apart(docs):
@@ -293,6 +315,91 @@ def test_odd_inputs(docs, empty, labels):
     assert embeddings.near_vectors(empty.selectExpr("doc_id as vec_id", "array(1.0f) as embedding")).count() == 0
 
 
+CLASHING = ("_key", "key", "row", "_row", "id", "copy", "numbers", "lines", "_use", "use", "uses", "doc", "k", "i", "left", "n_lines", "place", "length", "y", "score", "size")
+KEEPERS = (lambda d, _: lines.dedup_lines(d), lambda d, _: ngrams.first_of_each(d), lambda d, _: mixing.mixed_documents(d), lambda d, known: quality.keep_good(d, known))
+
+
+@pytest.mark.parametrize("keeper", KEEPERS)
+def test_columns_of_any_name_pass_unread(docs, labels, keeper):
+    odd = docs.select("*", *[F.concat(F.lit(c), F.lit(":"), F.coalesce(F.col("doc_id"), F.lit(-1))).alias(c) for c in CLASHING])
+    got = keeper(odd, labels)
+    assert got.columns == odd.columns
+    rows = got.collect()
+    assert rows
+    for r in rows:
+        assert all(r[c] == f"{c}:{-1 if r['doc_id'] is None else r['doc_id']}" for c in CLASHING)
+
+
+def test_ids_keep_their_type(docs, labels):
+    named = docs.withColumn("doc_id", F.concat(F.lit("doc-"), F.col("doc_id")))
+    known = labels.withColumn("doc_id", F.concat(F.lit("doc-"), F.col("doc_id")))
+    for got in (ngrams.link_components(named), substrings.remove_repeats(named), toxicity.toxicity(named, known), quality.quality(named, known), packing.pack(named), licenses.scan(named), mixing.mix(named)):
+        ids = {r["doc_id"] for r in got.collect()}
+        assert ids == {f"doc-{i}" if i is not None else None for i, *_ in ROWS}
+    assert {r["doc_id"] for r in lines.dedup_lines(named).collect()} <= ids
+    assert {r["doc_id"] for r in ngrams.first_of_each(named).collect()} <= ids
+
+
+@pytest.mark.parametrize("keeper", KEEPERS[:2])
+def test_of_rows_that_tie_the_same_one_stays(spark, keeper):
+    rows = [(1, prose(5, 40), f"v{k}") for k in range(6)]
+    stays = set()
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        stays.add(tuple(r["v"] for r in keeper(spark.createDataFrame(order, "doc_id long, text string, v string").repartition(3), None).collect()))
+    assert len(stays) == 1 and len(stays.pop()) == 1
+
+
+def test_packing_does_not_depend_on_file_splits(spark):
+    rows = [(i % 60, prose(i % 60, 5 + i % 37), "s%d" % (i % 4)) for i in range(200)]
+    found = set()
+    for parts in (1, 5):
+        frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+        found.add(frozenset(Counter((r["doc_id"], r["source"], r["piece"], r["words"], r["bin"], r["start"]) for r in packing.pack(frame, capacity=100, block=50).collect()).items()))
+    assert len(found) == 1
+
+
+def test_licence_templates_of_ones_own_are_found(spark):
+    texts = ["granted under the frobnicator covenant of 1999 to all", "the frobnicator is covenant free", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan(rows, (("frob", "frobnicator covenant", "granted under the frobnicator covenant"),)).collect()}
+    assert got == {0: ["frob"], 1: [], 2: []}
+
+
+def test_mixed_documents_are_in_the_order_of_positions(docs):
+    placed = {r["doc_id"]: r["position"] for r in mixing.mix(docs.where("doc_id > 0")).collect()}
+    parts = mixing.mixed_documents(docs.where("doc_id > 0")).withColumn("part", F.spark_partition_id()).select("part", "doc_id").collect()
+    assert [r["part"] for r in parts] == sorted(r["part"] for r in parts)
+    seen, at = set(), []
+    for r in parts:  # the first use of each document
+        if r["doc_id"] not in seen:
+            seen.add(r["doc_id"])
+            at.append(placed[r["doc_id"]] if ROWS[r["doc_id"]][1] and split(ROWS[r["doc_id"]][1]) else 0.0)
+    assert at == sorted(at)
+
+
+def test_the_sample_is_one_row_per_id_and_bounded(spark):
+    from almanack.llm import training
+
+    rows = [(i % 40, "long " * 20_000 if i % 40 == 3 else prose(i, 9)) for i in range(120)] + [(None, "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, quality int")
+    got = training.labelled_sample(frame, known, "quality", 3, 1, rows_per_class=10).collect()
+    assert Counter(r["y"] for r in got) == {0: 10, 1: 10} and len({r["doc_id"] for r in got}) == 20
+    every = training.labelled_sample(frame, known, "quality", 3, 1).collect()
+    assert len(every) == len({r["doc_id"] for r in every}) and any(len(r["text"]) == 100_000 for r in every) == any(r["doc_id"] == 3 for r in every)
+
+
+def test_a_query_built_before_the_pipeline_counts_after_it(spark, docs, empty, labels, tmp_path):
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    before = mixing.mix(docs)
+    for frame in (docs, empty):
+        frame.write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+        out = corpus_pipeline.run(spark, str(tmp_path))
+        assert {"doc_id", "bin"} <= set(out.columns)
+        assert (out.count() > 0) == (frame is docs)
+    assert before.count() == len(ROWS)
+
+
 def test_stages(spark, docs, labels, tmp_path):
     labels.write.parquet(f"{tmp_path}/labels.parquet")
     current = docs
