@@ -1,7 +1,7 @@
 """Operator 2: n-gram Jaccard join with a prefix tree.
 
 Method: a document's set is its distinct word n-grams.  The sets of a block are
-stored, in one global order of n-grams, in a prefix tree (:mod:`.trie`), which is
+stored, in one global order of n-grams (that of their hashes), in a prefix tree (:mod:`.trie`), which is
 traversed once per set, sharing partial overlaps and pruning subtrees by
 remaining length.  The links found are exact and connect all that link.
 
@@ -19,10 +19,11 @@ Texts travel once, and only those of classes with candidates are turned into
 sets again.  Blocks of any size are cut into bounded tasks (:mod:`.blocks`).
 
 Null or empty texts have no n-grams and link with nothing, not with each other;
-a text of fewer words than ``n`` has its whole sequence as one n-gram.  Rows may
-repeat: equal rows are copies.  Rows with null ids count in links, and the
+a text of fewer words than ``n`` has its whole sequence as one n-gram; very long texts are read whole.  Rows may
+repeat: equal rows are copies, and :func:`first_of_each` leaves one, of those that differ in other columns
+the first by hash of the row.  Ids keep their type.  Rows with null ids count in links, and the
 smallest id of a component is that of the others, null if there is none.
-Empty tables give no rows; of extra columns none is read.
+Empty tables give no rows; extra columns are not read, and pass :func:`first_of_each` whatever their names.
 """
 
 from __future__ import annotations
@@ -189,7 +190,7 @@ def link_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
     """Per row of ``docs``: ``key, doc_id, n_shingles, component_id``; ``key`` is xxhash64 of id and text."""
     ship(docs.sparkSession)
     rows = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.col("doc_id").cast("string").alias("doc_id"), "text")
-    sets = settle(rows.mapInPandas(_describe(n, percent), _SET).withColumn("doc_id", F.col("doc_id").cast("long")), "sets")
+    sets = settle(rows.mapInPandas(_describe(n, percent), _SET).withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)), "sets")
     classes = settle(sets.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("key").alias("cls"), F.min("doc_id").alias("first_doc")), "classes")
     singles = sets.join(classes.select(F.col("cls").alias("key")), "key", "left_semi").select(F.col("key").alias("cls"), "n", "signs")
     blocks = components(candidate_edges(singles, percent)).select(F.col("node").alias("cls"), F.col("component").alias("block"))
@@ -211,15 +212,18 @@ def link_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
 def first_of_each(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """``docs`` without near duplicates, all columns: one row of each component stays, the one of the smallest id.
 
-    Of equal rows with that id one stays.  Empty texts are never duplicates.
+    Of equal rows with that id one stays.  Empty texts are never duplicates.  A row is known by its
+    id and the hash of id and text, so no collision of hashes can remove a row of another id.
     """
     labels = link_components(docs, n, percent)
-    ranked = labels.where("n_shingles > 0").groupBy("component_id").agg(F.min_by("key", F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("key"))
-    keyed = docs.withColumn("_key", F.xxhash64("doc_id", "text"))
-    empty = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    kept = keyed.join(ranked.select(F.col("key").alias("_key")), "_key", "left_semi").where(~empty)
-    kept = kept.dropDuplicates(["_key"])
-    return kept.drop("_key").unionByName(docs.where(empty))
+    first = F.min_by(F.struct("key", "doc_id"), F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
+    ranked = labels.where("n_shingles > 0").groupBy("component_id").agg(first.alias("first")).select(F.col("first.key").alias("k"), F.col("first.doc_id").alias("i"))
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.xxhash64("doc_id", "text").alias("key"), F.col("doc_id").alias("id"))
+    empty = ~F.coalesce(F.col("row.text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    kept = rows.where(~empty).join(ranked, (F.col("key") == F.col("k")) & F.col("id").eqNullSafe(F.col("i")), "left_semi")
+    copy = F.row_number().over(Window.partitionBy("key", "id").orderBy(F.xxhash64("row")))
+    once = kept.withColumn("copy", copy).where("copy = 1").select("row").unionByName(rows.where(empty).select("row"))
+    return once.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Similarity self-join of sets over a prefix tree, in one task.
 
-Sets are sequences in one global order (tokens that more sets of the task hold
-come first, then by hash), kept in a path-compressed prefix tree.  A probe goes
+Sets are sequences in one global order, that of the tokens' hashes, which is the same in
+every task, kept in a path-compressed prefix tree.  A probe goes
 down the tree a few tokens of every live path at a time: paths that share a
 prefix share the partial overlap counted on it.  A subtree is left when the
 overlap so far plus what can still match (the shorter of what remains of the
@@ -21,16 +21,13 @@ class Trie:
 
     def __init__(self, sets: list[np.ndarray], cells: np.ndarray):
         sizes = np.array([len(s) for s in sets])
-        _, number, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        rank = np.empty(len(count), np.int64)
-        rank[np.lexsort((np.arange(len(count)), -count))] = np.arange(len(count))
-        tokens = rank[number]
+        distinct, tokens = np.unique(np.concatenate(sets), return_inverse=True)
         ordered = [np.sort(t) for t in np.split(tokens, np.cumsum(sizes)[:-1])]
         self.order = np.array(sorted(range(len(ordered)), key=lambda i: ordered[i].astype(">u4").tobytes()))
         self.sets = [ordered[i] for i in self.order]
         self.cells = cells[self.order]
         self.sizes = sizes[self.order]
-        self.vocabulary = len(count)
+        self.held = np.zeros(len(distinct), bool)  # tokens of the probe
         self._grow()
 
     def _grow(self) -> None:
@@ -84,7 +81,7 @@ class Trie:
         """Leaves after ``i`` whose set has ``100 * shared >= percent * united`` with that of leaf ``i``."""
         own = self.sets[i]
         n = len(own)
-        held = np.zeros(self.vocabulary, bool)
+        held = self.held
         held[own] = True
         node = self.root
         shared = np.zeros(len(node), np.int64)
@@ -122,6 +119,7 @@ class Trie:
                 node = np.concatenate((node[~over], kids))
                 shared = np.concatenate((shared[~over], np.repeat(ended_shared, counts)))
                 done = np.concatenate((done[~over], self.start[kids]))
+        held[own] = False
         return np.array(found, np.int64)
 
 
