@@ -1,22 +1,22 @@
 """Operator 10: quality by a factorisation machine.
 
 Method: features are hashed words (square root of their share of the text),
-structure statistics of the text, and as metadata its length.  The machine adds to a linear model the
+structure statistics of the text, and as metadata ``n_chars`` (the text's length where that is missing).  The machine adds to a linear model the
 interactions of all pairs of features, each weighted by the product of two
 low-rank vectors; they are summed in linear time as half of (square of the sum
 minus sum of the squares).  Fitted by Adam on a bounded labelled sample
-(:mod:`.training`); scoring reads every whole text once and shuffles nothing.
+(:mod:`.training`) of whole texts, whose features executors compute; scoring reads every whole text once and shuffles nothing.
 
-Null and empty texts have only structure features.  Rows may repeat; without labels of
-both classes all scores are constant; an empty table gives no rows.  Labels,
-lang, source and doc_id are never features.
+Null and empty texts have only structure features; a very long one is hashed in pieces.  Rows may repeat; without labels of
+both classes all scores are constant; an empty table gives no rows.  Ids keep their type.  Labels,
+lang, source and doc_id are never features; other columns pass unread, whatever their names.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,8 @@ from .training import constant, labelled_sample
 
 WORD_CELLS = 1 << 15
 RANK = 8
+#: Texts whose features are held at once.
+LOT = 500
 _BYTES = np.zeros((5, 256), np.float32)
 for _row, _what in enumerate((b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b".,;:!?", b"\n", b"|#*%$&<>{}[]=~^\\/@_")):
     _BYTES[_row, list(_what)] = 1
@@ -129,27 +131,58 @@ class Machine:
                     p -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
 
 
-def fit(texts: list[str], metadata, y: np.ndarray) -> Machine:
-    rows, cell, value, stats = features(texts, metadata)
+def _length(docs: DataFrame) -> Column:
+    """The metadata: ``n_chars``, or the length of the text where that is missing or not a number."""
+    length = F.coalesce(F.length("text"), F.lit(0)).cast("double")
+    return F.coalesce(F.expr("try_cast(n_chars as double)"), length) if "n_chars" in docs.columns else length
+
+
+@trimmed
+def _featured(batches):
+    for batch in batches:
+        for at in range(0, batch.num_rows, LOT):
+            part = batch.slice(at, LOT)
+            rows, cell, value, stats = features(part.column("text").to_pylist(), part.column("length").to_numpy(zero_copy_only=False))
+            ends = np.searchsorted(rows, np.arange(part.num_rows + 1))
+            cell, value = cell.astype(np.int32), value.astype(np.float32)
+            packed = [pa.array([x[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary()) for x in (cell, value)]
+            yield pa.RecordBatch.from_arrays([part.column("row"), part.column("y"), *packed, pa.array([x.tobytes() for x in stats], pa.binary())], ["row", "y", "cells", "shares", "stats"])
+
+
+def fitted(docs: DataFrame, labels: DataFrame) -> Machine | float:
+    """The machine, or the score of everything where there is nothing to learn."""
+    sample = labelled_sample(docs, labels, "quality", 3, 1)
+    rows = sample.select("row", "y", "text", _length(sample).alias("length"))
+    found = rows.mapInArrow(_featured, "row long, y int, cells binary, shares binary, stats binary").toPandas()  # of a bounded sample
+    found = found.sort_values(["row", "y", "cells"], ignore_index=True)
+    y = found["y"].to_numpy(np.int64)
+    fixed = constant(y)
+    if fixed is not None:
+        return fixed
+    sizes = np.array([len(c) // 4 for c in found["cells"]], np.int64)
+    cell, value = (np.frombuffer(b"".join(found[c]), kind) for c, kind in (("cells", np.int32), ("shares", np.float32)))
+    stats = np.frombuffer(b"".join(found["stats"]), np.float64).reshape(-1, STATS)
     machine = Machine(stats.mean(0), np.maximum(stats.std(0), 1e-6))
-    machine.fit(rows, cell, value, machine.scaled(stats), y)
+    machine.fit(np.repeat(np.arange(len(y)), sizes), cell, value.astype(np.float64), machine.scaled(stats), y)
+    del found, cell, value
+    trim()  # the driver keeps the machine only
     return machine
 
 
 def _scores(machine: Machine, batch: pa.RecordBatch) -> np.ndarray:
     out = []
-    for at in range(0, batch.num_rows, 1000):
-        texts = batch.column("text").slice(at, 1000).to_pylist()
-        rows, cell, value, stats = features(texts, [len(t or "") for t in texts])
+    for at in range(0, batch.num_rows, LOT):
+        part = batch.slice(at, LOT)
+        rows, cell, value, stats = features(part.column("text").to_pylist(), part.column("length").to_numpy(zero_copy_only=False))
         out.append(1 / (1 + np.exp(-np.clip(machine.margin(rows, cell, value, machine.scaled(stats)), -30, 30))))
     return np.concatenate(out) if out else np.zeros(0)
 
 
-def _append(model, columns: list[str]):
+def _append(model):
     @trimmed
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], pa.array(_scores(model.value, batch))], [*columns, "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_scores(model.value, batch))], ["doc_id", "score"])
 
     return run
 
@@ -158,32 +191,23 @@ def _keep(model):
     @trimmed
     def run(batches):
         for batch in batches:
-            yield batch.filter(pa.array(_scores(model.value, batch) >= 0.5))
+            scores = _scores(model.value, pa.RecordBatch.from_arrays([batch.column("row").field("text"), batch.column("length")], ["text", "length"]))
+            yield batch.filter(pa.array(scores >= 0.5)).select(["row"])
 
     return run
 
 
-def fitted(docs: DataFrame, labels: DataFrame) -> Machine | float:
-    """The machine, or the score of everything where there is nothing to learn."""
-    texts, y = labelled_sample(docs, labels, "quality", 3, 1)
-    fixed = constant(y)
-    machine = fit(texts, [len(t) for t in texts], y) if fixed is None else fixed
-    del texts
-    trim()  # the driver keeps the machine only
-    return machine
-
-
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs``, learnt from ``labels`` (``doc_id, quality``)."""
     spark = docs.sparkSession
     ship(spark)
     machine = fitted(docs, labels)
-    rows = docs.select("doc_id", "text")
+    rows = docs.select("doc_id", "text", _length(docs).alias("length"))
     if isinstance(machine, float):
         scored = rows.select("doc_id", F.lit(machine).alias("score"))
     else:
         schema = T.StructType([*rows.select("doc_id").schema.fields, T.StructField("score", T.DoubleType())])
-        scored = rows.mapInArrow(_append(spark.sparkContext.broadcast(machine), ["doc_id"]), schema)
+        scored = rows.mapInArrow(_append(spark.sparkContext.broadcast(machine)), schema)
     return scored.select("doc_id", (crc32_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -194,7 +218,9 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     machine = fitted(docs, labels)
     if isinstance(machine, float):
         return docs if machine >= 0.5 else docs.limit(0)
-    return docs.mapInArrow(_keep(spark.sparkContext.broadcast(machine)), docs.schema)
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), _length(docs).alias("length"))
+    kept = rows.mapInArrow(_keep(spark.sparkContext.broadcast(machine)), rows.select("row").schema)
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

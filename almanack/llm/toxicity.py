@@ -5,11 +5,13 @@ not, hashed to a fixed number of cells.  Each is scaled by its naive Bayes
 log-count ratio, r = log of how much likelier it is in toxic texts; n-grams
 whose two rates do not differ significantly have r = 0.  Logistic regression on
 the scaled features gives the weights.  Fitted on a bounded labelled sample
-(:mod:`.training`); scoring reads every whole text once and shuffles nothing.
+(:mod:`.training`) of whole texts: executors count the n-grams of each class, the driver
+gets the counts of all cells, then only which of the significant cells each text of the sample
+has.  Scoring reads every whole text once, a very long one in pieces, and shuffles nothing.
 
 Null and empty texts have no features and get the score of the intercept.
 Rows may repeat; without labels of both classes all scores are constant; an empty table gives no
-rows.  Labels, lang, source and doc_id are never features.
+rows.  Ids keep their type; other columns are not read.  Labels, lang, source and doc_id are never features.
 """
 
 from __future__ import annotations
@@ -78,22 +80,66 @@ def present(texts, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.nda
     return pairs // CELLS, pairs % CELLS
 
 
-def fit(texts: list[str], y: np.ndarray, steps: int = 150, penalty: float = 1e-3) -> tuple[np.ndarray, float]:
-    """Weights of all cells (scaled by their ratios) and the intercept."""
-    n1, n0 = max(1, int(y.sum())), max(1, int((1 - y).sum()))
-    p, q = np.zeros(CELLS), np.zeros(CELLS)
-    for at in range(0, len(texts), _LOT):  # first the rates, then only the n-grams that count: memory stays small
-        rows, cells = present(texts[at : at + _LOT])
-        toxic = y[at : at + _LOT][rows] == 1
-        p += np.bincount(cells[toxic], minlength=CELLS)
-        q += np.bincount(cells[~toxic], minlength=CELLS)
+@trimmed
+def _counted(batches):
+    """How many texts of each class have a cell; nothing for cells that none has."""
+    held = np.zeros((2, CELLS), np.int32)
+    for pdf in batches:
+        for at in range(0, len(pdf), _LOT):
+            part = pdf.iloc[at : at + _LOT]
+            rows, cells = present(part["text"].tolist())
+            toxic = part["y"].to_numpy()[rows] == 1
+            held[1] += np.bincount(cells[toxic], minlength=CELLS).astype(np.int32)
+            held[0] += np.bincount(cells[~toxic], minlength=CELLS).astype(np.int32)
+    cell = np.flatnonzero(held.any(axis=0))
+    yield pd.DataFrame({"cell": cell.astype(np.int32), "n0": held[0, cell].astype(np.int64), "n1": held[1, cell].astype(np.int64)})
+
+
+def _present(wanted):
+    @trimmed
+    def run(batches):
+        for pdf in batches:
+            rows, cells = present(pdf["text"].tolist(), wanted.value)
+            ends = np.searchsorted(rows, np.arange(len(pdf) + 1))
+            cells = cells.astype(np.int32)
+            yield pd.DataFrame({"row": pdf["row"], "y": pdf["y"], "cells": [cells[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]})
+
+    return run
+
+
+def ratios(p: np.ndarray, q: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """Log-count ratio of each cell by the numbers of toxic and other texts that have it; 0 where they don't differ significantly."""
     a, b = (p + 1) / (n1 + 2), (q + 1) / (n0 + 2)
     z = (a - b) / np.sqrt(a * (1 - a) / n1 + b * (1 - b) / n0)
-    r = np.where((np.abs(z) >= SIGNIFICANT) & (p + q >= 5), np.log(a / b), 0.0)
-    parts = [(at, *present(texts[at : at + _LOT], r != 0)) for at in range(0, len(texts), _LOT)]
-    rows, cells = np.concatenate([rows + at for at, rows, _ in parts]), np.concatenate([cells for _, _, cells in parts])
+    return np.where((np.abs(z) >= SIGNIFICANT) & (p + q >= 5), np.log(a / b), 0.0)
+
+
+def fitted(sample: DataFrame) -> tuple[np.ndarray, float] | float:
+    """Weights and intercept from a sample (``row, y, text``), or the score of everything where there is nothing to learn."""
+    sizes = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
+    fixed = constant(np.repeat([1, 0], [n1, n0]))
+    if fixed is not None:
+        return fixed
+    counts = sample.select("y", "text").mapInPandas(_counted, "cell int, n0 long, n1 long").groupBy("cell").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()  # CELLS rows at most
+    p, q = np.zeros(CELLS), np.zeros(CELLS)
+    p[counts["cell"]], q[counts["cell"]] = counts["n1"], counts["n0"]
+    del counts
+    r = ratios(p, q, n1, n0)
+    wanted = sample.sparkSession.sparkContext.broadcast(r != 0)
+    found = sample.select("row", "y", "text").mapInPandas(_present(wanted), "row long, y int, cells binary").toPandas()  # a bounded sample's significant cells
+    found = found.sort_values(["row", "y", "cells"], ignore_index=True)
+    sizes = np.array([len(c) // 4 for c in found["cells"]], np.int64)
+    cells = np.frombuffer(b"".join(found["cells"]), np.int32)
+    return fit(np.repeat(np.arange(len(found), dtype=np.int32), sizes), cells, found["y"].to_numpy(np.int64), r)
+
+
+def fit(rows: np.ndarray, cells: np.ndarray, y: np.ndarray, r: np.ndarray, steps: int = 150, penalty: float = 1e-3) -> tuple[np.ndarray, float]:
+    """Weights of all cells (scaled by their ratios ``r``) and the intercept, from which text (``rows``) has which cell."""
+    n1, n0 = max(1, int(y.sum())), max(1, int((1 - y).sum()))
     used, column = np.unique(cells, return_inverse=True)
     ratio = r[used]
+    column = column.astype(np.int32)
     x = ratio[column]
     weight = np.where(y == 1, 0.5 / n1, 0.5 / n0)  # both classes count the same
     w, c = np.full(len(used), 0.05), 0.0
@@ -131,17 +177,15 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs``, learnt from ``labels`` (``doc_id, toxic``)."""
     spark = docs.sparkSession
     ship(spark)
-    texts, y = labelled_sample(docs, labels, "toxic", 5, 0)
-    fixed = constant(y)
+    own_type = docs.schema["doc_id"].dataType
+    model = fitted(labelled_sample(docs, labels, "toxic", 5, 0))
+    trim()  # the driver keeps the weights only
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    if fixed is None:
-        model = spark.sparkContext.broadcast(fit(texts, y))
-        del texts
-        trim()  # the driver keeps the weights only
-        scored = rows.mapInPandas(_score(model), "doc_id string, score double")
+    if isinstance(model, float):
+        scored = rows.select("doc_id", F.lit(model).alias("score"))
     else:
-        scored = rows.select("doc_id", F.lit(fixed).alias("score"))
-    return scored.select(F.col("doc_id").cast("long").alias("doc_id"), (crc32_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+        scored = rows.mapInPandas(_score(spark.sparkContext.broadcast(model)), "doc_id string, score double")
+    return scored.select(F.col("doc_id").cast(own_type).alias("doc_id"), (crc32_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
