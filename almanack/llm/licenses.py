@@ -12,15 +12,17 @@ votes for the same start; its score is the found share of the template's
 weight.
 
 Everything is DataFrame and SQL functions.  One pass reads the texts and keeps
-hits of texts that may hold a key phrase, which are rare, and of all texts the distinct
+hits of the texts that hold all words of a key or base phrase, without which nothing can be found, and of all texts the distinct
 index words, for their frequencies; the index is a constant of a few hundred rows.
 
 A null or empty text has no words, no places (null positions), no labels
-and score 0.  Rows may repeat; an empty table gives no rows.
+and score 0; a very long one is read whole.  Rows may repeat; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -51,10 +53,6 @@ TEMPLATES = (
 )
 #: Template words too common to be looked up.
 FUNCTION_WORDS = ("a", "all", "and", "any", "are", "by", "in", "is", "of", "or", "the", "this", "to", "under", "with")
-#: Parts of key phrases; a text without any of them has no findings.
-GATE = r"(?i)licen[sc]e|reserved|permission|redistribution|cc0|cc[^a-z0-9]+by"
-
-
 def index_rows(templates=TEMPLATES) -> list[tuple[int, str, str, int, bool]]:
     """(template, label, word, position, in the key phrase) for every word of every template but function words outside keys."""
     rows = []
@@ -77,7 +75,7 @@ def _fold(c: Column) -> Column:
 def hits(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     """Settled ``row_id, doc_id, n_words, hits, seen``: per row of ``docs`` the positions of index words, in order, and the distinct ones.
 
-    Only texts that match ``GATE`` have hits; ``seen`` is there for all.
+    Only texts with all words of some key phrase of ``templates``, or of a base phrase, have hits; ``seen`` is there for all.
     """
     vocabulary = sorted({w for _, _, w, _, _ in index_rows(templates)} | {w for phrase in BASE for w in phrase.split()})
     words = F.split(F.coalesce("text", F.lit("")), SEPARATOR)
@@ -86,13 +84,14 @@ def hits(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     trail = F.when((F.size("_w") > 1) & (F.element_at("_w", -1) == ""), 1).otherwise(0)
     placed = F.transform("_w", lambda w, i: F.struct((i - F.when(F.col("_lead") == 1, 1).otherwise(0)).cast("long").alias("p"), _fold(w).alias("w")))
     found = F.filter(placed, lambda x: x["w"].isin(vocabulary))
-    gate = F.coalesce(F.col("text").rlike(GATE), F.lit(False))
     none = F.array().cast("array<struct<p:bigint,w:string>>")
-    rows = docs.select("doc_id", gate.alias("_gate"), words.alias("_w")).withColumn("_lead", lead)
-    rows = rows.select("doc_id", "_gate", (F.size("_w") - F.col("_lead") - trail).cast("long").alias("n_words"), found.alias("_found"))
-    # the gate is for places only: every text's words count in the statistics
-    seen = F.array_distinct(F.transform("_found", lambda x: x["w"]))
-    rows = rows.select("doc_id", "n_words", F.when(F.col("_gate"), F.col("_found")).otherwise(none).alias("hits"), seen.alias("seen"))
+    rows = docs.select("doc_id", words.alias("_w")).withColumn("_lead", lead)
+    rows = rows.select("doc_id", (F.size("_w") - F.col("_lead") - trail).cast("long").alias("n_words"), found.alias("_found"))
+    rows = rows.withColumn("seen", F.array_distinct(F.transform("_found", lambda x: x["w"])))
+    # places are wanted only where a phrase can be whole; every text's words count in the statistics
+    phrases = sorted({frozenset(key.split()) for _, key, _ in templates} | {frozenset(phrase.split()) for phrase in BASE}, key=sorted)
+    may_hold = reduce(lambda a, b: a | b, [F.size(F.array_intersect("seen", F.array(*map(F.lit, sorted(phrase))))) == len(phrase) for phrase in phrases])
+    rows = rows.select("doc_id", "n_words", F.when(may_hold, F.col("_found")).otherwise(none).alias("hits"), "seen")
     return settle(rows.withColumn("row_id", F.monotonically_increasing_id()), "hits")
 
 
