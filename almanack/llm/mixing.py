@@ -10,8 +10,8 @@ Scale: the offset of a document within its source is a two-level prefix sum,
 over 4096 slices of a hash order and inside a slice, so no task gets a whole source
 even if one holds a third of all rows.  Only word counts move, never texts.
 
-Null text counts 0 words; the null source is a source of its own, last in
-order; rows may repeat; an empty table gives no rows.  Equal weights,
+Null and empty texts count 0 words, very long ones all of theirs; the null source is a source of its own, last in
+order; rows may repeat; an empty table gives no rows; extra columns pass :func:`mixed_documents` unread, whatever their names.  Equal weights,
 targets and reruns always agree, since the order is the md5 of the id.
 """
 
@@ -75,18 +75,19 @@ def training_time(share: Column, place: Column, schedules=SCHEDULES) -> Column:
     return F.least(of_place, F.lit(1.0))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, schedules=SCHEDULES) -> DataFrame:
+def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, schedules=SCHEDULES, row: str | None = None) -> DataFrame:
     """One row per document: ``row_id, doc_id, source, size, source_size, target, place, taken, epochs, start, position``.
 
     A source's stream is its documents in hash order, over and over; the mix
     takes its first ``target`` words.  ``taken`` counts them per document,
     ``epochs`` how often the document begins in the stream, ``start`` its
     offset there and ``position`` the training time of its first use.
-    ``row_id`` numbers the input rows, for joining back.
+    ``row_id`` numbers the input rows, for joining back: the column ``row`` if there is one.
     """
     base = docs.select(
-        F.col("doc_id"), F.col("source"), n_words(F.col("text")).alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("h")
-    ).withColumn("row_id", F.monotonically_increasing_id())
+        F.col("doc_id"), F.col("source"), n_words(F.col("text")).alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("h"),
+        F.col(row).alias("row_id") if row else F.monotonically_increasing_id().alias("row_id"),
+    )
     base = settle(base, "sizes").withColumn("slice", F.substring("h", 1, 3))
     slices = base.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
     before = F.sum("slice_size").over(Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("slice_size")
@@ -108,34 +109,40 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, schedule
     )
 
 
+def in_order(rows: DataFrame, position: str, *ties: str) -> DataFrame:
+    """Range-sorted by position: files or partitions in turn are the training order."""
+    return rows.repartitionByRange(F.col(position), *ties).sortWithinPartitions(position, *ties)
+
+
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents in training order: each once per use, whole, with all its columns, range-sorted by position.
 
     A document whose words only begin before the end of the target is used whole.
     Documents without words belong to no demand and come first, once.
     """
-    kept = settle(docs.withColumn("_row", F.monotonically_increasing_id()), "documents")
-    plan = _uses(kept, options)
-    out = kept.join(plan, "_row").withColumn("_use", F.explode("_uses"))
-    out = out.repartitionByRange(F.col("_use"), F.col("_row")).sortWithinPartitions("_use", "_row")
-    return out.select(*[out[f"`{c}`"] for c in docs.columns])
+    every = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc")
+    kept = settle(docs.select(every).withColumn("row", F.monotonically_increasing_id()), "documents")
+    plan = _uses(kept.select("row", "doc.doc_id", "doc.source", "doc.text"), options)
+    out = in_order(kept.join(plan, "row").select("doc", "row", F.explode("uses").alias("use")), "use", "row")
+    return out.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
-def _uses(kept: DataFrame, options) -> DataFrame:
+def _uses(rows: DataFrame, options) -> DataFrame:
     schedules = options.get("schedules", SCHEDULES)
-    m = mix(kept.select(F.col("_row").alias("doc_id"), "source", "text"), **options)
+    m = mix(rows, row="row", **options)
 
     def time(k: int) -> Column:
         return training_time((F.col("start") + F.lit(k) * F.col("source_size")) / F.col("words"), F.col("place"), schedules)
     uses = F.when(F.col("size") == 0, F.array(F.lit(0.0)))
     for n in range(int(options.get("max_epochs", MAX_EPOCHS)), 0, -1):
         uses = uses.when(F.col("epochs") == n, F.array(*[time(k) for k in range(n)]))
-    return m.select(F.col("doc_id").alias("_row"), uses.alias("_uses")).where(F.col("_uses").isNotNull())
+    return m.select(F.col("row_id").alias("row"), uses.alias("uses")).where(F.col("uses").isNotNull())
 
 
 def op1_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents mixed to the weights 1, 2, 3 in the order of sources."""
-    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", F.round("position", 6).alias("position"))
+    """All documents mixed to the weights 1, 2, 3 in the order of sources, range-sorted by training position."""
+    placed = in_order(mix(table(spark, sf_dir, "documents")), "position", "doc_id")
+    return placed.select("doc_id", "size", "source_size", "target", "taken", F.round("position", 6).alias("position"))
 
 
 OP1_SQL = r"""
