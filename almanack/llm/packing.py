@@ -15,7 +15,8 @@ Scale: pieces are dealt by hash to blocks of a few thousand, packed apart; a
 block's last bins are the only loss.  No text moves: only word counts do.
 
 Null and empty texts, and texts of white space, have no pieces: one row with
-null bin.  Null sources are a source; rows may repeat (they are one cluster); an
+null bin.  A very long text has many pieces, each in a bin of its own but the last.  Null sources are a source; rows may repeat (they are one cluster, and
+are numbered, so that reruns and other file splits pack alike); an
 empty table gives no rows.  Other columns are not read.
 """
 
@@ -94,7 +95,7 @@ _OUT = "row_id long, piece int, words int, block long, bin long, start int"
 
 def _pack(capacity: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["words", "order"], ascending=[False, True], ignore_index=True)
+        pdf = pdf.sort_values(["words", "order", "copy", "piece"], ascending=[False, True, True, True], ignore_index=True)
         sizes = pdf["words"].to_numpy(np.int64)
         _, cluster, count = np.unique(pdf["cluster"].to_numpy(), return_inverse=True, return_counts=True)
         several = np.cumsum(count > 1) - 1
@@ -120,14 +121,17 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> DataF
     """
     ship(docs.sparkSession)
     plain = F.lower(F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ")))
-    rows = docs.select("doc_id", "source", n_words(F.col("text")).alias("n"), F.xxhash64(plain).alias("cluster"), F.xxhash64("doc_id", "text").alias("order"))
+    rows = docs.select("doc_id", "source", n_words(F.col("text")).alias("n"), F.xxhash64(plain).alias("cluster"), F.xxhash64("doc_id", "source", "text").alias("order"))
+    # rows that are alike are numbered by counting them, not by their place in a file
+    alike = rows.groupBy("doc_id", "source", "n", "cluster", "order").agg(F.count(F.lit(1)).alias("copies"))
+    rows = alike.select("doc_id", "source", "n", "cluster", "order", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
     rows = settle(rows.withColumn("row_id", F.monotonically_increasing_id()), "sizes")
     pieces = rows.where("n > 0").withColumn("piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / capacity).cast("int"))))
     pieces = pieces.withColumn("words", F.least(F.lit(capacity), F.col("n") - F.col("piece") * capacity).cast("int"))
     # as many words as a block of ordinary pieces has, whatever the lengths
     total = rows.agg(F.sum(F.floor((F.col("n") + capacity - 1) / capacity))).first()[0] or 0
     blocks = max(1, -(-int(total) // block))
-    pieces = pieces.select("row_id", "piece", "words", "cluster", "order", F.xxhash64(F.coalesce("source", F.lit("\0"))).alias("source"), F.pmod(F.xxhash64("row_id", "piece", "order"), F.lit(blocks)).alias("block"))
+    pieces = pieces.select("row_id", "piece", "words", "cluster", "order", "copy", F.xxhash64(F.coalesce("source", F.lit("\0"))).alias("source"), F.pmod(F.xxhash64("order", "copy", "piece"), F.lit(blocks)).alias("block"))
     packed = pieces.groupBy("block").applyInPandas(_pack(capacity), _OUT)
     # the ids come back by a join on the row, one row per piece
     placed = rows.select("row_id", "doc_id", "source").join(packed, "row_id", "left")

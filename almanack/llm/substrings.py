@@ -18,7 +18,7 @@ of its own size.
 
 Null and empty texts have no words and lose none.  Rows may repeat: equal rows
 hold the same windows at different places, so all of them count as repeats.
-An empty table gives no rows.  Only ``doc_id`` and ``text`` are read.
+Ids keep their type.  An empty table gives no rows.  Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -127,7 +127,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     sent = dealt.groupBy("chunk").applyInPandas(_send(width, bits), _SENT)
     answers = sent.groupBy("bucket").applyInPandas(_count, _SENT)
     out = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_remove(width, bits), _OUT)
-    return out.withColumn("doc_id", F.col("doc_id").cast("long"))
+    return out.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
