@@ -14,19 +14,65 @@ OVERRIDES = (
 
 BUCKET_PATTERNS = {
     "black": (
-        r"\bafrican[-\s]?american\b", r"\bafro[-\s]?american\b", r"\bblack\s+studies\b", r"\bblack\s+(american|diaspora|diasporic)\b",
-        r"\bafrican\s*,?\s*black\b", r"\bblack\s+and\s+.*\bstudies\b", r"\bcritical\s+black\s+studies\b", r"\bblack\s+visual\s+cultures\b",
+        r"\bafrican[-\s]?american\b",
+        r"\bafro[-\s]?american\b",
+        r"\bblack\s+studies\b",
+        r"\bblack\s+(american|diaspora|diasporic)\b",
+        r"\bafrican\s*,?\s*black\b",
+        r"\bafrican\s*,?\s*black\s+and\s+caribbean\s+studies\b(?:\s+(?:program|department|major|minor|certificate|center|centre))?",
+        r"\bblack\s+and\s+.*\bstudies\b",
+        r"\bcritical\s+black\s+studies\b",
+        r"\bafrican\s+and\s+african[-\s]+american\s+studies\b",
+        r"\bafrican\s+and\s+african\s+american\s+studies\b",
+        r"\bblack\s+visual\s+cultures\b",
+    ),
+    "africana": (
+        r"\bafricana\b",
+        r"\bpan[-\s]?african\b",
+        r"\bafricolog\w*\b",
+    ),
+    "mena": (
+        r"\bmiddle\s+east\b",
+        r"\bmiddle\s+eastern\b",
+        r"\bnorth\s+africa\b",
+        r"\bnorth\s+african\b",
+        r"\bnear\s+east\b",
+        r"\bnear\s+eastern\b",
+        r"\bmena\b",
+        r"\bmiddle\s+eastern\s+and\s+north\s+african\s+studies\b",
+        r"\bmiddle\s+eastern\s+and\s+north\s+africa\s+studies\b",
+        r"\bmiddle\s+east\s+and\s+north\s+africa\s+studies\b",
+        r"\bmiddle\s+east\s+and\s+north\s+african\s+studies\b",
+        r"\bmiddle\s+eastern\s*,\s*central\s+asian\s*,\s*and\s+north\s+african\s+studies\b",
     ),
-    "africana": (r"\bafricana\b", r"\bpan[-\s]?african\b", r"\bafricolog\w*\b"),
-    "mena": (r"\bmiddle\s+east(ern)?\b", r"\bnorth\s+african?\b", r"\bnear\s+east(ern)?\b", r"\bmena\b"),
     "african": (
-        r"\bafrican\s+studies\b", r"\bafrican\s+and\s+african\s+diaspor(a|ic)\s+studies\b", r"\bafrican\s+diaspora\s+studies\b",
-        r"\bafrican\s+languages?\b", r"\bafrican\s+literatures?\b", r"\bafrica\b",
+        r"\bafrican\s+studies\b",
+        r"\bafrican\s+and\s+african\s+diaspora\s+studies\b",
+        r"\bafrican\s+and\s+african\s+diasporic\s+studies\b",
+        r"\bafrican\s+diaspora\s+studies\b",
+        r"\bafrican\s+languages?\b",
+        r"\bafrican\s+literatures?\b",
+        r"\bafrican\s+language\s+program\b",
+        r"\bafrica\b",
+    ),
+    "minority": (
+        r"\bminority\b",
+        r"\bcultural\s+minority\b",
+    ),
+    "race": (
+        r"\brace\b",
+        r"\bracial\b",
+        r"\bcritical\s+race\b",
+        r"\bracial\s+justice\b",
+        r"\brace\s*,?\s*power\b",
+    ),
+    "ethnic": (
+        r"\brace\s*,?\s*ethnicity\b",
+        r"\brace\s+and\s+ethnicity\b",
+        r"\bethnic\b",
+        r"\bethnicity\b",
     ),
-    "minority": (r"\bminority\b",),
-    "ethnic": (r"\brace\s*,?\s*ethnicity\b", r"\brace\s+and\s+ethnicity\b", r"\bethnic\b", r"\bethnicity\b"),
-    "race": (r"\brace\b", r"\bracial\b"),
-}
+}
 
 MENA_TERMS = ("middle east", "middle eastern", "north africa", "north african", "mena", "near east", "near eastern", "central asian", "central asia")
 FALSE_POSITIVES = ("black belt", "blackstone", "blackboard", "black history month", "black student union")
@@ -43,25 +89,45 @@ COURSE_PHRASES = (
 )
 TRIP_VERBS = ("experience", "travel", "study abroad", "healing", "healthcare", "reads into", "honoring")
 COUNTRIES = ("ghana", "south africa", "nigeria", "kenya", "ethiopia", "uganda", "tanzania", "rwanda")
-CENTERS = ("center", "centre", "institute", "initiative", "lab")
+CENTERS = ("center", "centre", "institute", "initiative", "lab", "laboratory", "research center", "research centre")
 COMMITTEES = ("committee", "council", "office", "division", "board")
 
 YEAR = r"\b(19|20)\d{2}([-/]\d{2})?\b"
-CLASS_YEAR = r"\b'\d{2}\b"
+CLASS_YEAR = "\\b['\u2019]\\d{2}\\b"
 DESCRIPTOR = r"\b(financial\s+aid|scholarship|fellowship|career\s+map)\b"
 STRONG_TOKEN = r"\b(major|minor|department|program|certificate|concentration|degree)\b"
 DEGREE_TOKEN = r"\b(b\.?a\.?|b\.?s\.?|m\.?a\.?|m\.?s\.?|ph\.?d\.?)\b"
-DEGREE_PHRASE = r"\b(ba|bs|b\.a\.|b\.s\.|ma|ms|m\.a\.|m\.s\.|phd|ph\.d\.)\s+in\b|\b(bachelor|master)\s+of\s+(arts|science)\s+in\b"
+DEGREE_PHRASE = r"\b(ba|bs|b\.a\.|b\.s\.|ma|ms|m\.a\.|m\.s\.|phd|ph\.d\.)\s+in\b|\bbachelor\s+of\s+(arts|science)\s+in\b|\bmaster\s+of\s+(arts|science)\s+in\b"
 MAJOR_MINOR = r"\(\s*m\s*,\s*m\s*\)"
-BARE_STUDIES = r"\bstudies$"
-ADMIN = r"\b(curriculum|requirements|electives|4-year\s+plan|transfer\s+plan|catalog|degree\s+type|research\s+guide|guide|prereq(uisite)?s?|open\s+to\s+students|have\s+declared|program\s+of\s+study|senior\s+priority)\b"
-STORY = r"\b(reads\s+into|named|talking\s+with|studying|honoring|why)\b|\?"
-PROFILE_DASH = r"\b[A-Z][a-z]+\s+[A-Z][a-z]+\b\s*-\s*"  # on the title as it is
-DASH_SUFFIX = r"-\s*(major|minor|certificate|concentration)\b"
+BARE_STUDIES = r"\bstudies\b$"
+ADMIN = (
+    r"\b(curriculum|requirements|electives|4-year\s+plan|transfer\s+plan|catalog|degree\s+type|research\s+guide|guide|prereq(?:uisite)?s?|open\s+to\s+students|have\s+declared|program\s+of\s+study|senior\s+priority)\b"
+)
+STORY = r"\b(reads\s+into|named|talking\s+with|studying|honoring|why\b)\b|\?"
+PROFILE_DASH = r"\b[A-Z][a-z]+\s+[A-Z][a-z]+\b\s*[-–—]\s*"  # on the title as it is
+DASH_SUFFIX = r"[-–—]\s*(major|minor|certificate|concentration)\b"
 COURSE_PREFIX = r"^(introduction|intro|seminar|topics|special\s+topics|survey|advanced|capstone|independent\s+study|practicum|critical\s+debates|research|research\s+in)\b"
 CV_TAXONOMY = r"^ethnic\s*,\s*cultural\s+minority\s*,\s*and\s+gender\s+studies\s*,\s*other\b"
 COURSE_NUMBER = r"\b\d{3,4}\b"
 
+NAVIGATION_PREFIX = r"^\s*(academic\s+departments\s+and\s+programs|majors\s+and\s+minors|majors|minors|programs)\b[:\s-]*"
+PAGE_PREFIX = r"^\s*(check\s+out|view|welcome\s+to|about)\b[:\s-]*"
+TRACK = r"\s*\(([^)]{2,120})\)\s*$"
+DEGREE_PREFIXES = (
+    r"^\s*(ba|bs|b\.a\.|b\.s\.|ma|ms|m\.a\.|m\.s\.|phd|ph\.d\.)\s+in\s+",
+    r"^\s*bachelor\s+of\s+(arts|science)\s+in\s+",
+    r"^\s*master\s+of\s+(arts|science)\s+in\s+",
+)
+UNIT_PREFIXES = (r"^\s*department\s+of\s+", r"^\s*the\s+department\s+of\s+", r"^\s*the\s+")
+LEVEL_SUFFIXES = (r"\s+\bmajor\s+and\s+minor(s)?\b$", r"\s+\b(major|minor|program)\b$")
+#: Labels that a title of several subjects becomes, by the first phrase it holds; "African Studies" only without these.
+COMBINED = ("Ethnic Studies", "Black Studies", "Africana Studies", "African and African American Studies", "African Studies")
+NOT_AFRICAN = ("african american", "african-american")
+CARIBBEAN = r"\bafrican\s*,\s*black\s+and\s+caribbean\s+studies\b"
+
+#: Kinds that are real but no programs.
+SIGNAL_KINDS = ("center_institute", "committee_admin", "department_unit", "program_signal")
+
 #: Titles for tests and queries over generated tables: every bucket, override, kind and shape once.
 SEED_TITLES = (
     "African American Studies", "Black Studies Program", "Africana Studies (BA)", "Middle East and North African Studies", "African Studies Minor", "Cultural Minority Studies",

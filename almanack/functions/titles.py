@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import patterns as P
 from . import rules as R
+from .text import squeezed, title_text
 
 
 def _match(pattern: str, *where: str) -> tuple:
@@ -75,10 +76,56 @@ KINDS = [
 ]
 
 
-def normal(title: Column) -> Column:
-    """Title text in normal form: dashes one hyphen, ampersands the word, white space single.  Entities and mis-decoded text are :mod:`.text`'s."""
-    dashed = F.regexp_replace(F.coalesce(title, F.lit("")), "[‐-—]", "-")
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(dashed, "&", " and "), r"(?U)\s+", " "), "^ | $", "")
+def _cut(text: Column, pattern: str) -> Column:
+    return F.regexp_replace(F.regexp_replace(text, "(?iU)" + pattern, ""), r"(?U)^\s+|\s+$", "")
+
+
+def _without_track(title: Column) -> Column:
+    """Title without its last parentheses, unless they name a track: "studies" or a subject of a bucket; acronyms always go."""
+    track = F.trim(F.regexp_extract(title, "(?U)" + P.TRACK, 1))
+    named = F.lower(track).contains("studies") | track.rlike("(?iU)" + "|".join(p for b in P.BUCKETS for p in P.BUCKET_PATTERNS[b]))
+    acronym = track.rlike("^[A-Z]{2,6}$")
+    return F.when(track == "", title).when(acronym, F.regexp_replace(title, r"(?U)\s*\((?:[A-Z]{2,6})\)\s*$", "")).when(named, title).otherwise(_cut(title, r"\s*\((?:[^)]*)\)\s*$"))
+
+
+def _combined(title: Column) -> Column:
+    """The label of a title that joins several subjects by "and"."""
+    low = F.lower(title)
+    out = F.when(~low.contains(" and "), title)
+    mena = low.rlike("|".join(P.MENA_TERMS)) & low.contains("studies")
+    long, short = "Middle Eastern and North African Studies", "Middle East and North Africa Studies"
+    out = out.when(mena, F.when(low.contains("middle eastern"), long).when(low.contains("middle east"), short).when(low.contains("north african"), long).otherwise(title))
+    out = out.when(low.rlike(r"(?U)\brace\s+and\s+ethnic\s+studies\b"), "Race and Ethnic Studies")
+    for label in P.COMBINED:
+        found = low.contains(label.lower())
+        if label == "African Studies":
+            found = found & ~low.rlike("|".join(P.NOT_AFRICAN))
+        out = out.when(found, label)
+    return out.otherwise(title)
+
+
+def _halved(title: Column) -> Column:
+    """The first half of a title that says the same twice, of six words or more."""
+    words = F.split(title, " ")
+    half = F.floor(F.size(words) / 2).cast("int")
+    first, rest = F.array_join(F.slice(words, F.lit(1), half), " "), F.array_join(F.slice(words, half + 1, F.greatest(F.size(words) - half, F.lit(0))), " ")
+    return F.when((F.size(words) >= 6) & (F.lower(first) == F.lower(rest)), first).otherwise(title)
+
+
+def canonical_columns(rows: DataFrame, title: str = "title", name: str = "canonical_title") -> DataFrame:
+    """Adds the label that variants of a program share, of titles in normal form.
+
+    One step is one column, so that no step's text is repeated in the plan.
+    """
+    steps = [lambda t: _cut(_cut(_cut(t, P.NAVIGATION_PREFIX), P.PAGE_PREFIX), r"\s*" + P.MAJOR_MINOR + r"\s*$"), _without_track, lambda t: _cut(t, r"\s+(home|overview)\b")]
+    steps += [lambda t, p=p: _cut(t, p) for p in (*P.UNIT_PREFIXES, *P.DEGREE_PREFIXES)]
+    steps += [lambda t: F.when(F.lower(t) == "africana", "Africana Studies").otherwise(t)]
+    steps += [lambda t, p=p: _cut(t, p) for p in P.LEVEL_SUFFIXES]
+    steps += [_combined, lambda t: F.when(F.lower(t).rlike("(?U)" + P.CARIBBEAN), "African, Black and Caribbean Studies").otherwise(t), lambda t: squeezed(t), _halved, lambda t: F.regexp_replace(t, r"(?U)[\s,:;]+$", "")]
+    out = rows.withColumn(name, F.col(title))
+    for step in steps:
+        out = out.withColumn(name, step(F.col(name)))
+    return out
 
 
 def classified(rows: DataFrame, title: str = "raw_title") -> DataFrame:
@@ -87,17 +134,17 @@ def classified(rows: DataFrame, title: str = "raw_title") -> DataFrame:
     ``rows`` has ``title`` and ``source``.  Null titles count as empty; everything is one
     narrow expression per column, no shuffle.
     """
-    out = rows.withColumn("title", normal(F.col(title))).withColumn("low", F.lower("title"))
+    out = rows.withColumn("title", title_text(F.col(title))).withColumn("low", F.lower("title"))
     out = out.withColumn("n_words", F.when(F.col("title") == "", 0).otherwise(F.size(F.split("title", " "))))
     out = out.withColumn("bucket", R.first_of(bucket_cases(), "other"))
     out = out.withColumn("conf", F.greatest(F.lit(0), F.least(F.lit(100), R.points(CONFIDENCE)))).withColumn("conf_reason", R.flags(CONFIDENCE))
     return out.withColumn("title_kind", R.first_of(KINDS, "other_nonprogram")).drop("low")
 
 
-def classified_sql(rows: str) -> str:
-    """The same over the subquery ``rows`` (raw_title, source, ...), for DuckDB."""
-    return f"""SELECT * EXCLUDE (low), {R.first_of_sql(KINDS, 'other_nonprogram')} AS title_kind FROM (
-      SELECT *, greatest(0, least(100, {R.points_sql(CONFIDENCE)})) AS conf, {R.flags_sql(CONFIDENCE)} AS conf_reason FROM (
-        SELECT *, {R.first_of_sql(bucket_cases(), 'other')} AS bucket FROM (
-          SELECT *, lower(title) AS low, CASE WHEN title = '' THEN 0 ELSE len(string_split(title, ' ')) END AS n_words FROM (
-            SELECT *, trim(regexp_replace(regexp_replace(coalesce(raw_title, ''), '&', ' and ', 'g'), '\\s+', ' ', 'g')) AS title FROM ({rows})))))"""
+def filled(rows: DataFrame) -> DataFrame:
+    """Bucket and label are blank for titles that are neither in scope nor programs nor units; adds ``is_program``."""
+    kept = F.col("title_kind").isin("program", "maybe_program", *P.SIGNAL_KINDS) | (F.col("bucket") != "other")
+    out = rows.withColumn("canonical_title", F.when(kept, F.col("canonical_title")).otherwise("")).withColumn("bucket", F.when(kept, F.col("bucket")).otherwise(""))
+    return out.withColumn("is_program", (F.col("title_kind") == "program").cast("int"))
+
+

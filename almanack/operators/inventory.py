@@ -7,18 +7,23 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions import rules as R
+from ..functions.text import dashed_and, decoded
 
 
 def split_cell(cell: Column) -> Column:
-    """Titles of a pipe-joined cell, trimmed, without blanks; of titles equal but for case the first."""
-    parts = F.filter(F.transform(F.split(F.coalesce(cell, F.lit("")), r"\|"), lambda t: F.trim(t)), lambda t: t != "")
+    """Titles of a pipe-joined cell in normal form, without blanks; of titles equal but for case the first.
+
+    Entities and mis-decoded text are repaired in the whole cell before (:func:`..functions.text.decoded`).
+    """
+    parts = F.filter(F.transform(F.split(F.coalesce(cell, F.lit("")), r"\|"), dashed_and), lambda t: t != "")
     return F.aggregate(parts, F.array().cast("array<string>"), lambda kept, t: F.when(F.exists(kept, lambda k: F.lower(k) == F.lower(t)), kept).otherwise(F.concat(kept, F.array(t))))
 
 
 def evidence(rows: DataFrame, cells: dict[str, str], keep: list[str]) -> DataFrame:
     """One row per title: ``keep``, ``source`` (key of ``cells``, in its order), ``pos`` and ``raw_title``."""
+    clean = rows.withColumns({c: decoded(F.col(c), entities=True, repair="any") for c in cells.values()})
     listed = F.concat(*[F.transform(split_cell(F.col(c)), _sourced(source)) for source, c in cells.items()])
-    return rows.select(*keep, F.posexplode(listed).alias("pos", "t")).select(*keep, "t.source", "pos", "t.raw_title")
+    return clean.select(*keep, F.posexplode(listed).alias("pos", "t")).select(*keep, "t.source", "pos", "t.raw_title")
 
 
 def _sourced(source: str):
@@ -69,24 +74,51 @@ def expand_offers(rows: DataFrame) -> DataFrame:
     return rows.withColumn("canonical_title", F.explode(F.when(offered, three).otherwise(F.array("canonical_title"))))
 
 
+def once(rows: Column) -> Column:
+    """Titles of (pos, t) structs in order of ``pos``, not blank; of titles equal but for case the first."""
+    titles = F.transform(F.array_sort(rows), lambda x: F.trim(x["t"]))
+    kept = F.filter(titles, lambda t, i: (t != "") & ~F.exists(F.slice(titles, F.lit(1), i), lambda u: F.lower(u) == F.lower(t)))
+    return F.array_join(kept, "|")
+
+
+def merged_cell(crawl: Column, cv: Column) -> Column:
+    """``crawl:a|b || cv:c``, without sources that have nothing."""
+    return F.concat_ws(" || ", F.when(crawl != "", F.concat(F.lit("crawl:"), crawl)), F.when(cv != "", F.concat(F.lit("cv:"), cv)))
+
+
 def wide(rows: DataFrame, keys: list[str], value: str = "canonical_title") -> DataFrame:
-    """One row per key: for each bucket and source its titles in order of ``pos``, and the buckets hit."""
+    """One row per key: for each bucket the titles of both sources with their origin, the titles of each, and the buckets hit."""
     buckets = (*P.BUCKETS, "other")
-    columns = []
+    listed = {(b, s): once(F.collect_list(F.when((F.col("bucket") == b) & (F.col("source") == s), F.struct("pos", F.col(value).alias("t"))))) for b in buckets for s in ("crawl", "cv")}
+    cells = rows.groupBy(*keys).agg(*[c.alias(f"program_bucket__{b}__{s}") for (b, s), c in listed.items()])
     for b in buckets:
-        for s in ("crawl", "cv"):
-            listed = F.array_sort(F.collect_list(F.when((F.col("bucket") == b) & (F.col("source") == s), F.struct("pos", F.col(value).alias("t")))))
-            columns.append(F.array_join(F.transform(listed, lambda x: x["t"]), "|").alias(f"program_bucket__{b}__{s}"))
-    hits = F.array_join(F.filter(F.array(*[F.when(F.max((F.col("bucket") == b).cast("int")) == 1, F.lit(b)) for b in buckets]), lambda x: x.isNotNull()), "|")
-    return rows.groupBy(*keys).agg(*columns, hits.alias("program_buckets_hit"))
+        cells = cells.withColumn(f"program_bucket__{b}", merged_cell(F.col(f"program_bucket__{b}__crawl"), F.col(f"program_bucket__{b}__cv")))
+    hits = F.concat_ws("|", *[F.when(F.col(f"program_bucket__{b}") != "", F.lit(b)) for b in buckets])
+    return cells.withColumn("program_buckets_hit", hits)
 
 
-def canonical(title: Column) -> Column:
-    """Short form of a program title: without leading unit words, degree phrases, parentheses and trailing level words."""
-    out = F.regexp_replace(title, r"(?i)^(department of|major in|minor in|(ba|bs|ma|ms) in) ", "")
-    out = F.regexp_replace(out, r" *\([^)]*\)", "")
-    out = F.regexp_replace(out, r"(?i)( -)? (program|department|major|minor|certificate)$", "")
-    return F.trim(out)
+def signal_cells(rows: DataFrame, keys: list[str], value: str = "canonical_title") -> DataFrame:
+    """One cell per key for titles that are real but no programs: ``kind:bucket:source:a|b`` joined by `` || ``, in that order."""
+    found = rows.where(F.col("title_kind").isin(*P.SIGNAL_KINDS)).withColumn("bucket", F.when(F.trim("bucket") == "", "other").otherwise(F.col("bucket")))
+    each = found.groupBy(*keys, "title_kind", "bucket", "source").agg(once(F.collect_list(F.struct("pos", F.col(value).alias("t")))).alias("titles"))
+    part = F.struct("title_kind", "bucket", "source", F.concat_ws(":", "title_kind", "bucket", "source", "titles").alias("text"))
+    return each.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda x: x["text"]), " || ").alias("real_nonprogram_signals"))
 
 
-CANONICAL_SQL = r"""trim(regexp_replace(regexp_replace(regexp_replace(title, '(?i)^(department of|major in|minor in|(ba|bs|ma|ms) in) ', ''), ' *\([^)]*\)', '', 'g'), '(?i)( -)? (program|department|major|minor|certificate)$', ''))"""
+def provenance_summary(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Sources of each program bucket and of each kind of signal and its bucket, in one table by ``key_type`` and ``key``."""
+    programs = provenance(rows.where("is_program = 1 and bucket != ''"), [*keys, "bucket"]).select(*keys, F.lit("bucket").alias("key_type"), F.col("bucket").alias("key"), F.lit("").alias("bucket"), "sources_in_key", *_HAS)
+    signals = rows.where(F.col("title_kind").isin(*P.SIGNAL_KINDS)).withColumn("bucket", F.when(F.trim("bucket") == "", "other").otherwise(F.col("bucket")))
+    signals = provenance(signals, [*keys, "title_kind", "bucket"]).select(*keys, F.lit("title_kind").alias("key_type"), F.col("title_kind").alias("key"), "bucket", "sources_in_key", *_HAS)
+    return programs.unionByName(signals)
+
+
+_HAS = ("has_crawl_in_key", "has_cv_in_key", "has_both_in_key")
+
+
+def with_provenance(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with what :func:`provenance` says of their key, by a window: no join."""
+    key = Window.partitionBy(*keys)
+    flags = {f"has_{s}_in_key": F.max((F.col("source") == s).cast("int")).over(key) for s in ("crawl", "cv")}
+    out = rows.withColumn("sources_in_key", F.array_join(F.array_sort(F.collect_set(F.when(F.col("source") != "", F.col("source"))).over(key)), "|")).withColumns(flags)
+    return out.withColumn("has_both_in_key", F.col("has_crawl_in_key") * F.col("has_cv_in_key"))
