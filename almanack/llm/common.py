@@ -82,6 +82,8 @@ class Tables:
         self._paths = []
 
     def drop(self) -> None:
+        """Remove the tables; what the plans that wrote them left in shuffles goes with the driver's next collection, asked for here."""
+        spark = self._paths[0][0] if self._paths else None
         while self._paths:
             spark, path = self._paths.pop()
             try:
@@ -89,6 +91,8 @@ class Tables:
                 p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
             except Exception:  # the session has ended
                 return
+        if spark is not None and spark._jsc.sc() and not spark._jsc.sc().isStopped():
+            spark._jvm.System.gc()
 
 
 _kept = Tables()

@@ -1,8 +1,8 @@
 """Operator 9: fuzzy line dedup by MinHash.
 
 Method: a line's set is its distinct runs of five characters.  One hash per
-run fills a signature of 48 bins (one-permutation MinHash; an empty bin takes the value of
-another that hashing picks); each band of four whole bins is a key, and lines that share
+run fills a signature of 80 bins (one-permutation MinHash; an empty bin takes the value of
+another that hashing picks); each band of five whole bins is a key, and lines that share
 a key meet.  Very short lines also meet by exact keys: their set, and their set without any one run.
 All pairs that meet are looked at, but for those that a sketch of 128 bits tells apart
 (:func:`sketches`); components of the others are blocks, cut into bounded
@@ -10,11 +10,11 @@ tasks, in which the exact Jaccard coefficient of the whole sets alone decides (0
 or more links).  A block too large for a task is taken apart again: its
 lines are compared key by key.  Links are united by star contraction
 (:func:`.common.components`), and of each component one line stays: the first
-by document id and line number.  At a coefficient of 0.8 the twelve bands miss
+by document id and line number.  At a coefficient of 0.8 the sixteen bands miss
 two in a thousand pairs, and the sketches one in a hundred thousand; nothing else is lost.
 
 Lines are what lies between newlines; blank lines are no lines, they stay.
-Equal lines (by two hashes and length) are one class from the start, so a line that a third of all
+Equal lines (by 128 bits of hash and length) are one class from the start, so a line that a third of all
 documents hold costs one row per task.  Texts are shuffled once, to be rewritten.
 
 Null and empty texts stay as they are.  Equal rows (id and text) become one: of those that differ
@@ -26,7 +26,7 @@ A very long text is read in stretches of lines; a line is never cut.  Empty tabl
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 
 import numpy as np
 import pandas as pd
@@ -37,20 +37,22 @@ from pyspark.sql import functions as F
 from . import hashing as H
 from . import marks
 from .blocks import block_tasks
-from .common import components, settle, ship, table
+from .common import Tables, components, settle, ship, table
 from .memory import trimmed
 
 RUN = 5
-BINS = 48
-BAND = 4
+BINS = 80
+BAND = 5
 PERCENT = 80
 #: Sets of at most so many runs also meet by exact keys.
 TINY = 10
-#: Bins not borrowed from which on a sketch is of the signature, and bins of 48 in which two such sketches must
-#: agree: two bits a bin agree in 41 of 48 at a coefficient of 0.8, with a deviation of 2.5.
-OWN, AGREE = 36, 30
+#: Bins not borrowed from which on a sketch is of the signature, the bins it holds, and how many of them must
+#: agree in two such sketches: two bits a bin agree in 54 of 64 at a coefficient of 0.8, with a deviation of 2.9.
+OWN, SKETCHED, AGREE = 56, 64, 41
 #: Lines of a key in a task; rows with keys in a task; keys sent at once.
 MEET, MEET_ROWS, SENT = 2048, 1 << 17, 1 << 21
+#: Bytes of text for each key, about.
+KEY_BYTES = 12
 TASK_RUNS = 1 << 19
 #: Characters hashed at once.
 SLICE = 1 << 17
@@ -89,12 +91,8 @@ def _slices(lines: list[str]):
 
 
 def _line_hashes(lines: list[str]) -> np.ndarray:
-    out = [np.zeros(0, _U)]
-    for low, high in _slices(lines):
-        buf = np.frombuffer("\n".join([*lines[low:high], ""]).encode("utf-8", "surrogatepass"), np.uint8)
-        ends = np.flatnonzero(buf == 10)
-        out.append(H._hash_spans(buf, np.concatenate(([0], ends[:-1] + 1)), ends, False))
-    return np.concatenate(out).view(np.int64)
+    """128 bits of each line, as two longs."""
+    return np.frombuffer(b"".join([hashlib.blake2b(x.encode("utf-8", "surrogatepass"), digest_size=16).digest() for x in lines]), np.int64).reshape(-1, 2)
 
 
 def _runs(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -136,11 +134,15 @@ _ASKED = _borrowed()
 
 def _filled(some: np.ndarray) -> np.ndarray:
     """Signatures in which an empty bin takes the value of the first that isn't, in an order of its own."""
+    row, bin_ = np.nonzero(some == _EMPTY)
     out = some.copy()
-    for low in range(0, len(some), 512):
-        part, held = some[low : low + 512], some[low : low + 512] != _EMPTY
-        source = _ASKED[np.arange(BINS), held[:, _ASKED].argmax(axis=2)]
-        out[low : low + 512] = np.where(held, part, np.take_along_axis(part, source, axis=1))
+    for turn in range(BINS):
+        found = some[row, _ASKED[bin_, turn]]
+        got = found != _EMPTY
+        out[row[got], bin_[got]] = found[got]
+        row, bin_ = row[~got], bin_[~got]
+        if not len(row):
+            break
     return out
 
 
@@ -170,9 +172,8 @@ def sketches(hashes: np.ndarray, owner: np.ndarray, some: np.ndarray, own: np.nd
     cells.reshape(-1)[owner * 128 + (hashes & _U(127)).astype(np.int64)] = True
     out = np.packbits(cells, axis=1)
     full = np.flatnonzero(own >= OWN)
-    two = (H.mix(some[full]) & _U(3)).astype(np.uint8).reshape(len(full), BINS // 4, 4)
-    out[full] = 0
-    out[full, : BINS // 4] = (two << np.array([0, 2, 4, 6], np.uint8)).sum(axis=2, dtype=np.uint8)
+    two = (H.mix(some[full, :SKETCHED]) & _U(3)).astype(np.uint8).reshape(len(full), SKETCHED // 4, 4)
+    out[full] = (two << np.array([0, 2, 4, 6], np.uint8)).sum(axis=2, dtype=np.uint8)
     return out.view(_U)
 
 
@@ -186,7 +187,7 @@ def may_link(x: np.ndarray, y: np.ndarray, runs_x: np.ndarray, runs_y: np.ndarra
     unlike = np.bitwise_count((z | (z >> _U(1))) & _U(0x5555555555555555)).sum(axis=1)
     most = (np.abs(runs_x) + np.abs(runs_y)) * (100 - percent) // (100 + percent)
     signed = np.sign(runs_x) + np.sign(runs_y)
-    return np.where(signed == 0, True, np.where(signed < 0, unlike <= BINS - AGREE, apart <= most))
+    return np.where(signed == 0, True, np.where(signed < 0, unlike <= SKETCHED - AGREE, apart <= most))
 
 
 def bands(some: np.ndarray) -> np.ndarray:
@@ -238,27 +239,33 @@ def meeting_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return np.concatenate(keys), np.concatenate(([0], np.cumsum(np.concatenate(counts)))), np.concatenate(sketch), np.concatenate(runs)
 
 
-_LINE = "key long, id string, number int, line long, crc long, n int, runs int, k0 long, k1 long, keys array<long>"
+_LINE = "key long, id string, number int, line long, check long, n int, runs int, k0 long, k1 long, keys array<long>"
+
 
+def _read_lines(marked, bits: int):
+    @trimmed
+    def run(batches):
+        for batch in batches:
+            key, ids = batch.column("key"), batch.column("id")
+            for owner, number, lines in _batches(batch.column("text").to_pylist()):
+                h, check = _line_hashes(lines).T.copy()
+                # marked keys and the sketch go with the first of equal lines of a lot
+                at = np.sort(np.unique(h, return_index=True)[1])
+                keys, ends, sketch, runs = meeting_keys([lines[i] for i in at.tolist()])
+                short = _short(keys, bits).view(np.int64)
+                keep = marks.marked(marked, short)
+                kept = np.concatenate(([0], np.cumsum(keep)))[ends]
+                counts, own, sketched = np.zeros(len(lines), np.int64), np.zeros(len(lines), np.int32), np.zeros((len(lines), 2), np.int64)
+                met = np.diff(kept) > 0
+                counts[at], own[at[met]], sketched[at[met]] = np.diff(kept), runs[met], sketch[met].view(np.int64)
+                offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+                where = pa.array(owner)
+                yield pa.RecordBatch.from_arrays([
+                    key.take(where), ids.take(where), pa.array(number.astype(np.int32)), pa.array(h), pa.array(check), pa.array(np.array([len(x) for x in lines], np.int32)),
+                    pa.array(own), pa.array(sketched[:, 0]), pa.array(sketched[:, 1]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(short[keep])),
+                ], ["key", "id", "number", "line", "check", "n", "runs", "k0", "k1", "keys"])
 
-@trimmed
-def _read_lines(batches):
-    for batch in batches:
-        key, ids = batch.column("key"), batch.column("id")
-        for owner, number, lines in _batches(batch.column("text").to_pylist()):
-            h = _line_hashes(lines)
-            # the keys go with the first of equal lines of a lot
-            at = np.sort(np.unique(h, return_index=True)[1])
-            keys, ends, sketch, runs = meeting_keys([lines[i] for i in at.tolist()])
-            counts, own, bits = np.zeros(len(lines), np.int64), np.zeros(len(lines), np.int32), np.zeros((len(lines), 2), np.int64)
-            counts[at], own[at], bits[at] = np.diff(ends), runs, sketch.view(np.int64)
-            offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-            where = pa.array(owner)
-            crc = np.array([zlib.crc32(x.encode("utf-8", "surrogatepass")) for x in lines], np.int64)
-            yield pa.RecordBatch.from_arrays([
-                key.take(where), ids.take(where), pa.array(number.astype(np.int32)), pa.array(h), pa.array(crc), pa.array(np.array([len(x) for x in lines], np.int32)),
-                pa.array(own), pa.array(bits[:, 0]), pa.array(bits[:, 1]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.view(np.int64))),
-            ], ["key", "id", "number", "line", "crc", "n", "runs", "k0", "k1", "keys"])
+    return run
 
 
 def _fetch(bits):
@@ -266,7 +273,7 @@ def _fetch(bits):
     def run(batches):
         for pdf in batches:
             for _, _, lines in _batches(pdf["text"].tolist()):
-                h = _line_hashes(lines)
+                h = _line_hashes(lines)[:, 0].copy()
                 where = np.flatnonzero(marks.marked(bits, h))
                 where = where[np.unique(h[where], return_index=True)[1]]
                 if len(where):
@@ -359,7 +366,7 @@ def _short(keys: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _send(bits: int):
-    """Keys to their buckets (the first ``bits`` bits), packed, five bytes each."""
+    """Keys of all lines to their buckets (the first ``bits`` bits), packed, five bytes each."""
 
     def packed(lots: list[np.ndarray]):
         short = np.sort(np.concatenate(lots))
@@ -372,14 +379,13 @@ def _send(bits: int):
     def run(batches):
         held, size = [], 0
         for batch in batches:
-            short = _short(batch.column("keys").flatten().to_numpy(), bits)
-            if len(short):
-                held.append(short)
-                size += len(short)
-            if size >= SENT:
-                yield packed(held)
-                held, size = [], 0
-        if held:
+            for _, _, lines in _batches(batch.column("text").to_pylist()):
+                held.append(_short(meeting_keys(list(dict.fromkeys(lines)))[0], bits))
+                size += len(held[-1])
+                if size >= SENT:
+                    yield packed(held)
+                    held, size = [], 0
+        if size:
             yield packed(held)
 
     return run
@@ -395,31 +401,20 @@ def _count(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"band": (key | (_U(pdf["bucket"].iloc[0]) << _U(40))).view(np.int64), "times": times})
 
 
-def _marked_keys(marked, bits: int):
-    @trimmed
-    def run(batches):
-        for batch in batches:
-            keys = batch.column("keys")
-            band = _short(keys.flatten().to_numpy(), bits).view(np.int64)
-            of = np.repeat(np.arange(batch.num_rows), np.diff(keys.offsets.to_numpy()))
-            keep = marks.marked(marked, band)
-            rows = batch.select(["line", "runs", "k0", "k1"]).take(pa.array(of[keep]))
-            yield pa.RecordBatch.from_arrays([pa.array(band[keep]), *rows.columns], ["band", "line", "runs", "k0", "k1"])
-
-    return run
+def shared_keys(docs: DataFrame) -> tuple[DataFrame, int]:
+    """Settled ``band, times`` of the keys that several lines share, and how many bits of them name a bucket.
 
+    Of all keys only five bytes each travel, to be counted.
+    """
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    bits = min(20, max(8, (size // KEY_BYTES // SENT).bit_length()))
+    sent = docs.select("text").mapInArrow(_send(bits), "bucket int, packed binary")
+    return settle(sent.groupBy("bucket").applyInPandas(_count, "band long, times long"), "shared"), bits
 
-def meetings(keyed: DataFrame) -> DataFrame:
-    """Settled ``band, line, runs, k0, k1, times`` for the keys that several rows share, from ``line, runs, k0, k1, keys``.
 
-    Of all keys only five bytes each travel, to be counted; rows follow for the keys
-    that are marked as shared.  ``times``, how many rows share the key, is there for those too many for one task.
-    """
-    bits = min(20, max(8, (12 * keyed.count() // SENT).bit_length()))
-    sent = keyed.select("keys").mapInArrow(_send(bits), "bucket int, packed binary")
-    shared = settle(sent.groupBy("bucket").applyInPandas(_count, "band long, times long"), "shared")
-    marked = marks.bitmap(shared.select(F.col("band").alias("key")))
-    rows = keyed.mapInArrow(_marked_keys(marked, bits), "band long, line long, runs int, k0 long, k1 long")
+def meetings(keyed: DataFrame, shared: DataFrame) -> DataFrame:
+    """Settled ``band, line, runs, k0, k1, times``, one row for each of a line's ``keys``; ``times``, how many rows share it, is there for those too many for one task."""
+    rows = keyed.select("line", "runs", "k0", "k1", F.explode("keys").alias("band"))
     hot = shared.where(F.col("times") > MEET)
     hot = F.broadcast(hot) if hot.limit(1 << 16).count() < 1 << 16 else hot  # bounded, or joined by key
     return settle(rows.join(hot, "band", "left"), "met")
@@ -479,9 +474,8 @@ def candidate_edges(met: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("task").applyInPandas(_near(percent), "a long, b long").distinct()
 
 
-def line_links(docs: DataFrame, keyed: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Links ``a, b`` between the distinct lines of ``docs`` (``line`` and its ``keys`` and sketch, repeated or not); between them they connect all that link."""
-    met = meetings(keyed)
+def line_links(docs: DataFrame, met: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links ``a, b`` between the lines of ``docs`` that meet (:func:`meetings`); between them they connect all that link."""
     blocks = settle(components(candidate_edges(met, percent)).select("node", F.col("component").alias("block")), "blocks")
     bits = marks.bitmap(blocks.select(F.col("node").alias("key")))
     sets = docs.select("text").mapInPandas(_fetch(bits), "node long, n int, text string")
@@ -504,12 +498,17 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     ship(docs.sparkSession)
     own_type = docs.schema["doc_id"].dataType
     rows = _rows(docs)
-    seen = settle(rows.mapInArrow(_read_lines, _LINE), "lines")
+    with Tables() as work:
+        shared, bits = shared_keys(rows)
+        marked = marks.bitmap(shared.select(F.col("band").alias("key")))
+    seen = settle(rows.mapInArrow(_read_lines(marked, bits), _LINE), "lines")
     place = F.struct(F.col("id").isNull().alias("none"), F.col("id").cast(own_type).alias("doc_id"), "id", "key", "number")
-    same = ["line", "crc", "n"]
-    lines = seen.groupBy(*same).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"))
-    linked = line_links(rows, seen.where(F.size("keys") > 0).select("line", "runs", "k0", "k1", "keys"), percent)
+    same = ["line", "check", "n"]
+    with work:
+        linked = line_links(rows, meetings(seen.where(F.size("keys") > 0), shared), percent)
     united = components(linked).select(F.col("node").alias("line"), F.col("component").alias("root"))
+    work.drop()
+    lines = seen.groupBy(*same).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"))
     # lines that occur once and link with nothing need no decision
     classes = settle(lines.join(united, "line", "left").where("root is not null or times > 1").withColumn("root", F.coalesce("root", F.xxhash64(*same))), "classes")
     kept = classes.groupBy("root").agg(F.min("first").alias("kept"))

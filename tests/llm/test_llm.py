@@ -227,12 +227,23 @@ def test_lines(docs):
     assert rows[4] is None and rows[5] == "" and rows[6] == " \n\t"
 
 
+def met(spark, rows):
+    shared = Counter(k for r in rows for k in r[4])
+    shared = spark.createDataFrame([(k, n) for k, n in shared.items() if n > 1], "band long, times long")
+    return lines.meetings(spark.createDataFrame(rows, "line long, runs int, k0 long, k1 long, keys array<long>"), shared)
+
+
 def test_a_stranger_first_in_a_band_hides_no_pair(spark):
-    keys = [k << 24 for k in (7, 8, 9)]
-    rows = [(0, 9, 0, 0, keys[:1]), (1, 9, -1, -1, keys[:1]), (2, 9, -1, -1, keys[:1]), (2, 9, -1, -1, keys[1:2]), (5, 9, 0, 0, keys[2:])]
-    met = lines.meetings(spark.createDataFrame(rows, "line long, runs int, k0 long, k1 long, keys array<long>"))
-    assert {r["line"] for r in met.collect()} == {0, 1, 2}
-    assert set(map(tuple, lines.candidate_edges(met, 80).collect())) == {(1, 2)}
+    rows = [(0, 9, 0, 0, [7]), (1, 9, -1, -1, [7]), (2, 9, -1, -1, [7]), (2, 9, -1, -1, [8]), (5, 9, 0, 0, [8])]
+    assert set(map(tuple, lines.candidate_edges(met(spark, rows), 80).collect())) == {(1, 2)}
+
+
+def test_keys_that_lines_share_are_counted(spark):
+    texts = ["a line of some length, number one\nshort", "a line of some length, number one", "quite another thing in these words", None, ""]
+    shared, bits = lines.shared_keys(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
+    keys, at, _, _ = lines.meeting_keys(["a line of some length, number one"])
+    want = set(lines._short(keys, bits).view(np.int64).tolist())
+    assert {(r["band"], r["times"]) for r in shared.collect()} == {(k, 2) for k in want}
 
 
 def test_sketches_tell_no_pair_apart_that_links():
@@ -254,9 +265,8 @@ def test_sketches_tell_no_pair_apart_that_links():
 
 def test_a_key_of_very_many_lines_is_cut_into_cells(spark, monkeypatch):
     monkeypatch.setattr(lines, "MEET", 10)
-    rows = [(i, 9, i % 2 - 1, 0, [7 << 24]) for i in range(100)]
-    met = lines.meetings(spark.createDataFrame(rows, "line long, runs int, k0 long, k1 long, keys array<long>"))
-    found = {r["node"]: r["component"] for r in components(lines.candidate_edges(met, 80)).collect()}
+    rows = [(i, 9, i % 2 - 1, 0, [7]) for i in range(100)]
+    found = {r["node"]: r["component"] for r in components(lines.candidate_edges(met(spark, rows), 80)).collect()}
     assert found == {i: i % 2 for i in range(100)}
 
 
