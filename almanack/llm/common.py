@@ -123,7 +123,7 @@ def crc32_mod(doc_id: Column, mod: int) -> Column:
 
 
 #: Nodes of more edges than this are joined by broadcast, so many of them at most; tables of fewer edges than ``SMALL`` have none worth it.
-HEAVY_EDGES, HEAVY_NODES, SMALL = 512, 1024, 1 << 14
+HEAVY_EDGES, HEAVY_NODES, SMALL = 512, 1024, 1 << 11
 
 
 def _with_low(edges: DataFrame, low: DataFrame, small: bool) -> DataFrame:
