@@ -5,8 +5,8 @@ not, hashed to a fixed number of cells.  Each is scaled by its naive Bayes
 log-count ratio, r = log of how much likelier it is in toxic texts; n-grams
 whose two rates do not differ significantly have r = 0.  Logistic regression on
 the scaled features gives the weights.  Fitted on a bounded labelled sample
-(:mod:`.training`) of whole texts: executors count the n-grams of each class, the driver
-gets the counts of all cells, then only which of the significant cells each text of the sample
+(:mod:`.training`) of whole texts: executors count the n-grams of each class and find the
+significant cells, the driver gets their ratios and which of them each text of the sample
 has.  Scoring reads every whole text once, a very long one in pieces, and shuffles nothing.
 
 Null and empty texts have no features and get the score of the intercept.
@@ -107,11 +107,11 @@ def _present(wanted):
     return run
 
 
-def ratios(p: np.ndarray, q: np.ndarray, n1: int, n0: int) -> np.ndarray:
-    """Log-count ratio of each cell by the numbers of toxic and other texts that have it; 0 where they don't differ significantly."""
-    a, b = (p + 1) / (n1 + 2), (q + 1) / (n0 + 2)
-    z = (a - b) / np.sqrt(a * (1 - a) / n1 + b * (1 - b) / n0)
-    return np.where((np.abs(z) >= SIGNIFICANT) & (p + q >= 5), np.log(a / b), 0.0)
+def ratios(counts: DataFrame, n1: int, n0: int) -> DataFrame:
+    """``cell, r`` of the cells (``cell, n1, n0``: texts of each class that have it) whose rates differ significantly."""
+    a, b = (F.col("n1") + 1) / (n1 + 2), (F.col("n0") + 1) / (n0 + 2)
+    z = (a - b) / F.sqrt(a * (1 - a) / n1 + b * (1 - b) / n0)
+    return counts.where((F.abs(z) >= SIGNIFICANT) & (F.col("n1") + F.col("n0") >= 5)).select("cell", F.ln(a / b).alias("r"))
 
 
 def fitted(sample: DataFrame) -> tuple[np.ndarray, float] | float:
@@ -121,34 +121,46 @@ def fitted(sample: DataFrame) -> tuple[np.ndarray, float] | float:
     fixed = constant(np.repeat([1, 0], [n1, n0]))
     if fixed is not None:
         return fixed
-    counts = sample.select("y", "text").mapInPandas(_counted, "cell int, n0 long, n1 long").groupBy("cell").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()  # CELLS rows at most
-    p, q = np.zeros(CELLS), np.zeros(CELLS)
-    p[counts["cell"]], q[counts["cell"]] = counts["n1"], counts["n0"]
-    del counts
-    r = ratios(p, q, n1, n0)
+    counts = sample.select("y", "text").mapInPandas(_counted, "cell int, n0 long, n1 long").groupBy("cell").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    found = ratios(counts, n1, n0).toPandas()  # CELLS rows at most
+    r = np.zeros(CELLS)
+    r[found["cell"]] = found["r"]
     wanted = sample.sparkSession.sparkContext.broadcast(r != 0)
     found = sample.select("row", "y", "text").mapInPandas(_present(wanted), "row long, y int, cells binary").toPandas()  # a bounded sample's significant cells
     found = found.sort_values(["row", "y", "cells"], ignore_index=True)
-    sizes = np.array([len(c) // 4 for c in found["cells"]], np.int64)
-    cells = np.frombuffer(b"".join(found["cells"]), np.int32)
-    return fit(np.repeat(np.arange(len(found), dtype=np.int32), sizes), cells, found["y"].to_numpy(np.int64), r)
+    ends = np.concatenate(([0], np.cumsum([len(c) // 4 for c in found["cells"]])))
+    cells, y = np.frombuffer(b"".join(found["cells"]), np.int32), found["y"].to_numpy(np.int64)
+    del found
+    trim()
+    return fit(ends, cells, y, r)
 
 
-def fit(rows: np.ndarray, cells: np.ndarray, y: np.ndarray, r: np.ndarray, steps: int = 150, penalty: float = 1e-3) -> tuple[np.ndarray, float]:
-    """Weights of all cells (scaled by their ratios ``r``) and the intercept, from which text (``rows``) has which cell."""
+def fit(ends: np.ndarray, cells: np.ndarray, y: np.ndarray, r: np.ndarray, steps: int = 150, penalty: float = 1e-3) -> tuple[np.ndarray, float]:
+    """Weights of all cells (scaled by their ratios ``r``) and the intercept, from the cells of each text (those of text i end at ``ends[i + 1]``).
+
+    The cells are passed through in lots of texts, so only they are held, four bytes each.
+    """
     n1, n0 = max(1, int(y.sum())), max(1, int((1 - y).sum()))
-    used, column = np.unique(cells, return_inverse=True)
-    ratio = r[used]
-    column = column.astype(np.int32)
-    x = ratio[column]
+    held = np.zeros(CELLS, bool)
+    held[cells] = True
+    used = np.flatnonzero(held)
+    place = np.zeros(CELLS, np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    column, ratio = place[cells], r[used]
+    lots = [(k, min(k + _LOT, len(y))) for k in range(0, len(y), _LOT)]
     weight = np.where(y == 1, 0.5 / n1, 0.5 / n0)  # both classes count the same
     w, c = np.full(len(used), 0.05), 0.0
     m, v, mc, vc = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
     for t in range(1, steps + 1):  # Adam, full batch
-        margin = np.bincount(rows, weights=x * w[column], minlength=len(y)) + c
-        error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y) * weight
-        g = np.bincount(column, weights=x * error[rows], minlength=len(used)) + penalty * w
-        gc = error.sum()
+        g, gc, scaled = np.zeros(len(used)), 0.0, w * ratio
+        for low, high in lots:
+            own, counts = column[ends[low] : ends[high]], np.diff(ends[low : high + 1])
+            rows = np.repeat(np.arange(high - low), counts)
+            margin = np.bincount(rows, weights=scaled[own], minlength=high - low) + c
+            error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y[low:high]) * weight[low:high]
+            g += np.bincount(own, weights=error[rows], minlength=len(used))
+            gc += error.sum()
+        g = g * ratio + penalty * w
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         mc, vc = 0.9 * mc + 0.1 * gc, 0.99 * vc + 0.01 * gc * gc
         k1, k2 = 1 - 0.9**t, 1 - 0.99**t
