@@ -13,6 +13,9 @@ lines are compared key by key.  Links are united by star contraction
 by document id and line number.  At a coefficient of 0.8 the sixteen bands miss
 two in a thousand pairs, and the sketches one in a hundred thousand; nothing else is lost.
 
+A first reading counts keys and lines, a second one keeps only lines that come again or share a key with
+others; most do neither, and need no decision.
+
 Lines are what lies between newlines; blank lines are no lines, they stay.
 Equal lines (by 128 bits of hash and length) are one class from the start, so a line that a third of all
 documents hold costs one row per task.  Texts are shuffled once, to be rewritten.
@@ -54,6 +57,8 @@ MEET, MEET_ROWS, SENT = 2048, 1 << 17, 1 << 21
 #: Bytes of text for each key, about.
 KEY_BYTES = 12
 TASK_RUNS = 1 << 19
+#: Characters of which blank lines are made, as in ``str.isspace``.
+BLANK = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Characters hashed at once.
 SLICE = 1 << 17
 _U = np.uint64
@@ -218,8 +223,8 @@ def _tiny_keys(hashes: np.ndarray, owner: np.ndarray, few: np.ndarray) -> tuple[
     return keys[order], whose[order]
 
 
-def meeting_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Keys by which the lines meet others, one line after the other, their offsets, sketches, and numbers of runs (negative: the sketch is of the signature)."""
+def meeting_keys(lines: list[str], sketched: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys by which the lines meet others, one line after the other, their offsets, and if asked for sketches and numbers of runs (negative: the sketch is of the signature)."""
     keys, counts, sketch, runs = [np.zeros(0, _U)], [np.zeros(0, np.int64)], [np.zeros((0, 2), _U)], [np.zeros(0, np.int64)]
     for low, high in _slices(lines):
         m = high - low
@@ -234,8 +239,9 @@ def meeting_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
             key, whose = np.concatenate((key, more))[order], np.concatenate((whose, of))[order]
         keys.append(key)
         counts.append(np.bincount(whose, minlength=m))
-        sketch.append(sketches(hashes, owner, some, own))
-        runs.append(np.where(own >= OWN, -n, n))
+        if sketched:
+            sketch.append(sketches(hashes, owner, some, own))
+            runs.append(np.where(own >= OWN, -n, n))
     return np.concatenate(keys), np.concatenate(([0], np.cumsum(np.concatenate(counts)))), np.concatenate(sketch), np.concatenate(runs)
 
 
@@ -243,12 +249,15 @@ _LINE = "key long, id string, number int, line long, check long, n int, runs int
 
 
 def _read_lines(marked, bits: int):
+    """The lines that come again or share keys, with these keys."""
+
     @trimmed
     def run(batches):
         for batch in batches:
             key, ids = batch.column("key"), batch.column("id")
             for owner, number, lines in _batches(batch.column("text").to_pylist()):
                 h, check = _line_hashes(lines).T.copy()
+                again = marks.marked(marked, _short(_line_keys(h), bits).view(np.int64))
                 # marked keys and the sketch go with the first of equal lines of a lot
                 at = np.sort(np.unique(h, return_index=True)[1])
                 keys, ends, sketch, runs = meeting_keys([lines[i] for i in at.tolist()])
@@ -258,11 +267,12 @@ def _read_lines(marked, bits: int):
                 counts, own, sketched = np.zeros(len(lines), np.int64), np.zeros(len(lines), np.int32), np.zeros((len(lines), 2), np.int64)
                 met = np.diff(kept) > 0
                 counts[at], own[at[met]], sketched[at[met]] = np.diff(kept), runs[met], sketch[met].view(np.int64)
-                offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-                where = pa.array(owner)
+                some = np.flatnonzero(again | (counts > 0))
+                offsets = np.concatenate(([0], np.cumsum(counts[some]))).astype(np.int32)
+                where = pa.array(owner[some])
                 yield pa.RecordBatch.from_arrays([
-                    key.take(where), ids.take(where), pa.array(number.astype(np.int32)), pa.array(h), pa.array(check), pa.array(np.array([len(x) for x in lines], np.int32)),
-                    pa.array(own), pa.array(sketched[:, 0]), pa.array(sketched[:, 1]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(short[keep])),
+                    key.take(where), ids.take(where), pa.array(number[some].astype(np.int32)), pa.array(h[some]), pa.array(check[some]), pa.array(np.array([len(lines[i]) for i in some.tolist()], np.int32)),
+                    pa.array(own[some]), pa.array(sketched[some, 0]), pa.array(sketched[some, 1]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(short[keep])),
                 ], ["key", "id", "number", "line", "check", "n", "runs", "k0", "k1", "keys"])
 
     return run
@@ -365,56 +375,68 @@ def _short(keys: np.ndarray, bits: int) -> np.ndarray:
     return keys.view(_U) >> _U(24 - bits)
 
 
+def _line_keys(h: np.ndarray) -> np.ndarray:
+    """Keys of the lines themselves, which all that are equal share."""
+    return H.mix(h.view(_U) + _U(3))
+
+
 def _send(bits: int):
-    """Keys of all lines to their buckets (the first ``bits`` bits), packed, five bytes each."""
+    """Keys to their buckets (the first ``bits`` bits), packed, eight bytes each: 40 bits of the key, 24 of who holds it.
 
-    def packed(lots: list[np.ndarray]):
-        short = np.sort(np.concatenate(lots))
-        bucket = (short >> _U(40)).astype(np.int32)
+    A line holds its ``meeting_keys``, a place in a text the key of its line.
+    """
+
+    def packed(keys: list[np.ndarray], holders: list[np.ndarray]):
+        short = np.concatenate(keys)
+        order = np.argsort(short)
+        low = ((short << _U(24)) | (np.concatenate(holders).view(_U) & _U(0xFFFFFF)))[order]
+        bucket = (short[order] >> _U(40)).astype(np.int32)
         first = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1))
-        low = np.ascontiguousarray(short.view(np.uint8).reshape(-1, 8)[:, :5])
         return pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array([low[a:b].tobytes() for a, b in zip(first, [*first[1:], len(low)])], pa.binary())], ["bucket", "packed"])
 
     @trimmed
     def run(batches):
-        held, size = [], 0
+        keys, holders, size = [], [], 0
         for batch in batches:
-            for _, _, lines in _batches(batch.column("text").to_pylist()):
-                held.append(_short(meeting_keys(list(dict.fromkeys(lines)))[0], bits))
-                size += len(held[-1])
+            texts = batch.column("key").to_numpy()
+            for owner, number, lines in _batches(batch.column("text").to_pylist()):
+                h = _line_hashes(lines)[:, 0].copy()
+                at = np.sort(np.unique(h, return_index=True)[1])
+                found, ends, _, _ = meeting_keys([lines[i] for i in at.tolist()], sketched=False)
+                keys += [_short(found, bits), _short(_line_keys(h), bits)]
+                holders += [np.repeat(h[at], np.diff(ends)), H.mix(texts[owner].view(_U) + number.astype(_U)).view(np.int64)]
+                size += len(found) + len(h)
                 if size >= SENT:
-                    yield packed(held)
-                    held, size = [], 0
+                    yield packed(keys, holders)
+                    keys, holders, size = [], [], 0
         if size:
-            yield packed(held)
+            yield packed(keys, holders)
 
     return run
 
 
 def _count(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Keys of a bucket that come more than once, and how often."""
-    low = np.frombuffer(b"".join(pdf["packed"]), np.uint8).reshape(-1, 5)
-    wide = np.zeros((len(low), 8), np.uint8)
-    wide[:, :5] = low
-    key, times = np.unique(wide.view(_U).ravel(), return_counts=True)
+    """Keys of a bucket that several hold, and how many."""
+    held = np.unique(np.frombuffer(b"".join(pdf["packed"]), _U))
+    key, times = np.unique(held >> _U(24), return_counts=True)
     key, times = key[times > 1], times[times > 1]
     return pd.DataFrame({"band": (key | (_U(pdf["bucket"].iloc[0]) << _U(40))).view(np.int64), "times": times})
 
 
 def shared_keys(docs: DataFrame) -> tuple[DataFrame, int]:
-    """Settled ``band, times`` of the keys that several lines share, and how many bits of them name a bucket.
+    """Settled ``band, times`` of the keys that several lines of ``docs`` (``key, text``) share, and of lines that come again, and how many bits of them name a bucket.
 
-    Of all keys only five bytes each travel, to be counted.
+    Of all keys only eight bytes each travel, to be counted.
     """
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     bits = min(20, max(8, (size // KEY_BYTES // SENT).bit_length()))
-    sent = docs.select("text").mapInArrow(_send(bits), "bucket int, packed binary")
+    sent = docs.select("key", "text").mapInArrow(_send(bits), "bucket int, packed binary")
     return settle(sent.groupBy("bucket").applyInPandas(_count, "band long, times long"), "shared"), bits
 
 
 def meetings(keyed: DataFrame, shared: DataFrame) -> DataFrame:
-    """Settled ``band, line, runs, k0, k1, times``, one row for each of a line's ``keys``; ``times``, how many rows share it, is there for those too many for one task."""
-    rows = keyed.select("line", "runs", "k0", "k1", F.explode("keys").alias("band"))
+    """Settled ``band, line, runs, k0, k1, times``, one row for each of a line's ``keys``; ``times``, how many lines share it, is there for those too many for one task."""
+    rows = keyed.select("line", "runs", "k0", "k1", "keys").dropDuplicates(["line"]).select("line", "runs", "k0", "k1", F.explode("keys").alias("band"))
     hot = shared.where(F.col("times") > MEET)
     hot = F.broadcast(hot) if hot.limit(1 << 16).count() < 1 << 16 else hot  # bounded, or joined by key
     return settle(rows.join(hot, "band", "left"), "met")
@@ -530,7 +552,7 @@ def rewrite(docs: DataFrame, removed: DataFrame) -> DataFrame:
     once = once.select("row", "numbers", F.split("row.text", "\n").alias("lines"))
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "numbers")
     text = F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n")
-    filled = F.size(F.filter("lines", lambda x: x.rlike(r"(?U)[^\s\x1C-\x1F]")))
+    filled = F.size(F.filter("lines", lambda x: F.btrim(x, F.lit(BLANK)) != ""))
     counted = once.select("row", text.alias("left"), F.when(F.col("row.text").isNull(), 0).otherwise(filled).alias("n_lines"), F.coalesce(F.size("numbers"), F.lit(0)).alias("n_removed"))
     whole = (F.col("n_removed") > 0) & (F.col("n_removed") >= F.col("n_lines"))
     return counted.select("row", F.when(whole, "").when(F.col("n_removed") > 0, F.col("left")).otherwise(F.col("row.text")).alias("text"), "n_lines", "n_removed")

@@ -238,12 +238,15 @@ def test_a_stranger_first_in_a_band_hides_no_pair(spark):
     assert set(map(tuple, lines.candidate_edges(met(spark, rows), 80).collect())) == {(1, 2)}
 
 
-def test_keys_that_lines_share_are_counted(spark):
-    texts = ["a line of some length, number one\nshort", "a line of some length, number one", "quite another thing in these words", None, ""]
-    shared, bits = lines.shared_keys(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
-    keys, at, _, _ = lines.meeting_keys(["a line of some length, number one"])
-    want = set(lines._short(keys, bits).view(np.int64).tolist())
-    assert {(r["band"], r["times"]) for r in shared.collect()} == {(k, 2) for k in want}
+def test_keys_that_lines_share_and_lines_that_come_again_are_counted(spark):
+    one, near, lone, twice = "a line of some length, number one", "a line of some length, number ones", "quite another thing in these words", "this comes twice, but nothing is like it"
+    texts = [f"{one}\nshort", f"{near}\n{twice}", lone, f"{twice}", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "key long, text string").repartition(3)
+    shared, bits = lines.shared_keys(docs)
+    keys, at, _, _ = lines.meeting_keys([one, near, lone, twice])
+    own = [set(lines._short(keys[a:b], bits).view(np.int64).tolist()) for a, b in zip(at, at[1:])]
+    again = set(lines._short(lines._line_keys(lines._line_hashes([twice])[:, 0].copy()), bits).view(np.int64).tolist())
+    assert own[0] & own[1] and {(r["band"], r["times"]) for r in shared.collect()} == {(k, 2) for k in (own[0] & own[1]) | again}
 
 
 def test_sketches_tell_no_pair_apart_that_links():
