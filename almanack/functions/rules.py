@@ -1,10 +1,10 @@
-"""Rules as data, rendered as Spark columns or as SQL text for checking.
+"""Rules as data, rendered as Spark columns.
 
 A condition is a small tree: ``("match", pattern)``, ``("has", words)``,
 ``("any" | "all", conditions)``, ``("not", condition)``, ``("is", column, value)``
 or ``("most" | "over", column, number)``.  Titles are classified by
 ordered lists of (condition, value); scores by lists of (condition, points,
-flag).  One definition serves both engines, so what is checked is what runs.
+flag).
 """
 
 from __future__ import annotations
@@ -32,25 +32,6 @@ def column(rule: tuple, text: str = "low") -> Column:
     return F.col(rest[0]) <= rest[1] if kind == "most" else F.col(rest[0]) > rest[1]
 
 
-def quoted(value) -> str:
-    return "'" + value.replace("'", "''") + "'" if isinstance(value, str) else str(value)
-
-
-def sql(rule: tuple, text: str = "low") -> str:
-    kind, *rest = rule
-    if kind == "match":
-        return f"regexp_matches({rest[1] if len(rest) > 1 else text}, {quoted(rest[0])})"
-    if kind == "has":
-        return "(" + " OR ".join(f"contains({text}, {quoted(w)})" for w in rest[0]) + ")"
-    if kind in ("any", "all"):
-        return "(" + (" OR " if kind == "any" else " AND ").join(sql(r, text) for r in rest[0]) + ")"
-    if kind == "not":
-        return f"(NOT {sql(rest[0], text)})"
-    if kind == "is":
-        return f"({rest[0]} = {quoted(rest[1])})"
-    return f"({rest[0]} {'<=' if kind == 'most' else '>'} {rest[1]})"
-
-
 def first_of(cases: list[tuple[tuple, object]], otherwise) -> Column:
     """The value of the first condition that holds."""
     out = None
@@ -59,23 +40,10 @@ def first_of(cases: list[tuple[tuple, object]], otherwise) -> Column:
     return out.otherwise(F.lit(otherwise))
 
 
-def first_of_sql(cases: list[tuple[tuple, object]], otherwise) -> str:
-    return "CASE " + " ".join(f"WHEN {sql(rule)} THEN {quoted(value)}" for rule, value in cases) + f" ELSE {quoted(otherwise)} END"
-
-
 def points(scores: list[tuple[tuple, int, str]]) -> Column:
     return reduce(lambda a, b: a + b, [F.when(column(rule), n).otherwise(0) for rule, n, _ in scores])
 
 
-def points_sql(scores: list[tuple[tuple, int, str]]) -> str:
-    return " + ".join(f"CASE WHEN {sql(rule)} THEN {n} ELSE 0 END" for rule, n, _ in scores)
-
-
 def flags(scores: list[tuple[tuple, int, str]], bucket: str = "bucket") -> Column:
     """Flags of the conditions that hold, in order; ``{bucket}`` in a flag is the bucket."""
     return F.concat_ws("|", *[F.when(column(rule), F.concat(F.lit(f.replace("{bucket}", "")), F.col(bucket)) if "{bucket}" in f else F.lit(f)) for rule, _, f in scores])
-
-
-def flags_sql(scores: list[tuple[tuple, int, str]], bucket: str = "bucket") -> str:
-    each = ", ".join(f"CASE WHEN {sql(rule)} THEN {quoted(f.replace('{bucket}', ''))}{' || ' + bucket if '{bucket}' in f else ''} END" for rule, _, f in scores)
-    return f"concat_ws('|', {each})"

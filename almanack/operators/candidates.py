@@ -12,7 +12,8 @@ from ..functions.text import plain_text, squeezed
 CATEGORY_ENDS = ("other", "overview", "general", "misc")
 TRAILING = ("other", "overview", "general", "misc", "programs", "program", "more", "learn more", "details", "information")
 
-NONE = F.array().cast("array<string>")
+def none() -> Column:
+    return F.array().cast("array<string>")
 
 
 def _let(value: Column, use) -> Column:
@@ -22,7 +23,7 @@ def _let(value: Column, use) -> Column:
 
 def listed(text: Column, separator: str) -> Column:
     """What lies between separators, trimmed, without blanks."""
-    return F.filter(F.transform(F.split(text, separator), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, separator), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def _count(text: Column, c: str) -> Column:
@@ -45,7 +46,7 @@ def recombined(text: Column) -> Column:
     def joined(segments: Column) -> Column:
         full, cut = F.array_join(segments, " "), _trimmed(segments)
         both = F.when((F.size(cut) > 0) & (F.size(cut) < F.size(segments)), F.array(full, F.array_join(cut, " "))).otherwise(F.array(full))
-        return F.when((F.size(segments) >= 3) & text.contains("|"), both).otherwise(NONE)
+        return F.when((F.size(segments) >= 3) & text.contains("|"), both).otherwise(none())
 
     return _let(listed(text, r"\|"), joined)
 
@@ -76,14 +77,16 @@ def split_field(text: Column, categories: bool = False) -> Column:
         once = F.filter(new, lambda r, i: (i == 0) | (C.strict_key(r) != C.strict_key(F.get(new, F.lit(0)))))
         return F.concat(once, found)
 
-    return F.when(text == "", NONE).otherwise(_let(_let(listed(text, r"\|"), parts), with_recombined))
+    return F.when(text == "", none()).otherwise(_let(_let(listed(text, r"\|"), parts), with_recombined))
 
 
 def distinct_by_key(titles: Column) -> Column:
     """Titles without those whose strict key came before or is blank."""
-    keyed = F.transform(titles, lambda t: F.struct(C.strict_key(t).alias("k"), t.alias("t")))
-    kept = F.filter(keyed, lambda x, i: (x["k"] != "") & ~F.exists(F.slice(keyed, F.lit(1), i), lambda y: y["k"] == x["k"]))
-    return F.transform(kept, lambda x: x["t"])
+
+    def first(keys: Column) -> Column:
+        return F.filter(F.transform(titles, lambda t, i: F.when((F.get(keys, i) != "") & (F.array_position(keys, F.get(keys, i)) == i + 1), t)), lambda t: t.isNotNull())
+
+    return _let(F.transform(titles, C.strict_key), first)
 
 
 def _signal_title(title: Column) -> Column:
@@ -96,6 +99,13 @@ def _as(kind: str, source: str, titles: Column) -> Column:
     return F.transform(titles, lambda t: F.struct(t.alias("title"), F.lit(source).alias("source"), F.lit(kind).alias("kind")))
 
 
+def _noted(text: Column) -> Column:
+    """What was recombined from a field, for review; an array of one or none."""
+    made = recombined(text)
+    said = F.concat(F.lit("recombined_from_pipe: "), text, F.lit(" => "), F.array_join(made, ", "))
+    return F.when(F.size(made) > 0, F.array(said)).otherwise(none())
+
+
 def candidate_rows(rows: DataFrame, keys: list[str], ref: str, crawl: str, cv: str, signals: str | None = None) -> DataFrame:
     """``keys, ref, pos, title, source, kind`` for every candidate; rows without any have null from ``pos`` on.
 
@@ -105,10 +115,9 @@ def candidate_rows(rows: DataFrame, keys: list[str], ref: str, crawl: str, cv: s
     cells = {"c": crawl, "v": cv} | ({"s": signals} if signals else {})
     base = rows.select(*keys, plain_text(F.col(ref)).alias("ref"), *[plain_text(F.col(c)).alias(f"_{k}") for k, c in cells.items()])
     base = base.withColumn("_crawl", split_field(F.col("_c"))).withColumn("_cv", split_field(F.col("_v"), categories=True))
-    base = base.withColumn("_signals", F.transform(split_field(F.col("_s")), _signal_title) if signals else NONE)
+    base = base.withColumn("_signals", F.transform(split_field(F.col("_s")), _signal_title) if signals else none())
     also = F.filter(F.concat("_crawl", "_cv"), C.is_signal)
     every = F.concat(_as("program", "crawl", F.col("_crawl")), _as("program", "cv", F.col("_cv")), _as("signal", "signal", F.col("_signals")), _as("signal", "signal", also))
-    notes = [F.transform(F.when(F.size(recombined(F.col(f"_{k}"))) > 0, F.array(F.array_join(recombined(F.col(f"_{k}")), ", "))).otherwise(NONE),
-                         lambda r, k=k: F.concat(F.lit("recombined_from_pipe: "), F.col(f"_{k}"), F.lit(" => "), r)) for k in cells]
+    notes = [_noted(F.col(f"_{k}")) for k in cells]
     added = F.array_join(distinct_by_key(F.concat(*notes)), "||").alias("added")
     return base.select(*keys, "ref", added, F.posexplode_outer(every).alias("pos", "x")).select(*keys, "ref", "added", "pos", "x.*")

@@ -47,30 +47,9 @@ def top_k(rows: DataFrame, groups: list[str], k: int, *order: Column) -> DataFra
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*groups).orderBy(*order))).where(F.col("rank") <= k)
 
 
-def promote(rows: DataFrame, groups: list[str], score: str, favoured: str, within: int, *order: Column) -> DataFrame:
-    """Ranks by score, but the best favoured row comes first if it is within ``within`` of the best."""
-    group = Window.partitionBy(*groups)
-    best = F.max(score).over(group)
-    chance = F.max(F.when(F.col(favoured), F.col(score))).over(group)
-    first = F.row_number().over(Window.partitionBy(*groups, favoured).orderBy(F.col(score).desc(), *order)) == 1
-    lifted = F.col(favoured) & first & (chance >= best - within)
-    ranked = rows.withColumn("_lifted", F.coalesce(lifted, F.lit(False)))
-    return ranked.withColumn("rank", F.row_number().over(Window.partitionBy(*groups).orderBy(F.col("_lifted").desc(), F.col(score).desc(), *order))).drop("_lifted")
-
-
 def union_all(*frames: DataFrame, fill: str = "") -> DataFrame:
     """Union by name: columns of the first, then those only later ones have; missing text is filled."""
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame, allowMissingColumns=True)
     return out.fillna(fill)
-
-
-def status_label(statuses: DataFrame, group: str, code: str) -> DataFrame:
-    """One label per group by what weighs most: 403, 429, 5xx, failures (-1), other 4xx; else ok."""
-    seen = {"403": F.col(code) == 403, "429": F.col(code) == 429, "5xx": (F.col(code) >= 500) & (F.col(code) < 600), "exceptions": F.col(code) == -1, "4xx": (F.col(code) >= 400) & (F.col(code) < 500)}
-    counted = statuses.groupBy(group).agg(F.count(code).alias("n"), *[F.max(rule.cast("int")).alias(name) for name, rule in seen.items()])
-    label = F.when(F.col("n") == 0, "no_candidates")
-    for name in seen:
-        label = label.when(F.col(f"`{name}`") == 1, name)
-    return counted.select(group, label.otherwise("ok").alias("label"))

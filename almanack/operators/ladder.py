@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import compare as C
+from ..sources.tables import kept
+from .candidates import distinct_by_key, none
 
 FUZZY = 0.80
 #: Modes of scoring: with synonyms, with parentheses.
@@ -170,6 +172,15 @@ def _tiers(categories: bool, fuzzy: float) -> list[tuple[str, Column, Column, Co
 FILTERS = ("nav_prefix", "mega_string", "boilerplate_drop", "year_token", "nonprogram", "cv_taxonomy_backstop", "strong_ref_gate")
 
 
+def _matching(fuzzy: float) -> Column:
+    """The strict keys of candidates that match their reference in some mode: all equal ones, and the best of each mode and kind."""
+    nonprogram = F.col("c.nonprogram") & ~((F.col("kind") == "signal") & F.col("r.signal") & F.col("c.signal"))
+    may = F.col("in_pool") & ~(F.col("c.mega") | (F.col("c.year") & ~F.col("r.year")) | nonprogram)
+    exact = F.collect_set(F.when(may & ((F.col("c.key") == F.col("r.key")) | (F.col("c.bare_key") == F.col("r.bare_key"))), F.col("c.key")))
+    best = [_first(F.col("c.key"), may & (F.col("kind") == kind) & (F.col(f"score_{m}") >= fuzzy) & (F.col(f"score_{m}") > 0), -F.col(f"score_{m}"), F.col("pos")) for m in MODES for kind in ("program", "signal")]
+    return F.array_compact(F.array_union(exact, F.array(*best)))
+
+
 def _steps(features: DataFrame, keys: list[str], fuzzy: float, categories: bool) -> DataFrame:
     """One row per institution: for every step of the ladder, every tier and every class its candidate."""
     pick = F.struct("title", F.col("c.key").alias("key"), "sources", "kinds")
@@ -205,6 +216,7 @@ def _steps(features: DataFrame, keys: list[str], fuzzy: float, categories: bool)
     for name, rule, prefers in (("primary_academic", win >= fuzzy, True), ("secondary_org", win > 0, True), ("taxonomy", win > 0, False), ("any", win > 0, True)):
         of_class = stands & rule if name == "any" else stands & rule & (F.col("class") == name)
         aggregates.append(_first(value, of_class, *(((~onsite).cast("int"), *order) if prefers else order)).alias(f"win_{name}"))
+    aggregates.append(_matching(fuzzy).alias("matched"))
     return features.groupBy(*keys, "ref", F.col("r.signal").alias("ref_signal"), F.col("r.key").alias("ref_key")).agg(*aggregates)
 
 
@@ -228,13 +240,15 @@ def _pair(level: str, found: Column, sign: str = "~") -> Column:
     return F.concat(F.lit(f'{level}: ref="'), F.col("ref"), F.lit(f'" {sign} cand="'), found["p"]["title"], F.lit('"'))
 
 
-def matched(candidates: DataFrame, keys: list[str], fuzzy: float = FUZZY, categories: bool = False) -> DataFrame:
+def matched(candidates: DataFrame, keys: list[str], fuzzy: float = FUZZY, categories: bool = False, with_keys: bool = False) -> DataFrame:
     """``keys, ref, best_title, best_source, best_kind, match_level, match_score, detail`` for every row with a reference title.
 
     ``candidates`` are those of :func:`.candidates.candidate_rows`.  Later tiers replace what the ladder or
     an earlier tier chose; a winner by class replaces that if it is another title and not much worse.
+    ``with_keys`` adds ``matched``, the strict keys of all candidates that match in some mode.
     """
-    rows = _steps(candidate_features(candidates, keys, categories), keys, fuzzy, categories)
+    candidates = kept(candidates)  # read by titles, by pairs and by rows
+    rows = _steps(kept(candidate_features(candidates, keys, categories)), keys, fuzzy, categories)
     ladder, notes = [], []
     for level, mode in LEVELS:
         for side in ("1", "2"):
@@ -272,23 +286,12 @@ def matched(candidates: DataFrame, keys: list[str], fuzzy: float = FUZZY, catego
     said = F.filter(F.array(*[F.when(n.isNotNull(), F.struct(n["score"].alias("score"), F.lit(i).alias("i"), n["text"].alias("text"))) for i, n in enumerate(notes)]), lambda x: x.isNotNull())
     rows = rows.withColumn("final", final).withColumn("said", F.get(F.sort_array(said, asc=False), F.lit(0))["text"])
     f = F.col("final")
-    found = rows.select(*keys, f["title"].alias("best_title"), f["key"].alias("best_key"), f["source"].alias("best_source"), f["kind"].alias("best_kind"), f["level"].alias("match_level"), f["score"].alias("match_score"), F.coalesce(f["detail"], "said").alias("detail"))
+    found = rows.select(*keys, "matched", f["title"].alias("best_title"), f["key"].alias("best_key"), f["source"].alias("best_source"), f["kind"].alias("best_kind"), f["level"].alias("match_level"), f["score"].alias("match_score"), F.coalesce(f["detail"], "said").alias("detail"))
     every = candidates.select(*keys, "ref").distinct()
     out = every.join(found, keys, "left")
     blank = [F.coalesce(c, F.lit("")).alias(c) for c in ("best_title", "best_key", "best_source", "best_kind")]
-    return out.select(*keys, "ref", *blank, F.coalesce("match_level", F.lit("NO_MATCH")).alias("match_level"), F.coalesce("match_score", F.lit(0.0)).alias("match_score"), F.coalesce("detail", F.lit("")).alias("detail"))
-
-
-def matching_keys(features: DataFrame, keys: list[str], fuzzy: float = FUZZY) -> DataFrame:
-    """``keys, matched``: the strict keys of candidates that match their reference in some mode.
-
-    Equal keys all count; of partial matches the best of each mode and kind.
-    """
-    nonprogram = F.col("c.nonprogram") & ~((F.col("kind") == "signal") & F.col("r.signal") & F.col("c.signal"))
-    may = F.col("in_pool") & ~(F.col("c.mega") | (F.col("c.year") & ~F.col("r.year")) | nonprogram)
-    exact = F.collect_set(F.when(may & ((F.col("c.key") == F.col("r.key")) | (F.col("c.bare_key") == F.col("r.bare_key"))), F.col("c.key")))
-    best = [_first(F.col("c.key"), may & (F.col("kind") == kind) & (F.col(f"score_{m}") >= fuzzy) & (F.col(f"score_{m}") > 0), -F.col(f"score_{m}"), F.col("pos")) for m in MODES for kind in ("program", "signal")]
-    return features.groupBy(*keys).agg(F.array_compact(F.array_union(exact, F.array(*best))).alias("matched"))
+    extra = ["matched"] if with_keys else []
+    return out.select(*keys, "ref", *blank, F.coalesce("match_level", F.lit("NO_MATCH")).alias("match_level"), F.coalesce("match_score", F.lit(0.0)).alias("match_score"), F.coalesce("detail", F.lit("")).alias("detail"), *extra)
 
 
 def _shown(titles: Column) -> Column:
@@ -297,23 +300,23 @@ def _shown(titles: Column) -> Column:
 
 def assembled(candidates: DataFrame, keys: list[str], fuzzy: float = FUZZY, categories: bool = False) -> DataFrame:
     """The match of every row, and what else was discovered: titles by source, all of them, and those that match in no mode."""
-    from .candidates import NONE, distinct_by_key
-
-    best = matched(candidates, keys, fuzzy, categories)
-    known = matching_keys(candidate_features(candidates, keys, categories), keys, fuzzy)
+    candidates = kept(candidates)
+    best = matched(candidates, keys, fuzzy, categories, with_keys=True)
     rows = F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "title", "source", "kind"))))
 
     def titles(rule) -> Column:
         return distinct_by_key(F.transform(F.filter("rows", rule), lambda x: x["title"]))
 
     lists = candidates.groupBy(*keys).agg(rows.alias("rows"), F.first("added").alias("added"))
-    program = {s: titles(lambda x, s=s: (x["source"] == s) & (x["kind"] == "program")) for s in ("crawl", "cv")}
-    lists = lists.withColumns({"crawl": program["crawl"], "cv": program["cv"], "signals": titles(lambda x: x["kind"] == "signal")})
+    def programs(source: str) -> Column:
+        return titles(lambda x: (x["source"] == source) & (x["kind"] == "program"))
+
+    lists = lists.withColumns({"crawl": programs("crawl"), "cv": programs("cv"), "signals": titles(lambda x: x["kind"] == "signal")})
     lists = lists.withColumn("every", distinct_by_key(F.concat("crawl", "cv", "signals"))).withColumn("programs", distinct_by_key(F.concat("crawl", "cv")))
-    out = best.join(lists, keys).join(known, keys, "left")
-    plain = {c: _shown(F.transform(c, C.canonical)) for c in ("crawl", "cv", "signals")}
-    new = F.filter("every", lambda t: ~F.array_contains(F.coalesce("matched", NONE), C.strict_key(t)))
-    others = F.when(F.col("best_kind") == "signal", F.filter("programs", lambda t: C.strict_key(t) != F.col("best_key"))).otherwise(NONE)
+    out = best.join(lists, keys)
+    plain = {c: _shown(F.transform(c, lambda t: C.canonical(t))) for c in ("crawl", "cv", "signals")}
+    new = F.filter("every", lambda t: ~F.array_contains(F.coalesce("matched", none()), C.strict_key(t)))
+    others = F.when(F.col("best_kind") == "signal", F.filter("programs", lambda t: C.strict_key(t) != F.col("best_key"))).otherwise(none())
     return out.select(
         *keys, "ref", "best_title", "best_source", "best_kind", "match_level", "match_score", "detail", C.is_signal(F.col("ref")).cast("int").alias("is_signal_ref"), F.col("added").alias("recombined_added"),
         plain["crawl"].alias("discovered_crawl"), plain["cv"].alias("discovered_cv"), plain["signals"].alias("discovered_signals"), _shown(F.col("every")).alias("discovered_all"),

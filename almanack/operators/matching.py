@@ -1,79 +1,85 @@
-"""Matching reference titles to candidates: token overlap, sequence ratio, the ladder, one-to-one alignment."""
+"""Titles of two sources inside an institution: how alike pairs are, whether lists agree, and which titles pair up.
 
-from __future__ import annotations
+Keys and tokens are made once per distinct title, scores once per distinct pair; only pairs over the threshold go back to
+their institutions.
+"""
 
-import difflib
+from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-#: Words that carry no content in a title.
-STOP = ("and", "of", "the", "in", "for", "program", "department", "studies", "major", "minor", "certificate", "degree")
+from ..functions import pages as T
+from ..functions.compare import overlap, sequence_ratio
 
 
-def loose_key(title: Column) -> Column:
-    """Lower-cased words of a title without punctuation, levels and stop-words, single-spaced."""
-    words = F.split(F.trim(F.regexp_replace(F.lower(F.coalesce(title, F.lit(""))), r"[^a-z0-9]+", " ")), " ")
-    return F.array_join(F.filter(words, lambda w: (w != "") & ~w.isin(*STOP)), " ")
+def title_features(titles: DataFrame, synonyms: bool) -> DataFrame:
+    """``title`` (distinct) with ``loose`` key and ``tokens``."""
+    text = T.with_synonyms(F.col("title")) if synonyms else F.col("title")
+    return titles.select("title", T.loose_key(text).alias("loose"), T.tokens(text).alias("tokens"))
 
 
-def content_tokens(title: Column) -> Column:
-    """Distinct content words of three letters or more."""
-    return F.array_distinct(F.filter(F.split(loose_key(title), " "), lambda w: F.length(w) >= 3))
+def scored_pairs(pairs: DataFrame, a: str, b: str, synonyms: bool = True, threshold: float = 0.0) -> DataFrame:
+    """``pairs`` that score ``threshold`` or more, with ``overlap``, ``ratio`` and ``score``, the larger of the two.
 
+    Pairs with a blank title have no score and are left out.
+    """
+    named = pairs.where((F.col(a) != "") & (F.col(b) != ""))
+    features = title_features(named.select(F.col(a).alias("title")).union(named.select(F.col(b).alias("title"))).distinct(), synonyms)
+    distinct = named.select(F.col(a).alias("_a"), F.col(b).alias("_b")).distinct()
+    x, y = (features.select(F.col("title").alias(f"_{s}"), F.col("loose").alias(f"_l{s}"), F.col("tokens").alias(f"_t{s}")) for s in "ab")
+    met = distinct.join(x, "_a").join(y, "_b").withColumn("overlap", overlap(F.col("_ta"), F.col("_tb"), guarded=False))
+    ratios = met.select("_la", "_lb").distinct().withColumn("ratio", sequence_ratio(F.col("_la"), F.col("_lb")))
+    scored = met.join(ratios, ["_la", "_lb"]).withColumn("score", F.greatest("overlap", "ratio")).where(F.col("score") >= threshold)
+    scored = scored.select(F.col("_a").alias(a), F.col("_b").alias(b), "overlap", "ratio", "score")
+    return named.join(scored, [a, b])
 
-def overlap(a: Column, b: Column) -> Column:
-    """Shared share of the smaller token set; a single token against three or more counts against the larger set."""
-    both, low, high = F.size(F.array_intersect(a, b)), F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
-    return F.when(low == 0, 0.0).when((low == 1) & (high >= 3), both / high).otherwise(both / low)
 
+def best_pair(pairs: DataFrame, group: list[str], a: str, b: str, *order: Column, synonyms: bool = False) -> DataFrame:
+    """``group, a, b, score``: the pair with the highest score over 0 of each group, the first by ``order`` of equals."""
+    rows = scored_pairs(pairs, a, b, synonyms).where("score > 0")
+    ranked = rows.withColumn("_r", F.row_number().over(Window.partitionBy(*group).orderBy(F.col("score").desc(), *order)))
+    return ranked.where("_r = 1").select(*group, a, b, "score")
 
-def sequence_ratio(a: Column, b: Column) -> Column:
-    """Ratio of matching blocks (Ratcliff and Obershelp) of two strings; null counts as empty."""
 
-    def ratios(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([difflib.SequenceMatcher(None, s or "", t or "").ratio() for s, t in zip(x, y)], dtype="float64")
+def concordance(best: DataFrame, threshold: float = 0.80, a: str = "left", b: str = "right") -> DataFrame:
+    """Adds ``concordant`` (1 from ``threshold`` on) and what agrees to the best pairs of groups."""
+    ok = F.col("score") >= threshold
+    said = F.concat(F.lit('inst="'), F.col(a), F.lit('" ~ other="'), F.col(b), F.lit('" score='), F.format_string("%.2f", "score"))
+    return best.withColumn("concordant", ok.cast("int")).withColumn("detail", F.when(ok, said).otherwise(""))
 
-    # made here, so that workers get it by value and need no copy of this package
-    return F.pandas_udf(ratios, T.DoubleType())(a, b)
 
+def align(pairs: DataFrame, group: list[str], threshold: float = 0.80, synonyms: bool = True) -> DataFrame:
+    """Greedy one-to-one alignment inside each group of ``left`` (place ``i``) and ``right`` (``j``): best score first, then place.
 
-def scored_pairs(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    """Adds ``overlap``, ``ratio`` and ``score``, the larger. The ratio is computed once per distinct pair of strings."""
-    keyed = pairs.withColumn("_x", loose_key(F.col(a))).withColumn("_y", loose_key(F.col(b)))
-    ratios = keyed.select("_x", "_y").distinct().withColumn("ratio", sequence_ratio(F.col("_x"), F.col("_y")))
-    out = keyed.join(ratios, ["_x", "_y"]).withColumn("overlap", overlap(content_tokens(F.col(a)), content_tokens(F.col(b))))
-    return out.withColumn("score", F.greatest("overlap", "ratio")).drop("_x", "_y")
+    A group is an institution's pairs over the threshold, two numbers and a score each.
+    """
+    rows = scored_pairs(pairs, "left", "right", synonyms, threshold)
+    numbers = rows.select(*group, "i", "j", "score")
 
+    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
+        ranked = pdf.sort_values(["score", "i", "j"], ascending=[False, True, True])
+        used_i, used_j, keep = set(), set(), []
+        for i, j in zip(ranked["i"].tolist(), ranked["j"].tolist()):
+            free = i not in used_i and j not in used_j
+            keep.append(free)
+            if free:
+                used_i.add(i)
+                used_j.add(j)
+        return ranked[keep]
 
-def best_candidate(pairs: DataFrame, group: list[str], threshold: float) -> DataFrame:
-    """Per group the best pair by the ladder: same text, same loose key, then a score of at least ``threshold``; ties go to the first candidate.
+    kept = numbers.groupBy(*group).applyInPandas(greedy, numbers.schema)
+    return rows.select(*group, "i", "j", "left", "right", "score").join(kept.select(*group, "i", "j"), [*group, "i", "j"])
 
-    ``pairs`` has ``ref, candidate, pos``.  Groups without a match give level NO_MATCH and a null candidate.
-    """
-    rows = scored_pairs(pairs, "ref", "candidate")
-    rows = rows.withColumn("step", F.when(F.lower("ref") == F.lower("candidate"), 1).when((loose_key(F.col("ref")) == loose_key(F.col("candidate"))) & (loose_key(F.col("ref")) != ""), 2).when(F.col("score") >= threshold, 3).otherwise(9))
-    first = F.row_number().over(Window.partitionBy(*group).orderBy("step", F.col("score").desc(), "pos"))
-    best = rows.withColumn("_rank", first).where("_rank = 1")
-    level = F.when(F.col("step") == 1, "strict_raw").when(F.col("step") == 2, "strict_canonical").when(F.col("step") == 3, "fuzzy").otherwise("NO_MATCH")
-    hit = F.col("step") < 9
-    return best.select(*group, "ref", F.when(hit, F.col("candidate")).alias("best_title"), level.alias("match_level"), F.when(hit, F.col("score")).otherwise(0.0).alias("match_score"))
 
+def unpaired(titles: DataFrame, aligned: DataFrame, group: list[str], place: str) -> DataFrame:
+    """Titles of one side that no pair took."""
+    return titles.join(aligned.select(*group, place), [*group, place], "left_anti")
 
-def align(pairs: DataFrame, group: list[str], threshold: float) -> DataFrame:
-    """Greedy one-to-one alignment inside each group: best score first, then position. Groups are single institutions, so they are small."""
-    rows = scored_pairs(pairs, "left", "right").where(F.col("score") >= threshold)
 
-    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        used_i, used_j, keep = set(), set(), []
-        for row in pdf.sort_values(["score", "i", "j"], ascending=[False, True, True]).itertuples():
-            if row.i not in used_i and row.j not in used_j:
-                used_i.add(row.i)
-                used_j.add(row.j)
-                keep.append(row.Index)
-        return pdf.loc[keep]
-
-    kept = rows.select(*group, "i", "j", "left", "right", "score")
-    return kept.groupBy(*group).applyInPandas(greedy, kept.schema)
+def alignment_text(aligned: DataFrame, group: list[str]) -> DataFrame:
+    """``group, alignment``: the pairs of a group as text, best first."""
+    part = F.concat(F.lit('a="'), F.col("left"), F.lit('" ~ b="'), F.col("right"), F.lit('" score='), F.format_string("%.2f", "score"))
+    listed = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "i", "j", part.alias("t"))))
+    return aligned.groupBy(*group).agg(F.array_join(F.transform(listed, lambda x: x["t"]), "|").alias("alignment"))

@@ -1,264 +1,6 @@
-"""All queries of the engine outside ``llm``, with SQL that gives the same rows.
+"""All queries of the engine outside ``llm``, with SQL that gives the same rows."""
 
-The generated tables hold no program titles, so titles are dealt from a fixed
-list by part key; an institution is a supplier, its crawl evidence the odd
-lines of orders and its third-party evidence the even ones.
-"""
+from . import inventory_queries, match_queries, site_queries, table_queries
+from .base import QUERIES, SQL
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..functions import patterns as P
-from ..functions import titles, urls
-from ..functions.rules import quoted
-from ..operators import inventory, keys, matching
-from ..sources.tables import parquet
-
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
-_SEEDS = "[" + ", ".join(quoted(t) for t in P.SEED_TITLES) + "]"
-_N = len(P.SEED_TITLES)
-
-
-def _title(key: str = "p_partkey"):
-    return F.get(F.array(*map(F.lit, P.SEED_TITLES)), (F.col(key) % _N).cast("int"))
-
-
-def _evidence(spark: SparkSession, d: str) -> DataFrame:
-    lines = parquet(spark, d, "lineitem").select(F.col("l_suppkey").alias("unitid"), F.when(F.col("l_linenumber") % 2 == 1, "crawl").otherwise("cv").alias("source"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos"), _title("l_partkey").alias("raw_title"))
-    return lines
-
-
-def _classified(spark: SparkSession, d: str) -> DataFrame:
-    """Evidence with classes; each distinct title of a source is classified once."""
-    rows = _evidence(spark, d)
-    known = titles.classified(rows.select("source", "raw_title").distinct()).withColumn("canonical_title", inventory.canonical(F.col("title")))
-    # one aggregate over the same keys: later filters are not pushed into the rules, which would repeat them in the plan
-    classes = [c for c in known.columns if c not in ("source", "raw_title")]
-    known = known.groupBy("source", "raw_title").agg(F.first(F.struct(*classes)).alias("c")).select("source", "raw_title", "c.*")
-    return rows.join(known, ["source", "raw_title"])
-
-
-_EVIDENCE = f"SELECT l_suppkey AS unitid, CASE WHEN l_linenumber % 2 = 1 THEN 'crawl' ELSE 'cv' END AS source, l_orderkey * 10 + l_linenumber AS pos, {_SEEDS}[1 + l_partkey % {_N}] AS raw_title FROM lineitem"
-_KNOWN = f"SELECT *, {inventory.CANONICAL_SQL} AS canonical_title FROM ({titles.classified_sql('SELECT DISTINCT source, raw_title FROM evidence')})"
-_WITH = f"WITH evidence AS ({_EVIDENCE}), known AS ({_KNOWN}), rows AS (SELECT e.unitid, e.pos, k.* FROM evidence e JOIN known k USING (source, raw_title)) "
-_PROGRAMS = "SELECT * FROM rows WHERE title_kind IN ('program', 'maybe_program')"
-
-
-def _programs(spark: SparkSession, d: str) -> DataFrame:
-    return _classified(spark, d).where(F.col("title_kind").isin("program", "maybe_program"))
-
-
-@query(_WITH + "SELECT unitid, bucket, source, count(*) AS n_evidence, count(DISTINCT raw_title) AS n_titles FROM rows GROUP BY ALL")
-def bucket_titles(spark: SparkSession, d: str) -> DataFrame:
-    """Evidence and distinct titles per institution, bucket and source."""
-    return _classified(spark, d).groupBy("unitid", "bucket", "source").agg(F.count(F.lit(1)).alias("n_evidence"), F.count_distinct("raw_title").alias("n_titles"))
-
-
-@query("SELECT p_partkey, raw_title, source, title, n_words, bucket, conf, conf_reason, title_kind FROM (" + titles.classified_sql(f"SELECT p_partkey, {_SEEDS}[1 + p_partkey % {_N}] AS raw_title, CASE WHEN p_size % 2 = 1 THEN 'crawl' ELSE 'cv' END AS source FROM part") + ")")
-def title_kinds(spark: SparkSession, d: str) -> DataFrame:
-    """Bucket, confidence with reasons, and kind of every title."""
-    rows = parquet(spark, d, "part").select("p_partkey", _title().alias("raw_title"), F.when(F.col("p_size") % 2 == 1, "crawl").otherwise("cv").alias("source"))
-    return titles.classified(rows).select("p_partkey", "raw_title", "source", "title", "n_words", "bucket", "conf", "conf_reason", "title_kind")
-
-
-_JOINED = "coalesce(string_agg(DISTINCT {0}, '|' ORDER BY {0}) FILTER (trim({0}) <> ''), '')"
-
-
-@query(_WITH + f"SELECT unitid, bucket, {_JOINED.format('source')} AS sources_in_key, CAST(max(source = 'crawl') AS INT) AS has_crawl_in_key, CAST(max(source = 'cv') AS INT) AS has_cv_in_key, CAST(max(source = 'crawl') AND max(source = 'cv') AS INT) AS has_both_in_key FROM rows GROUP BY ALL")
-def source_provenance(spark: SparkSession, d: str) -> DataFrame:
-    """Which sources back each bucket of an institution."""
-    return inventory.provenance(_classified(spark, d), ["unitid", "bucket"])
-
-
-_BY_SOURCE = f"SELECT unitid, source, bucket, canonical_title, {_JOINED.format('raw_title')} AS supporting_raw_titles, max(conf) AS program_conf_max, {_JOINED.format('conf_reason')} AS program_conf_reasons FROM ({{0}}) GROUP BY ALL"
-
-
-@query(_WITH + _BY_SOURCE.format(_PROGRAMS))
-def inventory_by_source(spark: SparkSession, d: str) -> DataFrame:
-    """Programs per institution and source with their evidence."""
-    return inventory.by_source(_programs(spark, d), ["unitid"])
-
-
-@query(_WITH + f", base AS ({_BY_SOURCE.format(_PROGRAMS)}), agg AS (SELECT unitid, bucket, canonical_title, {_JOINED.format('source')} AS sources, max(program_conf_max) AS program_conf_max FROM base GROUP BY ALL) SELECT *, sources = 'crawl|cv' AS has_both_sources, least(100, program_conf_max + CASE WHEN sources = 'crawl|cv' THEN 10 ELSE 0 END) AS program_conf_final FROM agg")
-def inventory_across_sources(spark: SparkSession, d: str) -> DataFrame:
-    """Programs per institution over both sources with the final confidence."""
-    return inventory.across_sources(inventory.by_source(_programs(spark, d), ["unitid"]), ["unitid"])
-
-
-_ANCHORS = ", ".join(quoted(t) for t in P.ANCHOR_TITLES)
-
-
-def _folded_sql() -> str:
-    from ..functions import rules as R
-
-    return _WITH + f""", programs AS ({_PROGRAMS}), anchors AS (SELECT unitid, bucket, source, canonical_title, count(*) AS n, min(pos) AS first_at FROM programs WHERE canonical_title IN ({_ANCHORS}) GROUP BY ALL),
-      best AS (SELECT unitid, bucket, source, canonical_title AS anchor FROM anchors QUALIFY row_number() OVER (PARTITION BY unitid, bucket, source ORDER BY n DESC, first_at, canonical_title) = 1),
-      folded AS (SELECT p.* EXCLUDE (canonical_title), CASE WHEN anchor IS NOT NULL AND {R.sql(inventory._spill, 'lower(title)').replace("(low = '')", "(title = '')")} THEN anchor ELSE canonical_title END AS canonical_title FROM programs p LEFT JOIN best USING (unitid, bucket, source)),
-      offers AS (SELECT *, lower(raw_title) LIKE '%is offered as%' AND lower(raw_title) LIKE '%major%' AND lower(raw_title) LIKE '%minor%' AND lower(raw_title) LIKE '%concentration%' AS offered FROM folded),
-      grown AS (SELECT * EXCLUDE (canonical_title, offered), unnest(CASE WHEN offered THEN [canonical_title || ' (Major)', canonical_title || ' (Minor)', canonical_title || ' (Concentration)'] ELSE [canonical_title] END) AS canonical_title FROM offers) """ + _BY_SOURCE.format("SELECT * FROM grown")
-
-
-@query(_folded_sql())
-def inventory_folded(spark: SparkSession, d: str) -> DataFrame:
-    """Inventory after spill-over titles are folded into anchors and offers are expanded."""
-    return inventory.by_source(inventory.expand_offers(inventory.fold_to_anchor(_programs(spark, d), ["unitid"])), ["unitid"])
-
-
-def _wide_sql() -> str:
-    each = [f"coalesce(string_agg(canonical_title, '|' ORDER BY pos) FILTER (bucket = '{b}' AND source = '{s}'), '') AS program_bucket__{b}__{s}" for b in (*P.BUCKETS, "other") for s in ("crawl", "cv")]
-    hits = ", ".join(f"CASE WHEN max(bucket = '{b}') THEN '{b}' END" for b in (*P.BUCKETS, "other"))
-    first = "SELECT unitid, source, bucket, canonical_title, min(pos) AS pos FROM (" + _PROGRAMS + ") GROUP BY ALL"
-    return _WITH + f", firsts AS ({first}) SELECT unitid, {', '.join(each)}, concat_ws('|', {hits}) AS program_buckets_hit FROM firsts GROUP BY unitid"
-
-
-@query(_wide_sql())
-def bucket_pivot_wide(spark: SparkSession, d: str) -> DataFrame:
-    """One row per institution: titles of each bucket and source in order of evidence, and the buckets hit."""
-    firsts = _programs(spark, d).groupBy("unitid", "source", "bucket", "canonical_title").agg(F.min("pos").alias("pos"))
-    return inventory.wide(firsts, ["unitid"])
-
-
-@query("SELECT user_id, event_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
-def compact_keep_last(spark: SparkSession, d: str) -> DataFrame:
-    """Progress log compacted to the last row of each key."""
-    return keys.keep_one(parquet(spark, d, "events"), ["user_id"], F.col("ts").desc(), F.col("event_id").desc()).select("user_id", "event_id", "event_type", "value")
-
-
-@query("SELECT user_id, event_type, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) = 1")
-def dedupe_keep_first(spark: SparkSession, d: str) -> DataFrame:
-    """First row of each key."""
-    return keys.keep_one(parquet(spark, d, "events"), ["user_id", "event_type"], F.col("event_id").asc()).select("user_id", "event_type", "event_id")
-
-
-@query("SELECT c_custkey AS unitid, c_name AS name, count(*) AS n_orders FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY ALL")
-def cohort_inner(spark: SparkSession, d: str) -> DataFrame:
-    """Cohort rows found in the baseline."""
-    found = parquet(spark, d, "orders").groupBy(F.col("o_custkey").alias("unitid")).agg(F.count(F.lit(1)).alias("n_orders"))
-    return parquet(spark, d, "customer").select(F.col("c_custkey").alias("unitid"), F.col("c_name").alias("name")).join(found, "unitid")
-
-
-@query("SELECT c_custkey AS unitid, c_name AS name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')")
-def left_only_anti(spark: SparkSession, d: str) -> DataFrame:
-    """Cohort rows without a finished order."""
-    done = parquet(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("unitid"))
-    return keys.only_left(parquet(spark, d, "customer").select(F.col("c_custkey").alias("unitid"), F.col("c_name").alias("name")), done, "unitid", with_missing=False)
-
-
-@query("SELECT c_custkey AS unitid, c_name AS name, coalesce(trim(split_part(o_orderpriority, '-', 2)), '') AS baseline FROM customer LEFT JOIN (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey DESC) = 1) ON o_custkey = c_custkey")
-def baseline_attach(spark: SparkSession, d: str) -> DataFrame:
-    """Cohort with the label of its last baseline row, blank where there is none."""
-    last = keys.keep_one(parquet(spark, d, "orders"), ["o_custkey"], F.col("o_totalprice").desc(), F.col("o_orderkey").desc())
-    label = last.select(F.col("o_custkey").alias("unitid"), F.trim(F.split("o_orderpriority", "-", 2)[1]).alias("baseline"))
-    return keys.attach(parquet(spark, d, "customer").select(F.col("c_custkey").alias("unitid"), F.col("c_name").alias("name")), label, "unitid")
-
-
-@query("SELECT s_suppkey AS unitid, s_name AS name, '' AS segment FROM supplier UNION ALL SELECT c_custkey, c_name, c_mktsegment FROM customer")
-def union_by_name(spark: SparkSession, d: str) -> DataFrame:
-    """Two cohorts under one header, missing columns blank."""
-    a = parquet(spark, d, "supplier").select(F.col("s_suppkey").alias("unitid"), F.col("s_name").alias("name"))
-    b = parquet(spark, d, "customer").select(F.col("c_custkey").alias("unitid"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
-    return keys.union_all(a, b)
-
-
-@query("SELECT user_id, CASE WHEN max(event_id % 97 = 0) THEN '403' WHEN max(event_id % 89 = 0) THEN '429' WHEN max(event_id % 83 = 0) THEN '5xx' WHEN max(event_id % 79 = 0) THEN 'exceptions' WHEN max(event_id % 73 = 0) THEN '4xx' ELSE 'ok' END AS label FROM events GROUP BY user_id")
-def status_tag(spark: SparkSession, d: str) -> DataFrame:
-    """One status label per institution by priority."""
-    code = F.lit(200)
-    for mod, value in ((73, 404), (79, -1), (83, 503), (89, 429), (97, 403)):
-        code = F.when(F.col("event_id") % mod == 0, value).otherwise(code)
-    # an event may carry several codes by its number: each is a row
-    rows = parquet(spark, d, "events").select("user_id", F.explode(F.array(code, *[F.when(F.col("event_id") % m == 0, v).otherwise(200) for m, v in ((73, 404), (79, -1), (83, 503), (89, 429))])).alias("code"))
-    return keys.status_label(rows, "user_id", "code")
-
-
-_HOST = r"regexp_replace(lower(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?([^/?#:]+)', 1)), '^www\.', '')"
-_PATH = r"regexp_extract(lower(url), '^(?:[a-z][a-z0-9+.-]*://)?[^/?#]*([^?#]*)', 1)"
-_URLS = rf"""SELECT page_id, {_HOST} AS host, regexp_extract({_HOST}, '([^.]+\.[^.]+)$', 1) AS site, {_PATH} AS path, regexp_replace(url, '#.*$', '') AS address,
-  CAST(len(list_filter(string_split({_PATH}, '/'), lambda x: x <> '')) AS INT) AS depth,
-  CASE WHEN {_PATH} IN ('', '/') THEN 'homepage' WHEN regexp_matches({_PATH}, 'majors|minors|programs|degrees|academics') THEN 'inventory' WHEN regexp_matches({_PATH}, 'bulletin') THEN 'bulletin' WHEN regexp_matches({_PATH}, 'catalog') THEN 'catalog' ELSE 'other' END AS tier FROM pages"""
-
-
-@query(_URLS)
-def url_features(spark: SparkSession, d: str) -> DataFrame:
-    """Host, site, path, depth and tier of every page."""
-    u = F.col("url")
-    return parquet(spark, d, "pages").select("page_id", urls.host(u).alias("host"), urls.site(u).alias("site"), urls.path(u).alias("path"), urls.defragged(u).alias("address"), urls.depth(u).cast("int").alias("depth"), urls.tier(u).alias("tier"))
-
-
-@query(f"""WITH u AS ({_URLS}), s AS (SELECT site, page_id, 100 - 10 * depth + CASE WHEN address LIKE 'https%' THEN 5 ELSE 0 END AS score, depth <= 1 AS hub FROM u),
-  b AS (SELECT *, max(score) OVER (PARTITION BY site) AS best, row_number() OVER (PARTITION BY site, hub ORDER BY score DESC, page_id) = 1 AND hub AS first_hub FROM s),
-  r AS (SELECT site, page_id, score, row_number() OVER (PARTITION BY site ORDER BY CASE WHEN first_hub AND score >= best - 60 THEN 0 ELSE 1 END, score DESC, page_id) AS rank FROM b)
-  SELECT site, page_id, score, CAST(rank AS INT) AS rank FROM r WHERE rank <= 6""")
-def page_topk(spark: SparkSession, d: str) -> DataFrame:
-    """The six best pages of each site, a hub near the top promoted."""
-    u = F.col("url")
-    scored = parquet(spark, d, "pages").select(urls.site(u).alias("site"), "page_id", (100 - 10 * urls.depth(u) + F.when(urls.defragged(u).startswith("https"), 5).otherwise(0)).alias("score"), (urls.depth(u) <= 1).alias("hub"))
-    return keys.promote(scored, ["site"], "score", "hub", 60, F.col("page_id")).where("rank <= 6").select("site", "page_id", "score", F.col("rank").cast("int").alias("rank"))
-
-
-_QA = "CASE WHEN quality = 0 AND toxic = 1 THEN '01' WHEN quality = 0 THEN '02' WHEN toxic = 1 THEN '03' WHEN n_chars >= 2000 THEN '04' WHEN n_chars >= 500 THEN '05' ELSE '06' END"
-
-
-@query(f"SELECT split_id, lang, count(*) AS n, sum(n_chars)::BIGINT AS chars FROM (SELECT {_QA} AS split_id, lang, n_chars FROM documents JOIN labels USING (doc_id)) GROUP BY ALL")
-def qa_splits(spark: SparkSession, d: str) -> DataFrame:
-    """Exclusive review sets and their sizes."""
-    rows = parquet(spark, d, "documents").select("doc_id", "lang", "n_chars").join(parquet(spark, d, "labels"), "doc_id").withColumn("split_id", F.expr(_QA))
-    return rows.groupBy("split_id", "lang").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
-
-
-@query(r"""SELECT c_custkey, cell, regexp_matches(trim(cell), '^[$]?\s*\d[\d,]*(\.\d+)?\s*%?$') AS is_number FROM (SELECT c_custkey, unnest([c_name, '$' || CAST(c_custkey AS VARCHAR) || ',000', CAST(c_nationkey AS VARCHAR) || ' %', c_mktsegment]) AS cell FROM customer)""")
-def numericish_cells(spark: SparkSession, d: str) -> DataFrame:
-    """Cells of a table and whether they read as numbers."""
-    cells = F.array("c_name", F.concat(F.lit("$"), F.col("c_custkey").cast("string"), F.lit(",000")), F.concat(F.col("c_nationkey").cast("string"), F.lit(" %")), "c_mktsegment")
-    return parquet(spark, d, "customer").select("c_custkey", F.explode(cells).alias("cell")).withColumn("is_number", urls.numericish(F.col("cell")))
-
-
-def _pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Reference titles of institutions with the distinct titles found for them."""
-    found = _evidence(spark, d).groupBy("unitid", F.col("raw_title").alias("candidate")).agg(F.min("pos").alias("pos")).where("candidate != ''")
-    refs = parquet(spark, d, "supplier").select(F.col("s_suppkey").alias("unitid"), _title("s_suppkey").alias("ref")).where("ref != ''")
-    return refs.join(found, "unitid")
-
-
-_STOPS = ", ".join(quoted(w) for w in matching.STOP)
-_KEY = "list_filter(string_split(trim(regexp_replace(lower({0}), '[^a-z0-9]+', ' ', 'g')), ' '), lambda x: x <> '' AND x NOT IN (" + _STOPS + "))"
-_TOKENS = "list_distinct(list_filter(" + _KEY + ", lambda x: length(x) >= 3))"
-
-
-@query(f"""WITH evidence AS ({_EVIDENCE}), pairs AS (SELECT DISTINCT s_suppkey AS unitid, {_SEEDS}[1 + s_suppkey % {_N}] AS ref, raw_title AS candidate FROM supplier JOIN evidence ON unitid = s_suppkey WHERE raw_title <> ''),
-  sets AS (SELECT *, {_TOKENS.format('ref')} AS a, {_TOKENS.format('candidate')} AS b FROM pairs WHERE ref <> ''),
-  sizes AS (SELECT *, len(list_intersect(a, b)) AS n, least(len(a), len(b)) AS low, greatest(len(a), len(b)) AS high FROM sets)
-  SELECT unitid, ref, candidate, CASE WHEN low = 0 THEN 0.0 WHEN low = 1 AND high >= 3 THEN CAST(n AS DOUBLE) / high ELSE CAST(n AS DOUBLE) / low END AS overlap FROM sizes""")
-def token_overlap(spark: SparkSession, d: str) -> DataFrame:
-    """Token overlap of each institution's reference title with its candidates."""
-    return _pairs(spark, d).select("unitid", "ref", "candidate", matching.overlap(matching.content_tokens(F.col("ref")), matching.content_tokens(F.col("candidate"))).alias("overlap"))
-
-
-@query()
-def match_ladder(spark: SparkSession, d: str) -> DataFrame:
-    """Best candidate of each institution by the ladder of match levels."""
-    return matching.best_candidate(_pairs(spark, d), ["unitid"], 0.80)
-
-
-@query()
-def align_titles(spark: SparkSession, d: str) -> DataFrame:
-    """One-to-one alignment of the crawl titles and the third-party titles of each institution."""
-    found = _evidence(spark, d).where("raw_title != ''").groupBy("unitid", "source", "raw_title").agg(F.min("pos").alias("at"))
-    left = found.where("source = 'crawl'").select("unitid", F.col("raw_title").alias("left"), F.col("at").alias("i"))
-    right = found.where("source = 'cv'").select("unitid", F.col("raw_title").alias("right"), F.col("at").alias("j"))
-    return matching.align(left.join(right, "unitid"), ["unitid"], 0.80)
+__all__ = ["QUERIES", "SQL", "inventory_queries", "match_queries", "site_queries", "table_queries"]

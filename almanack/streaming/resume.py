@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.keys import keep_one
+
 
 def latest(results: DataFrame, key: str) -> DataFrame:
     """Of all appended rows the last of each key, by batch and then by order in the batch."""
@@ -14,14 +16,16 @@ def latest(results: DataFrame, key: str) -> DataFrame:
     return ranked.where("_rank = 1").drop("_rank")
 
 
-def resume(spark: SparkSession, source: DataFrame, out: str, checkpoint: str, key: str, step: Callable[[DataFrame], DataFrame]):
+def resume(spark: SparkSession, source: DataFrame, out: str, checkpoint: str, key: str, step: Callable[[DataFrame], DataFrame], order: str | None = None):
     """Starts a query over the stream ``source`` that applies ``step`` to keys not done yet and appends to ``out``.
 
+    Of rows of a key that come together the first counts, by the column ``order``, else by all their columns.
     A batch that is repeated after a failure overwrites its own partition, so results appear once.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        todo = batch.dropDuplicates([key])
+        by = [F.col(order)] if order else []
+        todo = keep_one(batch.where(F.col(key).isNotNull()), [key], *by, F.to_json(F.struct(*batch.columns)))
         try:
             done = spark.read.parquet(out).where(F.col("batch_id") < batch_id).select(key)
             todo = todo.join(done, key, "left_anti")

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from almanack.functions import titles, urls
-from almanack.operators import inventory, keys, matching
+from almanack.operators import inventory, keys
 
 GOLDEN = [
     ("Department of Africana Studies", "crawl", "department_unit", "africana", 100),
@@ -22,10 +22,7 @@ def test_golden_titles(spark):
     got = {r["raw_title"]: r for r in titles.classified(rows).collect()}
     for title, _, kind, bucket, conf in GOLDEN:
         row = got[title]
-        assert (row["title_kind"], row["bucket"]) == (kind, bucket), title
-        if conf is not None and title not in ("Race and Ethnic Studies",):
-            assert row["conf"] == conf, (title, row["conf"], row["conf_reason"])
-        assert 0 <= row["conf"] <= 100
+        assert (row["title_kind"], row["bucket"], row["conf"]) == (kind, bucket, conf), title
 
 
 def test_split_cell_keeps_first_of_equal_titles(spark):
@@ -46,12 +43,6 @@ def test_missing_keys_match_each_other(spark):
     assert keys.only_left(a, b, "k", with_missing=False).count() == 1
 
 
-def test_ladder_and_alignment(spark):
-    pairs = spark.createDataFrame([(1, "Ethnic Studies", "ethnic studies", 1), (1, "Ethnic Studies", "Ethnic Studies Minor", 2), (2, "Music", "Physics", 1)], "unitid long, ref string, candidate string, pos int")
-    got = {r["unitid"]: (r["match_level"], r["best_title"]) for r in matching.best_candidate(pairs, ["unitid"], 0.8).collect()}
-    assert got == {1: ("strict_raw", "ethnic studies"), 2: ("NO_MATCH", None)}
-
-
 @pytest.mark.parametrize("cell,expected", [("$1,234", True), ("12.8 %", True), ("n/a", False), (None, False), ("", False)])
 def test_numericish(spark, cell, expected):
     assert spark.range(1).select(urls.numericish(F.lit(cell)).alias("x")).first()["x"] is expected
