@@ -21,7 +21,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hashing as H
 from .common import crc32_mod, ship, table
 from .memory import trim, trimmed
 from .training import constant, labelled_sample
@@ -35,6 +34,9 @@ _PIECE = 1 << 19
 _LOT = 256
 _U = np.uint64
 _BASE = _U(0x9FB21C651E98DF25)
+_TOP = _U(0xD6E8FEB86659FD93)
+#: Marks of (text, column) pairs held at once.
+_MARKS = 1 << 26
 
 
 def _pieces(texts):
@@ -55,29 +57,59 @@ def _pieces(texts):
 
 
 def _cells(lot: list[str]):
-    """For each n: the cell of every n-gram, and its text in the lot."""
+    """For each n: the cell of every n-gram, whether it lies in one text, and its text in the lot."""
     sizes = np.array([len(t) for t in lot])
     chars = np.frombuffer("".join(lot).encode("utf-32-le", "surrogatepass"), "<u4").astype(_U)
-    owner = np.repeat(np.arange(len(lot)), sizes)
+    owner = np.repeat(np.arange(len(lot), dtype=np.int32), sizes)
     h = np.zeros(len(chars), _U)
     for n in range(1, max(GRAMS) + 1):
         if len(chars) < n:
             return
-        h = h[: len(chars) - n + 1] * _BASE + chars[n - 1 :] + _U(1)
+        h = h[: len(chars) - n + 1] * _BASE
+        h += chars[n - 1 :]
+        h += _U(1)
         if n in GRAMS:
-            inside = owner[: len(h)] == owner[n - 1 :]
-            yield (H.mix(h + _U(n)) >> _U(44)).astype(np.int64), inside, owner[: len(h)]
+            # the top bits of a product depend on all characters
+            yield (((h + _U(n)) * _TOP) >> _U(44)).astype(np.int32), owner[: len(h)] == owner[n - 1 :], owner[: len(h)]
 
 
-def present(texts, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text number, cell) pairs, ordered; ``wanted`` marks the cells that count."""
-    found = []
+def columns(wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each cell its number among those that ``wanted`` marks, or -1; and these cells."""
+    used = np.flatnonzero(wanted)
+    table = np.full(CELLS, -1, np.int32)
+    table[used] = np.arange(len(used), dtype=np.int32)
+    return table, used
+
+
+def present(texts, table: np.ndarray | None = None, n_columns: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (text number, cell) pairs, ordered; with a ``table`` of :func:`columns`, (text number, column) pairs of the cells in it."""
+    width = CELLS if table is None else max(n_columns, 1)
+    found, last = [], -1
+    spread = False
     for numbers, lot in _pieces(texts):
-        for cell, inside, owner in _cells(lot):
-            keep = inside if wanted is None else inside & wanted[cell]
-            found.append(np.unique(numbers[owner[keep]] * CELLS + cell[keep]))
-    pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-    return pairs // CELLS, pairs % CELLS
+        spread |= numbers[0] == last  # a very long text lies in several lots
+        last = int(numbers[-1])
+        rows = numbers - numbers[0]
+        if table is None or (rows[-1] + 1) * width > _MARKS:
+            found.append(np.unique(np.concatenate([numbers[owner[keep]] * width + cell[keep] for cell, keep, owner in _wanted(lot, table)] or [np.zeros(0, np.int64)])))
+            continue
+        held = np.zeros((int(rows[-1]) + 1) * width, bool)
+        for cell, keep, owner in _wanted(lot, table):
+            held[rows[owner[keep]] * width + cell[keep]] = True
+        found.append(np.flatnonzero(held) + numbers[0] * width)
+    pairs = np.concatenate(found) if found else np.zeros(0, np.int64)
+    if spread:
+        pairs = np.unique(pairs)
+    return pairs // width, pairs % width
+
+
+def _wanted(lot: list[str], table: np.ndarray | None):
+    for cell, inside, owner in _cells(lot):
+        if table is None:
+            yield cell, inside, owner
+        else:
+            column = table[cell]
+            yield column, inside & (column >= 0), owner
 
 
 @trimmed
@@ -98,10 +130,11 @@ def _counted(batches):
 def _present(wanted):
     @trimmed
     def run(batches):
+        table, used = columns(wanted.value)
         for pdf in batches:
-            rows, cells = present(pdf["text"].tolist(), wanted.value)
+            rows, column = present(pdf["text"].tolist(), table, len(used))
             ends = np.searchsorted(rows, np.arange(len(pdf) + 1))
-            cells = cells.astype(np.int32)
+            cells = used[column].astype(np.int32)
             yield pd.DataFrame({"row": pdf["row"], "y": pdf["y"], "cells": [cells[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]})
 
     return run
@@ -175,11 +208,12 @@ def _score(model):
     @trimmed
     def run(batches):
         weights, intercept = model.value
-        wanted = weights != 0
+        table, used = columns(weights != 0)
+        weights = weights[used]
         for pdf in batches:
             texts = pdf["text"].tolist()
-            rows, cells = present(texts, wanted)
-            margin = np.bincount(rows, weights=weights[cells], minlength=len(texts)) + intercept
+            rows, column = present(texts, table, len(used))
+            margin = np.bincount(rows, weights=weights[column], minlength=len(texts)) + intercept
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": 1 / (1 + np.exp(-np.clip(margin, -30, 30)))})
 
     return run
