@@ -8,11 +8,12 @@ fingerprints.  A text without anchors (tables, lists) is signed by the chains of
 all its words.  :func:`similar_pairs` partitions by set length and prunes before
 it compares.
 
-Everything is DataFrame and SQL functions over whole texts.
+The query needs the likeness of given pairs only, so it compares those; who is like whom in a whole table is
+:func:`similar_pairs`.  Everything is DataFrame and SQL functions over whole texts, however long.
 
 Null texts count as empty; an empty fingerprint is like another only if both
 texts are equal.  Rows and ids may repeat (ties go by the text), null
-ids come last in descending order, an empty table gives no rows.
+ids come last in descending order, an empty table gives no rows.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -79,15 +80,18 @@ def similar_pairs(rows: DataFrame, threshold: float = 0.8) -> DataFrame:
 
     Rows are partitioned by set length in steps of ``1/threshold``, so only
     equal and adjacent partitions can hold partners, and only the first
-    signatures of a set (in the global order of signatures) are matched.
+    signatures of a set, the rarest in all sets first, are matched.
     Equal fingerprints are compared once, by their smallest id; the pairs are
     between such representatives, and of each copy with its representative.
     """
     step = math.log(1 / threshold)
     sized = rows.where(F.size("sigs") > 0).groupBy("sigs").agg(F.min("id").alias("rep"))
     sized = sized.withColumn("n", F.size("sigs")).withColumn("part", F.floor(F.log("n") / F.lit(step)).cast("int"))
-    head = F.slice("sigs", F.lit(1), F.col("n") - F.ceil(F.col("n") * threshold - 1e-9).cast("int") + 1)
-    probes = sized.select("rep", "n", "part", F.explode(head).alias("sig"))
+    each = sized.select("rep", "n", "part", F.explode("sigs").alias("sig"))
+    often = each.groupBy("sig").agg(F.count(F.lit(1)).alias("often"))
+    rank = F.row_number().over(Window.partitionBy("rep").orderBy("often", "sig"))
+    head = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9).cast("int") + 1
+    probes = each.join(often, "sig").withColumn("rank", rank).where(F.col("rank") <= head).select("rep", "n", "part", "sig")
     left = probes.select(F.col("rep").alias("a0"), F.col("n").alias("na"), "sig", F.explode(F.array(F.col("part"), F.col("part") + 1)).alias("part"))
     right = probes.select(F.col("rep").alias("b0"), F.col("n").alias("nb"), "sig", "part")
     near = left.join(right, ["sig", "part"]).where("a0 != b0 and nb >= na and na >= nb * %r" % threshold).select("a0", "b0").distinct()
