@@ -158,21 +158,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     held = Tables()
     with held:
         e = settle(ends.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    small = e.count() < SMALL
     while True:
-        with Tables() as halves:
-            small = e.count() < SMALL
-            both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-            large = _with_low(both.where("v > u"), _lowest(both), small).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-            if not small:
-                large = settle(large, "large")
-            # every u is larger than its v here, so the lowest is a v
-            near = _with_low(large, _lowest(large), small)
-            stars = near.select(F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))))).where("u != v").distinct()
-            last, held = held, Tables()
-            with held:
-                e = settle(stars, "stars")
-            last.drop()
-        halves.drop()
+        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        large = _with_low(both.where("v > u"), _lowest(both), small).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # now a node has an edge for each of its stars, of which there are few, and every v is the smaller
+        near = large.join(_lowest(large).select("u", "m"), "u")
+        stars = near.select(F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))))).where("u != v").distinct()
+        last, held = held, Tables()
+        with held:
+            e = settle(stars, "stars")
+        last.drop()
         # done when all are stars: no parent is a child, no child has two parents
         parents = e.join(e.select(F.col("v").alias("u")).distinct(), "u", "left_semi").select("u")
         if parents.unionByName(e.groupBy("u").count().where("count > 1").select("u")).isEmpty():
