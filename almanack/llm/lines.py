@@ -63,6 +63,7 @@ BLANK = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u
 SLICE = 1 << 17
 _U = np.uint64
 _BASE = _U(0x2127599BF4325C37)
+_TOP = _U(0xD6E8FEB86659FD93)
 _EMPTY = _U(0xFFFFFFFFFFFFFFFF)
 
 
@@ -118,7 +119,11 @@ def _runs(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     short = np.flatnonzero(sizes < RUN)
     if len(short):
         hashes[starts[short]] = [hash_short(lines[i]) for i in short.tolist()]
-    return H.mix(hashes), owner
+    # high bits name a bin, low bits are its value: both depend on all characters
+    hashes ^= hashes >> _U(29)
+    hashes *= _TOP
+    hashes ^= hashes >> _U(32)
+    return hashes, owner
 
 
 def hash_short(line: str) -> int:
@@ -329,6 +334,10 @@ def _overlaps(token: np.ndarray, owner: np.ndarray, m: int):
 def forest(token: np.ndarray, owner: np.ndarray, cells: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Pairs of sets that link by the exact Jaccard coefficient and between them connect all that link; cells as in :mod:`.blocks`."""
     m = len(cells)
+    if m == 2:  # most blocks
+        n = len(token)
+        shared = n - len(np.unique(token))
+        return [(0, 1)] if (cells[0] < 0 or cells[0] != cells[1]) and (100 + percent) * shared >= percent * n else []
     sizes = np.bincount(owner, minlength=m)
     top = list(range(m))
 
