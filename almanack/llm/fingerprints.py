@@ -51,7 +51,8 @@ def _pairs(d: Column) -> Column:
 
 
 def _signed(pairs: Column) -> Column:
-    anchored = F.transform(F.filter(pairs, lambda p: F.instr(p["x"], "+") > 0), _chain)
+    # anchors that end a text have no content word after them
+    anchored = F.transform(F.filter(pairs, lambda p: (F.instr(p["x"], "+") > 0) & ~p["x"].endswith("+")), _chain)
     plain = F.transform(F.filter(pairs, lambda p: p["x"] != ""), _chain)
     return _let(anchored, lambda a: F.when(F.size(a) > 0, a).otherwise(plain))
 

@@ -267,9 +267,9 @@ def test_op5_edits_and_likeness(spark, documents):
         for near, other, print_ in ((r["near_edited"], edited, r["edited_fingerprint"]), (r["near_next"], following, None)):
             a, b = chains(t), chains(other)
             want = len(a & b) / len(a | b) if a | b else float(t == other)
-            assert near == pytest.approx(want, abs=0.02), i  # the ends of texts and 32 bits of hash are all that differ
+            assert near == pytest.approx(want, abs=1e-9), i
         assert signed.setdefault(t, r["fingerprint"]) == r["fingerprint"]
-        assert len(r["fingerprint"]) == pytest.approx(8 * len(chains(t)), abs=16)
+        assert len(r["fingerprint"]) == 8 * len(chains(t))
 
 
 def test_op5_similar_pairs_are_those_of_brute_force(spark):
@@ -306,12 +306,11 @@ def test_op6_removed_words(spark, documents):
         assert (got[i]["n_words"], got[i]["n_removed"], got[i]["kept_sha256"]) == (len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest()), i
 
 
-@pytest.mark.parametrize("query, label, mod, out", [(toxicity.op8_toxicity, "toxic", 5, 0), (quality.op10_quality, "quality", 3, 1)])
-def test_classifiers_hold_out_and_learn(spark, query, label, mod, out):
-    d = "/root/testdata/sf0.01"
+@pytest.mark.parametrize("query, label, mod, out, d", [(toxicity.op8_toxicity, "toxic", 5, 0, "/root/testdata/sf0.1"), (quality.op10_quality, "quality", 3, 1, "/root/testdata/sf0.01")])
+def test_classifiers_hold_out_and_learn(spark, query, label, mod, out, d):
     known = dict(duckdb.sql(f"select doc_id, {label} from '{d}/labels.parquet' where {label} is not null").fetchall())
     rows = query(spark, d).collect()
-    assert len(rows) == duckdb.sql(f"select count(*) from '{d}/documents.parquet'").fetchone()[0]
+    assert len(rows) == duckdb.sql(f"select count(*) from '{d}/documents.parquet'").fetchall()[0][0]
     right = []
     for r in rows:
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % mod == out)
