@@ -295,3 +295,14 @@ MATCHES = (
         ("", "", "", "NO_MATCH", 0.0, "fuzzy_syn: rejected by strong_ref_gate filter cand=\"Ethnic Studies\" score=0.50"),
     ),
 )
+
+#: For each of the cells: reference, match (title, source, kind, level, score, detail), whether the reference names a unit, what was recombined, titles
+#: found by the crawl, the third party, as signals, all of them, those that match in no mode, and programs beside a unit that matched.
+DISCOVERED = (
+    ("Africana Studies", "Africana Studies", "crawl", "program", "winner_override", 1.0, "winner_override: replaced=\"Africana Studies Black Studies Other\" (related_domain_backstop) -> \"Africana Studies\"; patch1:primary_academic | score=1.00", 0, "recombined_from_pipe: Africana Studies|Black Studies|Other => Africana Studies Black Studies Other, Africana Studies Black Studies", "Africana Studies Black Studies Other|Africana Studies Black Studies|Africana Studies|Black Studies|Other", "", "Center for Race|Ethnic Council", "Africana Studies Black Studies Other|Africana Studies Black Studies|Africana Studies|Black Studies|Other|Center for Race|Ethnic Council", "Africana Studies Black Studies|Black Studies|Other|Center for Race|Ethnic Council", ""),
+    ("X", "", "", "", "NO_MATCH", 0.0, "", 0, "", "African, Black and Caribbean Studies|Music", "Ethnic, Cultural Minority, and Gender Studies, Other", "", "African, Black and Caribbean Studies|Music|Ethnic, Cultural Minority, and Gender Studies, Other", "African, Black and Caribbean Studies|Music|Ethnic, Cultural Minority, and Gender Studies, Other", ""),
+    ("Y", "", "", "", "NO_MATCH", 0.0, "", 0, "recombined_from_pipe: Ethnic|Cultural Studies|Other => Ethnic Cultural Studies Other, Ethnic Cultural Studies", "Art|Music|Dance", "Ethnic Cultural Studies|Ethnic / Cultural Studies / Other", "", "Art|Music|Dance|Ethnic Cultural Studies|Ethnic / Cultural Studies / Other", "Art|Music|Dance|Ethnic Cultural Studies|Ethnic / Cultural Studies / Other", ""),
+    ("Z", "", "", "", "NO_MATCH", 0.0, "", 0, "", "Department of Music", "", "Department of Music", "Department of Music", "Department of Music", ""),
+    ("", "", "", "", "NO_MATCH", 0.0, "", 0, "", "", "", "", "", "", ""),
+    ("W", "", "", "", "NO_MATCH", 0.0, "", 0, "", "a|b", "", "", "a|b", "a|b", ""),
+)

@@ -57,7 +57,12 @@ def match_ladder(spark: SparkSession, d: str) -> DataFrame:
     return out.select("unitid", "ref", *_MATCHED[:-2], F.round("match_score", 9).alias("match_score"), "detail")
 
 
-@query()
+_DISCOVERED = (
+    "ref", *_MATCHED, "is_signal_ref", "recombined_added", "discovered_crawl", "discovered_cv", "discovered_signals", "discovered_all", "discovered_new_unmatched", "discovered_new_when_best_signal",
+)
+
+
+@query(f"SELECT s_suppkey AS unitid, {', '.join(_DISCOVERED)} FROM supplier JOIN {values(golden.DISCOVERED, *_DISCOVERED)} ON k = s_suppkey % {len(golden.CELLS)}")
 def match_rows(spark: SparkSession, d: str) -> DataFrame:
     """The match of each institution and all else that was discovered, from its cells."""
     cells = literals(spark, golden.CELLS, "ref string, crawl string, cv string, signals string")
