@@ -104,10 +104,15 @@ def similar_pairs(rows: DataFrame, threshold: float = 0.8) -> DataFrame:
     return found.unionByName(copies.distinct())
 
 
-def _cuts(docs: DataFrame, parts: int) -> list[int]:
-    if parts < 2:
-        return []
-    cuts = docs.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)], 10_000)).first()[0]
+#: Bytes of text in a range of ids, and ranges at most: beyond these ranges grow.
+RANGE_BYTES, MOST_RANGES = 64 << 20, 8192
+
+
+def _cuts(docs: DataFrame) -> list[int]:
+    """Ids that cut the table into ranges of about ``RANGE_BYTES``, at least as many as there are shuffle partitions."""
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts = min(MOST_RANGES, max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES)))
+    cuts = docs.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)], 100_000)).first()[0]
     return sorted(set(cuts or []))
 
 
@@ -118,8 +123,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     ranges, and the neighbour is a window inside the range; only one row per
     range crosses a border.
     """
-    spark = docs.sparkSession
-    cuts = _cuts(docs, min(4096, max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    cuts = _cuts(docs)
     part = F.lit(0)
     if cuts:  # a binary search, one step per bit
         steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
@@ -131,7 +135,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     ranged = rows.withColumn("sigs", signatures(F.col("text"))).withColumn("below", F.lag(F.struct("text", "sigs")).over(order))
     top = rows.withColumn("top", F.lead(F.lit(True)).over(order).isNull()).where("top")
     tops = top.select("part", F.struct("text", signatures(F.col("text")).alias("sigs")).alias("of"))
-    # one row per range, at most 4096
+    # one row per range
     across = Window.orderBy("part")
     whole = Window.partitionBy()
     edge = tops.select(F.col("part").alias("p"), F.coalesce(F.lag("of").over(across), F.max_by("of", "part").over(whole)).alias("edge"))
