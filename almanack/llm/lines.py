@@ -29,11 +29,10 @@ A very long text is read in stretches of lines; a line is never cut.  Empty tabl
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -60,7 +59,7 @@ TASK_RUNS = 1 << 19
 #: Characters of which blank lines are made, as in ``str.isspace``.
 BLANK = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Characters hashed at once.
-SLICE = 1 << 17
+SLICE = 1 << 16
 _U = np.uint64
 _BASE = _U(0x2127599BF4325C37)
 _TOP = _U(0xD6E8FEB86659FD93)
@@ -98,7 +97,7 @@ def _slices(lines: list[str]):
 
 def _line_hashes(lines: list[str]) -> np.ndarray:
     """128 bits of each line, as two longs."""
-    return np.frombuffer(b"".join([hashlib.blake2b(x.encode("utf-8", "surrogatepass"), digest_size=16).digest() for x in lines]), np.int64).reshape(-1, 2)
+    return np.frombuffer(b"".join([xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in lines]), np.int64).reshape(-1, 2)
 
 
 def _runs(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -313,51 +312,64 @@ def _sets(lines: list[str]) -> list[np.ndarray]:
     return out
 
 
-def _overlaps(token: np.ndarray, owner: np.ndarray, m: int):
-    """For each of ``m`` sets (distinct tokens of owners, by owner): how many tokens it shares with every set."""
-    _, token = np.unique(token, return_inverse=True)
-    if m <= 64:
-        held = np.zeros((m, int(token.max()) + 1), np.float32)
-        held[owner, token] = 1
-        yield from (held @ held.T).astype(np.int64)
-        return
-    order = np.argsort(token, kind="stable")
-    first = np.searchsorted(token[order], np.arange(int(token.max()) + 2))
-    holders, ends = owner[order], np.searchsorted(owner, np.arange(m + 1))
-    for i in range(m):
-        own = token[ends[i] : ends[i + 1]]
-        counts = first[own + 1] - first[own]
-        at = np.repeat(first[own] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-        yield np.bincount(holders[at], minlength=m)
+class _Holders:
+    """Which of the lines still waiting hold each token."""
+
+    def __init__(self, token: np.ndarray, owner: np.ndarray, waiting: np.ndarray, n_tokens: int):
+        keep = waiting[owner]
+        token, owner = token[keep], owner[keep]
+        order = np.argsort(token, kind="stable")
+        self.lines = owner[order]
+        self.first = np.searchsorted(token[order], np.arange(n_tokens + 1))
+        self.m, self.held = len(waiting), int(waiting.sum())
+
+    def shared(self, own: np.ndarray) -> np.ndarray:
+        """How many of the tokens ``own`` each line holds."""
+        counts = self.first[own + 1] - self.first[own]
+        at = np.repeat(self.first[own] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        return np.bincount(self.lines[at], minlength=self.m)
 
 
 def forest(token: np.ndarray, owner: np.ndarray, cells: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Pairs of sets that link by the exact Jaccard coefficient and between them connect all that link; cells as in :mod:`.blocks`."""
+    """Pairs of sets that link by the exact Jaccard coefficient and between them connect all that link; cells as in :mod:`.blocks`.
+
+    From set to set along links: each that is reached is compared with those not reached yet, so a group
+    of near copies costs one comparison with all, not one for each pair.
+    """
     m = len(cells)
     if m == 2:  # most blocks
-        n = len(token)
-        shared = n - len(np.unique(token))
-        return [(0, 1)] if (cells[0] < 0 or cells[0] != cells[1]) and (100 + percent) * shared >= percent * n else []
-    sizes = np.bincount(owner, minlength=m)
-    top = list(range(m))
-
-    def root(x: int) -> int:
-        while top[x] != x:
-            top[x] = top[top[x]]
-            x = top[x]
-        return x
-
-    out = []
-    for i, shared in enumerate(_overlaps(token, owner, m)):
-        linked = (100 + percent) * shared >= percent * (sizes[i] + sizes)
-        linked[: i + 1] = False
-        if cells[i] >= 0:
-            linked &= cells != cells[i]
-        for j in np.flatnonzero(linked).tolist():
-            a, b = root(i), root(j)
-            if a != b:
-                top[max(a, b)] = min(a, b)
-                out.append((i, j))
+        both = np.sort(token)
+        shared = int((both[1:] == both[:-1]).sum())
+        return [(0, 1)] if (cells[0] < 0 or cells[0] != cells[1]) and (100 + percent) * shared >= percent * len(token) else []
+    sizes, ends = np.bincount(owner, minlength=m), np.searchsorted(owner, np.arange(m + 1))
+    distinct, token = np.unique(token, return_inverse=True)
+    waiting, left, out = np.ones(m, bool), m, []
+    every = holders = None
+    if m <= 64:  # all at once
+        held = np.zeros((m, len(distinct)), np.float32)
+        held[owner, token] = 1
+        every = (held @ held.T).astype(np.int64)
+    else:
+        holders = _Holders(token, owner, waiting, len(distinct))
+    for start in range(m):
+        if not waiting[start]:
+            continue
+        waiting[start] = False
+        left -= 1
+        reached = [start]
+        while reached and left:
+            i = reached.pop()
+            if holders and left < holders.held // 2:
+                holders = _Holders(token, owner, waiting, len(distinct))
+            shared = holders.shared(token[ends[i] : ends[i + 1]]) if holders else every[i]
+            linked = waiting & ((100 + percent) * shared >= percent * (sizes[i] + sizes))
+            if cells[i] >= 0:
+                linked &= cells != cells[i]
+            new = np.flatnonzero(linked).tolist()
+            waiting[new] = False
+            left -= len(new)
+            reached += new
+            out += [(i, j) for j in new]
     return out
 
 
