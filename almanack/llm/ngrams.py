@@ -10,8 +10,8 @@ in at most d n-grams, so if the hash space is cut into d + 2 parts, two parts
 hold the same n-grams in both; the hash of a part's n-grams is a sign, and sets
 that share two are candidates.  The number of parts goes by size: sizes are
 cut into intervals so that partners lie in equal or adjacent ones, and a set gives its
-signs for its own interval and the next.  A part holds some n-grams, so
-a short passage that many documents share makes few candidates.  Components
+signs for its own interval and the next.  Signs travel packed, and what meets by signs is tested by
+sketches (:mod:`.signs`), so a passage that many documents share makes few candidates.  Components
 of the candidate graph are the blocks.
 
 Equal sets are one class throughout, so a group of copies costs one set.
@@ -30,19 +30,19 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import hashing as H
 from . import marks, trie
+from . import signs as met
 from .blocks import block_tasks
 from .common import components, settle, ship, table
 from .memory import trimmed
 
 N = 4
 PERCENT = 85
-#: Classes of a sign among which pairs are counted; larger groups are chained.
-FEW = 8
 #: n-grams that a cell of a task holds at most (but for a single set that is larger).
 TASK_GRAMS = 1 << 20
 
@@ -122,12 +122,14 @@ def signs(hashes: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[np.nda
     return np.concatenate(out)[order], np.searchsorted(whose[order], np.arange(len(sizes) + 1))
 
 
-_SET = "key long, doc_id string, n int, k1 long, k2 long, signs array<long>"
+#: ``ref`` numbers the rows, those of a task one after the other.
+_SET = "ref long, key long, doc_id string, n int, k1 long, k2 long, sketch binary, signs binary"
 
 
 def _describe(n: int, percent: int):
     @trimmed
     def run(batches):
+        ref = TaskContext.get().partitionId() << 40
         for pdf in batches:
             for at in range(0, len(pdf), 512):
                 part = pdf.iloc[at : at + 512]
@@ -138,9 +140,10 @@ def _describe(n: int, percent: int):
                     np.cumsum(H.mix(hashes * np.uint64(salt) + np.uint64(salt >> 7)), out=total[1:])
                     sums.append((total[offsets[1:]] - total[offsets[:-1]]).view(np.int64))
                 sign, ends = signs(hashes, offsets, percent)
-                sign = sign.view(np.int64)
-                yield pd.DataFrame({"key": part["key"].to_numpy(), "doc_id": part["doc_id"].to_numpy(object), "n": np.diff(offsets).astype(np.int32), "k1": sums[0], "k2": sums[1],
-                                    "signs": [sign[a:b] for a, b in zip(ends[:-1], ends[1:])]})
+                sign = met.short(sign)
+                yield pd.DataFrame({"ref": np.arange(ref, ref + len(part)), "key": part["key"].to_numpy(), "doc_id": part["doc_id"].to_numpy(object), "n": np.diff(offsets).astype(np.int32),
+                                    "k1": sums[0], "k2": sums[1], "sketch": met.sketches(hashes, offsets), "signs": [sign[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]})
+                ref += len(part)
 
     return run
 
@@ -169,32 +172,15 @@ def _join(n: int, percent: int):
     return run
 
 
-def candidate_edges(sets: DataFrame, percent: int) -> DataFrame:
-    """Edges ``a, b`` between classes (``cls, n, signs``) that may reach the threshold by size and by signs.
-
-    Partners share two signs.  Where at most ``FEW`` classes share a sign, each class looks back at
-    all before it in order of size, and a pair must be seen twice.  A larger
-    group is chained in order of size instead, at the cost of one row per
-    class: if the ends of a stretch may reach the threshold, so may all neighbours between.
-    """
-    shared = sets.select("cls", "n", F.explode("signs").alias("sign"))
-    by = Window.partitionBy("sign").orderBy("n", "cls")
-    back = [F.struct(F.lag("cls", k).over(by).alias("a"), F.lag("n", k).over(by).alias("n_a")) for k in range(1, FEW + 1)]
-    held = shared.select("cls", "n", F.array(*back).alias("back"), F.count(F.lit(1)).over(Window.partitionBy("sign")).alias("members")).where("members > 1")
-    seen = held.select("n", F.col("cls").alias("b"), "members", F.explode(F.expr(f"if(members <= {FEW}, slice(back, 1, {FEW - 1}), slice(back, 1, 1))")).alias("x"))
-    seen = seen.where(f"x.a is not null and x.a != b and 100 * x.n_a >= {percent} * n").select("x.a", "b", F.when(F.col("members") > FEW, 2).otherwise(1).alias("times"))
-    return seen.groupBy("a", "b").agg(F.sum("times").alias("times")).where("times > 1").select("a", "b")
-
-
 def link_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs``: ``key, doc_id, n_shingles, component_id``; ``key`` is xxhash64 of id and text."""
     ship(docs.sparkSession)
     rows = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.col("doc_id").cast("string").alias("doc_id"), "text")
     sets = settle(rows.mapInPandas(_describe(n, percent), _SET).withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)), "sets")
-    classes = settle(sets.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("key").alias("cls"), F.min("doc_id").alias("first_doc")), "classes")
-    singles = sets.join(classes.select(F.col("cls").alias("key")), "key", "left_semi").select(F.col("key").alias("cls"), "n", "signs")
-    blocks = components(candidate_edges(singles, percent)).select(F.col("node").alias("cls"), F.col("component").alias("block"))
-    members = classes.join(blocks, "cls").select(F.col("cls").alias("node"), "block", "n", F.col("n").cast("long").alias("weight"))
+    classes = sets.where("n > 0").groupBy("k1", "k2", "n").agg(F.min(F.struct("key", "ref")).alias("one"), F.min("doc_id").alias("first_doc"))
+    classes = settle(classes.select("k1", "k2", "n", F.col("one.key").alias("cls"), F.col("one.ref").alias("ref"), "first_doc"), "classes")
+    blocks = components(met.candidate_edges(sets, classes, percent)).select(F.col("node").alias("ref"), F.col("component").alias("block"))
+    members = classes.join(blocks, "ref").select(F.col("cls").alias("node"), "block", "n", F.col("n").cast("long").alias("weight"))
     members = settle(members, "members")
     tasks = block_tasks(members, percent / 100, TASK_GRAMS)
     # only texts of candidates leave the scan
@@ -206,7 +192,7 @@ def link_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
     rooted = classes.join(linked, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     lowest = rooted.groupBy("root").agg(F.min("first_doc").alias("lowest"))
     labels = rooted.join(lowest, "root").select("k1", "k2", "n", "lowest")
-    return sets.drop("signs").join(labels, ["k1", "k2", "n"], "left").select("key", "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("lowest", "doc_id").alias("component_id"))
+    return sets.drop("ref", "sketch", "signs").join(labels, ["k1", "k2", "n"], "left").select("key", "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("lowest", "doc_id").alias("component_id"))
 
 
 def first_of_each(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:

@@ -5,11 +5,12 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from almanack.llm import embeddings, fingerprints, hashing, licenses, lines, mixing, ngrams, packing, quality, substrings, toxicity, trie
+from almanack.llm import embeddings, fingerprints, hashing, licenses, lines, mixing, ngrams, packing, quality, signs, substrings, toxicity, trie
 from almanack.llm.common import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, taken string"
@@ -119,6 +120,67 @@ def test_part_signs_lose_no_link():
                         assert len(signs[i] & signs[j]) >= 2
 
 
+def united_by(pairs, n):
+    top = list(range(n))
+    for i, j in pairs:
+        a, b = top[i], top[j]
+        top = [min(a, b) if x in (a, b) else x for x in top]
+    return top
+
+
+def test_a_sign_takes_few_bytes_however_many_partitions_there_are():
+    rng = np.random.default_rng(5)
+    rows = [rng.integers(0, 1 << 63, 50).astype(np.uint64) for _ in range(400)]
+    sets = pd.DataFrame({"ref": np.arange(400) + (3 << 40), "signs": [signs.short(r).tobytes() for r in rows]})
+    for buckets in (4, 600):
+        dealt = pd.concat(signs._deal(None, buckets)([sets]))
+        assert dealt["signs"].map(len).sum() == 8 * 400 * 50 and dealt["bucket"].is_unique
+        packed = np.concatenate([np.frombuffer(b, np.uint64) for b in dealt["signs"]])
+        assert set(zip((packed >> np.uint64(16)).tolist(), (packed & np.uint64(65535)).tolist())) == {(int(x) % (1 << 48), i) for i, r in enumerate(rows) for x in r}
+
+
+def test_signs_meet_in_pairs_in_groups_and_in_crowds(monkeypatch):
+    monkeypatch.setattr(signs, "CROWD", 20)
+    sizes = {7: 1, 8: 2, 9: 8, 10: 9, 11: 20, 12: 21}
+    packed = np.array([(sign << 16) + k for sign, n in sizes.items() for k in range(n)], np.uint64)
+    got = signs._meet(pd.DataFrame({"bucket": [0, 0], "base": [100, 100], "signs": [packed[::2].tobytes(), packed[1::2].tobytes()]}))
+    kinds = {(k, s): len(g) for (k, s), g in got.groupby(["kind", "sign"])}
+    assert kinds == {(0, 8): 1, (0, 9): 28, (1, 10): 9, (1, 11): 20, (2, 12): 20}
+
+
+def test_documents_that_share_a_passage_make_no_candidates(spark):
+    rng = np.random.default_rng(6)
+    passage = " ".join(f"p{k}" for k in range(40))
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 1 << 30, 60)) + " " + passage for _ in range(300)]
+    texts += [texts[0] + " more", texts[1] + " more"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "key long, text string")
+    sets = rows.selectExpr("key", "cast(key as string) doc_id", "text").coalesce(1).mapInPandas(ngrams._describe(4, 85), ngrams._SET).cache()
+    classes = sets.select("ref")
+    edges = {tuple(sorted(e)) for e in signs.candidate_edges(sets, classes, 85).collect()}
+    keys = {r["ref"]: r["key"] for r in sets.collect()}
+    assert {(keys[a], keys[b]) for a, b in edges} == {(0, 300), (1, 301)}
+
+
+def test_sketches_lose_no_link_in_crowded_groups():
+    rng = np.random.default_rng(7)
+    sets = []
+    for n in (5, 60, 130, 300, 9000):
+        for _ in range(4):
+            base = set(rng.integers(0, 1 << 62, n).tolist())
+            for _ in range(8):
+                sets.append({x for x in base if rng.random() > 0.06} | set(rng.integers(0, 1 << 62, n // 20).tolist()))
+    sets = [s for s in sets if s]
+    flat = np.array([x for s in sets for x in sorted(s)], np.uint64)
+    held = signs.sketches(flat, np.cumsum([0, *map(len, sets)]))
+    pdf = pd.DataFrame({"group": 1, "ref": np.arange(len(sets)), "n": [len(s) for s in sets], "sketch": held, "task": 0})
+    got = united_by(signs._test(85)(pdf).itertuples(index=False), len(sets))
+    for i in range(len(sets)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                assert got[i] == got[j]
+    assert len(set(got)) > 4
+
+
 def test_trie_and_forest_agree_with_brute_force():
     rng = np.random.default_rng(2)
     sets = []
