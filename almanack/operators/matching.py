@@ -6,7 +6,9 @@ their institutions.
 
 from __future__ import annotations
 
-import pandas as pd
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,24 +55,26 @@ def concordance(best: DataFrame, threshold: float = 0.80, a: str = "left", b: st
 def align(pairs: DataFrame, group: list[str], threshold: float = 0.80, synonyms: bool = True) -> DataFrame:
     """Greedy one-to-one alignment inside each group of ``left`` (place ``i``) and ``right`` (``j``): best score first, then place.
 
-    A group is an institution's pairs over the threshold, two numbers and a score each.
+    Pairs come sorted, so one pass takes them as they stream by; only the places taken in the group at hand are kept.
     """
-    rows = scored_pairs(pairs, "left", "right", synonyms, threshold)
-    numbers = rows.select(*group, "i", "j", "score")
-
-    def greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-        ranked = pdf.sort_values(["score", "i", "j"], ascending=[False, True, True])
-        used_i, used_j, keep = set(), set(), []
-        for i, j in zip(ranked["i"].tolist(), ranked["j"].tolist()):
-            free = i not in used_i and j not in used_j
-            keep.append(free)
-            if free:
-                used_i.add(i)
-                used_j.add(j)
-        return ranked[keep]
-
-    kept = numbers.groupBy(*group).applyInPandas(greedy, numbers.schema)
-    return rows.select(*group, "i", "j", "left", "right", "score").join(kept.select(*group, "i", "j"), [*group, "i", "j"])
+    rows = scored_pairs(pairs, "left", "right", synonyms, threshold).select(*group, "i", "j", "left", "right", "score")
+    keyed = rows.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*group, "i", "j")]))
+    ordered = keyed.repartition(*group).sortWithinPartitions(*group, F.col("score").desc(), "i", "j")
+
+    def greedy(batches):
+        at, of_i, of_j = None, {}, {}
+        for batch in batches:
+            keep = []
+            for key, i, j in zip(zip(*[batch.column(c).to_pylist() for c in group]), batch.column("i").to_pylist(), batch.column("j").to_pylist()):
+                if key != at:
+                    at, of_i, of_j = key, {}, {}
+                free = i not in of_i and j not in of_j
+                if free:
+                    of_i[i], of_j[j] = j, i
+                keep.append(free or of_i.get(i) == j)  # rows of one place stay together
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return ordered.mapInArrow(greedy, rows.schema)
 
 
 def unpaired(titles: DataFrame, aligned: DataFrame, group: list[str], place: str) -> DataFrame:
