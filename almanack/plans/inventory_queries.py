@@ -34,14 +34,18 @@ def evidence(spark: SparkSession, d: str) -> DataFrame:
     return lines.join(_titles(spark), "k").drop("k")
 
 
-def classified(spark: SparkSession, d: str) -> DataFrame:
-    """Evidence with classes; each distinct title of a source is classified once."""
-    rows = evidence(spark, d)
+def _with_classes(rows: DataFrame) -> DataFrame:
+    """``rows`` with the classes of their titles; each distinct title of a source is classified once."""
     known = titles.filled(titles.canonical_columns(titles.classified(rows.select("source", "raw_title").distinct())))
     # one aggregate over the same keys: later filters are not pushed into the rules, which would repeat them in the plan
     classes = [c for c in known.columns if c not in ("source", "raw_title")]
-    known = known.groupBy("source", "raw_title").agg(F.first(F.struct(*classes)).alias("c")).select("source", "raw_title", "c.*")
-    return rows.join(known, ["source", "raw_title"])
+    known = known.groupBy(F.col("source").alias("_s"), F.col("raw_title").alias("_t")).agg(F.first(F.struct(*classes)).alias("c"))
+    return rows.join(known, F.col("source").eqNullSafe(F.col("_s")) & F.col("raw_title").eqNullSafe(F.col("_t"))).select(*rows.columns, "c.*")
+
+
+def classified(spark: SparkSession, d: str) -> DataFrame:
+    """Evidence with classes."""
+    return _with_classes(evidence(spark, d))
 
 
 def _programs(spark: SparkSession, d: str) -> DataFrame:
@@ -58,8 +62,7 @@ def bucket_titles(spark: SparkSession, d: str) -> DataFrame:
 def title_kinds(spark: SparkSession, d: str) -> DataFrame:
     """Kind, bucket, label and confidence with its reasons of every title."""
     rows = parquet(spark, d, "part").select("p_partkey", (F.col("p_partkey") % _N).alias("k")).join(_titles(spark), "k")
-    known = titles.filled(titles.canonical_columns(titles.classified(rows)))
-    return known.select("p_partkey", "raw_title", "source", "title_kind", "bucket", "canonical_title", "conf", "conf_reason", "is_program")
+    return _with_classes(rows).select("p_partkey", "raw_title", "source", "title_kind", "bucket", "canonical_title", "conf", "conf_reason", "is_program")
 
 
 @query(_WITH + f"""SELECT unitid, 'bucket' AS key_type, bucket AS key, '' AS bucket, {_JOINED.format('source')} AS sources_in_key, {_FLAGS} FROM ({_PROGRAMS}) GROUP BY unitid, bucket

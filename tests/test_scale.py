@@ -1,8 +1,14 @@
 """Steps whose cost must not grow faster than their input."""
 
+import os
 import random
 
+import pytest
+
 from almanack.operators import matching
+from almanack.plans import golden, inventory_queries
+
+D = "/root/testdata/sf0.001"
 
 
 def _plan(rows) -> str:
@@ -23,3 +29,17 @@ def test_alignment_streams_and_equals_brute_force(spark):
             want.append((*place, r["left"], r["right"], r["score"]))
             taken |= {("i", *place[:2]), ("j", place[0], place[2])}
     assert sorted(map(tuple, got.select("unitid", "i", "j", "left", "right", "score").collect())) == sorted(want)
+
+
+@pytest.mark.skipif(not os.path.isdir(D), reason="no test tables")
+def test_each_distinct_title_is_classified_once(spark, monkeypatch):
+    asked, classified = [], inventory_queries.titles.classified
+    monkeypatch.setattr(inventory_queries.titles, "classified", lambda rows: asked.append(rows.count()) or classified(rows))
+    assert inventory_queries.title_kinds(spark, D).count() == spark.read.parquet(f"{D}/part.parquet").count()
+    assert asked == [len({t[:2] for t in golden.TITLES})]
+
+
+def test_missing_titles_stay(spark):
+    rows = spark.createDataFrame([(1, "crawl", None), (2, "crawl", "Ethnic Studies"), (3, "crawl", None)], "p int, source string, raw_title string")
+    got = inventory_queries._with_classes(rows).orderBy("p").collect()
+    assert [(r["p"], r["raw_title"], r["title_kind"]) for r in got] == [(1, None, "junk"), (2, "Ethnic Studies", "program"), (3, None, "junk")]
