@@ -16,6 +16,19 @@ from ..functions import pages as T
 from ..functions.compare import overlap, sequence_ratio
 
 
+#: Rows of a task that holds distinct rows in memory.
+TASK_ROWS = 1 << 19
+
+
+def distinct_rows(rows: DataFrame, n: int) -> DataFrame:
+    """The distinct of ``rows``, about ``n`` before they are made distinct: a task gets a bounded number, however many there are.
+
+    Nothing is gathered where rows are read: there a task's share grows with the table.
+    """
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-n // TASK_ROWS))
+    return rows.repartition(tasks, *rows.columns).distinct()
+
+
 def title_features(titles: DataFrame, synonyms: bool) -> DataFrame:
     """``title`` (distinct) with ``loose`` key and ``tokens``."""
     text = T.with_synonyms(F.col("title")) if synonyms else F.col("title")
@@ -28,8 +41,8 @@ def scored_pairs(pairs: DataFrame, a: str, b: str, synonyms: bool = True, thresh
     Pairs with a blank title have no score and are left out.
     """
     named = pairs.where((F.col(a) != "") & (F.col(b) != ""))
-    features = title_features(named.select(F.col(a).alias("title")).union(named.select(F.col(b).alias("title"))).distinct(), synonyms)
     distinct = named.select(F.col(a).alias("_a"), F.col(b).alias("_b")).distinct()
+    features = title_features(distinct.select(F.col("_a").alias("title")).union(distinct.select(F.col("_b").alias("title"))).distinct(), synonyms)
     x, y = (features.select(F.col("title").alias(f"_{s}"), F.col("loose").alias(f"_l{s}"), F.col("tokens").alias(f"_t{s}")) for s in "ab")
     met = distinct.join(x, "_a").join(y, "_b").withColumn("overlap", overlap(F.col("_ta"), F.col("_tb"), guarded=False))
     ratios = met.select("_la", "_lb").distinct().withColumn("ratio", sequence_ratio(F.col("_la"), F.col("_lb")))

@@ -81,11 +81,15 @@ _TOKENS = "list_distinct(list_filter(regexp_split_to_array({0}, '[\\s_-]+'), lam
   SELECT unitid, "left", "right", CASE WHEN least(len(a), len(b)) = 0 THEN 0.0 ELSE CAST(len(list_intersect(a, b)) AS DOUBLE) / least(len(a), len(b)) END AS overlap FROM sets""")
 def token_overlap(spark: SparkSession, d: str) -> DataFrame:
     """Shared words of pairs of titles, as a part of the shorter's."""
-    n = len(_ASCII)
     t = literals(spark, _ASCII, "title string")
-    met = parquet(spark, d, "lineitem").select(F.col("l_suppkey").alias("unitid"), (F.col("l_partkey") % n).alias("x"), (F.col("l_orderkey") % n).alias("y")).distinct()
-    pairs = met.join(t.select(F.col("k").alias("x"), F.col("title").alias("left")), "x").join(t.select(F.col("k").alias("y"), F.col("title").alias("right")), "y")
-    return matching.scored_pairs(pairs.select("unitid", "left", "right").distinct(), "left", "right", synonyms=False).select("unitid", "left", "right", "overlap")
+    # equal titles have one number, so numbers are made distinct instead of texts
+    number = F.array(*[F.lit(_ASCII.index(row)) for row in _ASCII])
+    lines = parquet(spark, d, "lineitem")
+    x, y = (F.get(number, (F.col(key) % len(_ASCII)).cast("int")) for key in ("l_partkey", "l_orderkey"))
+    met = matching.distinct_rows(lines.select(F.col("l_suppkey").alias("unitid"), (x * len(_ASCII) + y).alias("xy")), lines.count())
+    left, right = t.select(F.col("k").alias("x"), F.col("title").alias("left")), t.select(F.col("k").alias("y"), F.col("title").alias("right"))
+    pairs = met.join(left, F.floor(F.col("xy") / len(_ASCII)) == F.col("x")).join(right, F.col("xy") % len(_ASCII) == F.col("y")).select("unitid", "left", "right")
+    return matching.scored_pairs(pairs, "left", "right", synonyms=False).select("unitid", "left", "right", "overlap")
 
 
 #: Titles of two sources, and the pairs they make: left, right, score.

@@ -3,10 +3,11 @@
 import os
 import random
 
+import duckdb
 import pytest
 
 from almanack.operators import matching
-from almanack.plans import golden, inventory_queries
+from almanack.plans import golden, inventory_queries, match_queries, registry
 
 D = "/root/testdata/sf0.001"
 
@@ -43,3 +44,20 @@ def test_missing_titles_stay(spark):
     rows = spark.createDataFrame([(1, "crawl", None), (2, "crawl", "Ethnic Studies"), (3, "crawl", None)], "p int, source string, raw_title string")
     got = inventory_queries._with_classes(rows).orderBy("p").collect()
     assert [(r["p"], r["raw_title"], r["title_kind"]) for r in got] == [(1, None, "junk"), (2, "Ethnic Studies", "program"), (3, None, "junk")]
+
+
+def test_titles_that_are_equal_have_one_number(spark, tmp_path):
+    """What a task holds doesn't grow with the table: nothing is made distinct where lines are read, and no task gets more than its share."""
+    rows = spark.range(3000).selectExpr("id % 7 as l_suppkey", "id * 5 as l_partkey", "id * 3 as l_orderkey").union(spark.sql("select null, 1L, 2L union all select 1L, null, 2L union all select 1L, -1L, 2L"))
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = match_queries.token_overlap(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, con.execute(registry.SQL["token_overlap"]).fetchall()))
+    assert "REPARTITION_BY_NUM" in _plan(got)
+
+
+def test_distinct_rows_are_dealt_by_their_number(spark):
+    rows = spark.range(40).selectExpr("id % 7 as k")
+    assert sorted(r["k"] for r in matching.distinct_rows(rows, 40).collect()) == list(range(7))
+    assert ", 100), REPARTITION_BY_NUM" in _plan(matching.distinct_rows(rows, 100 * matching.TASK_ROWS))
