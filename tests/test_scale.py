@@ -4,10 +4,13 @@ import os
 import random
 
 import duckdb
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from almanack.operators import matching
 from almanack.plans import golden, inventory_queries, match_queries, registry
+from almanack.sources import html
 
 D = "/root/testdata/sf0.001"
 
@@ -61,3 +64,12 @@ def test_distinct_rows_are_dealt_by_their_number(spark):
     rows = spark.range(40).selectExpr("id % 7 as k")
     assert sorted(r["k"] for r in matching.distinct_rows(rows, 40).collect()) == list(range(7))
     assert ", 100), REPARTITION_BY_NUM" in _plan(matching.distinct_rows(rows, 100 * matching.TASK_ROWS))
+
+
+def test_pages_are_parsed_in_lots(spark):
+    sources = ["<h1>a</h1>" + "x" * html.LOT, None, "<h1>b</h1>", "<h1>c</h1>" + "x" * html.LOT, "<h1>d</h1>"]
+    lots = list(html._pages(iter([(pd.Series(sources), pd.Series(["https://a.edu/"] * 5))])))
+    assert [x["h1"].tolist() for x in lots] == [["a"], ["", "b", "c"], ["d"]]
+    rows = spark.createDataFrame(list(enumerate(sources)), "i int, html string").coalesce(1).withColumn("url", F.lit("https://a.edu/"))
+    assert [r["h1"] for r in html.parse_pages(rows).select("i", "page.h1").orderBy("i").collect()] == ["a", "", "b", "c", "d"]
+    assert html.parse_pages(rows.where("i > 9")).count() == 0
