@@ -138,21 +138,23 @@ def _borrowed() -> np.ndarray:
     return np.stack([rng.permutation(BINS) for _ in range(BINS)])
 
 
-_ASKED = _borrowed()
+_ASKED = np.ascontiguousarray(_borrowed().T)
 
 
 def _filled(some: np.ndarray) -> np.ndarray:
     """Signatures in which an empty bin takes the value of the first that isn't, in an order of its own."""
-    row, bin_ = np.nonzero(some == _EMPTY)
-    out = some.copy()
-    for turn in range(BINS):
-        found = some[row, _ASKED[bin_, turn]]
-        got = found != _EMPTY
-        out[row[got], bin_[got]] = found[got]
-        row, bin_ = row[~got], bin_[~got]
-        if not len(row):
+    flat = some.ravel()
+    out, at = flat.copy(), np.flatnonzero(flat == _EMPTY)
+    bin_ = at % BINS
+    row = at - bin_
+    for asked in _ASKED:
+        found = flat.take(row + asked.take(bin_))
+        empty = found == _EMPTY
+        out[at] = found  # what is still empty is asked again
+        at, bin_, row = at.compress(empty), bin_.compress(empty), row.compress(empty)
+        if not len(at):
             break
-    return out
+    return out.reshape(some.shape)
 
 
 def signatures(lines: list[str]) -> np.ndarray:
@@ -210,9 +212,14 @@ def bands(some: np.ndarray) -> np.ndarray:
 
 def _tiny_keys(hashes: np.ndarray, owner: np.ndarray, few: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Exact keys of the lines ``few``, by line: the sum of the set's hashes, and the sums without one of them."""
-    inside = np.isin(owner, few)
-    pairs = np.unique(np.stack((owner[inside].astype(_U), hashes[inside]), 1), axis=0)
-    of, h = pairs[:, 0].astype(np.int64), pairs[:, 1]
+    asked = np.zeros(int(owner[-1]) + 1, bool)
+    asked[few] = True
+    inside = asked[owner]
+    of, h = owner[inside], hashes[inside]
+    order = np.lexsort((h, of))
+    of, h = of[order], h[order]
+    once = np.concatenate(([True], (of[1:] != of[:-1]) | (h[1:] != h[:-1])))
+    of, h = of[once], h[once]
     size = np.bincount(of, minlength=int(few.max()) + 1)
     keep = size[of] <= TINY
     of, h = of[keep], h[keep]
