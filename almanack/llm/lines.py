@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import hashing as H
@@ -62,7 +62,9 @@ BLANK = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u
 SLICE = 1 << 16
 _U = np.uint64
 _BASE = _U(0x2127599BF4325C37)
+_BASE_2 = _U(0x2127599BF4325C37**2 % (1 << 64))
 _TOP = _U(0xD6E8FEB86659FD93)
+_BAND_FACTORS = H.mix(np.arange(1, BAND + 1, dtype=_U)) | _U(1)
 _EMPTY = _U(0xFFFFFFFFFFFFFFFF)
 
 
@@ -104,24 +106,30 @@ def _runs(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the runs of ``RUN`` characters of each line and the lines they are of; a shorter line is one run."""
     sizes = np.array([len(x) for x in lines])
     chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4")
-    counts = np.maximum(sizes - RUN + 1, 1)
+    n, counts = len(chars), np.maximum(sizes - RUN + 1, 1)
     owner = np.repeat(np.arange(len(lines)), counts)
-    padded = np.zeros(len(chars) + RUN, _U)
-    padded[: len(chars)] = chars
-    padded += _U(1)
-    h = padded[: len(chars)].copy()
+    padded = np.ones(n + RUN, _U)
+    padded[:n] += chars
+    # a polynomial of five characters, from those of two
+    two = padded[:-1] * _BASE
+    two += padded[1:]
+    h = two[:n] * _BASE_2
+    h += two[2 : n + 2]
+    h *= _BASE
+    h += padded[4 : n + 4]
+    # no run starts at a line's last characters
+    ends, starts, keep = np.cumsum(sizes), np.cumsum(counts) - counts, np.ones(n, bool)
     for k in range(1, RUN):
-        h *= _BASE
-        h += padded[k : k + len(chars)]
-    first, starts = np.cumsum(sizes) - sizes, np.cumsum(counts) - counts
-    hashes = h[np.arange(len(owner)) + np.repeat(first - starts, counts)]
+        keep[ends[sizes > k] - k] = False
+    hashes = h[keep]
     short = np.flatnonzero(sizes < RUN)
     if len(short):
         hashes[starts[short]] = [hash_short(lines[i]) for i in short.tolist()]
     # high bits name a bin, low bits are its value: both depend on all characters
-    hashes ^= hashes >> _U(29)
+    spare = np.right_shift(hashes, _U(29), out=h[: len(hashes)])
+    hashes ^= spare
     hashes *= _TOP
-    hashes ^= hashes >> _U(32)
+    hashes ^= np.right_shift(hashes, _U(32), out=spare)
     return hashes, owner
 
 
@@ -159,31 +167,44 @@ def _filled(some: np.ndarray) -> np.ndarray:
 
 def signatures(lines: list[str]) -> np.ndarray:
     """The least hash of each line's runs in each of ``BINS`` bins."""
-    return np.concatenate([np.zeros((0, BINS), _U), *(_signed(*_runs(lines[low:high]), high - low)[0] for low, high in _slices(lines))])
+    some = np.full((len(lines), BINS), _EMPTY, _U)
+    for low, high in _slices(lines):
+        _sign(*_runs(lines[low:high]), some[low:high])
+    return _complete(some)[0]
+
+
+def _sign(hashes: np.ndarray, owner: np.ndarray, out: np.ndarray) -> None:
+    """The least hash of each bin into ``out``."""
+    bins = hashes >> _U(32)
+    bins *= _U(BINS)
+    bins >>= _U(32)
+    at = owner * BINS
+    at += bins.view(np.int64)
+    np.minimum.at(out.reshape(-1), at, np.bitwise_and(hashes, _U(0xFFFFFFFF), out=bins))
+
+
+def _own(some: np.ndarray) -> np.ndarray:
+    return np.count_nonzero(some != _EMPTY, axis=1)
 
 
-def _signed(hashes: np.ndarray, owner: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures, and how many bins of each are not borrowed."""
-    out = np.full((m, BINS), _EMPTY, _U)
-    bins = ((hashes >> _U(32)) * _U(BINS)) >> _U(32)
-    np.minimum.at(out.reshape(-1), owner * BINS + bins.astype(np.int64), hashes & _U(0xFFFFFFFF))
-    own = (out != _EMPTY).sum(axis=1)
+def _complete(some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures with their empty bins filled, and how many bins of each are not borrowed."""
+    own = _own(some)
     gaps = np.flatnonzero(own < BINS)
-    out[gaps] = _filled(out[gaps])
-    return out, own
+    some[gaps] = _filled(some[gaps])
+    return some, own
 
 
 def sketches(hashes: np.ndarray, owner: np.ndarray, some: np.ndarray, own: np.ndarray) -> np.ndarray:
     """128 bits of each line: two of each bin of a signature with ``OWN`` bins of its own, else which of 128 cells its runs fall in.
 
-    Cells differ in no more places than sets in runs, so what they tell apart does not link for certain.
+    Of lines of the second kind ``hashes`` has the runs, and ``owner`` whose they are.  Cells differ in no more places than sets in runs, so what they tell apart does not link for certain.
     """
-    m = len(some)
-    cells = np.zeros((m, 128), bool)
-    cells.reshape(-1)[owner * 128 + (hashes & _U(127)).astype(np.int64)] = True
+    cells = np.zeros((len(some), 128), bool)
+    cells.reshape(-1)[owner * 128 + (hashes & _U(127)).view(np.int64)] = True
     out = np.packbits(cells, axis=1)
     full = np.flatnonzero(own >= OWN)
-    two = (H.mix(some[full, :SKETCHED]) & _U(3)).astype(np.uint8).reshape(len(full), SKETCHED // 4, 4)
+    two = (some[full, :SKETCHED] & _U(3)).astype(np.uint8).reshape(len(full), SKETCHED // 4, 4)
     out[full] = (two << np.array([0, 2, 4, 6], np.uint8)).sum(axis=2, dtype=np.uint8)
     return out.view(_U)
 
@@ -204,10 +225,11 @@ def may_link(x: np.ndarray, y: np.ndarray, runs_x: np.ndarray, runs_y: np.ndarra
 def bands(some: np.ndarray) -> np.ndarray:
     """One 64-bit key for each ``BAND`` bins of each signature."""
     parts = some.reshape(len(some), BINS // BAND, BAND)
-    key = np.broadcast_to(np.arange(1, BINS // BAND + 1, dtype=_U), parts.shape[:2])
-    for k in range(BAND):
-        key = H.mix(key * _BASE + parts[:, :, k])
-    return key
+    key = parts[:, :, 0] * _BAND_FACTORS[0]
+    for k in range(1, BAND):
+        key += parts[:, :, k] * _BAND_FACTORS[k]
+    # one factor for each place, all odd: bands that differ in one bin never have the same sum
+    return H.mix(key + np.arange(1, BINS // BAND + 1, dtype=_U) * _TOP)
 
 
 def _tiny_keys(hashes: np.ndarray, owner: np.ndarray, few: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -236,24 +258,30 @@ def _tiny_keys(hashes: np.ndarray, owner: np.ndarray, few: np.ndarray) -> tuple[
 
 def meeting_keys(lines: list[str], sketched: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Keys by which the lines meet others, one line after the other, their offsets, and if asked for sketches and numbers of runs (negative: the sketch is of the signature)."""
-    keys, counts, sketch, runs = [np.zeros(0, _U)], [np.zeros(0, np.int64)], [np.zeros((0, 2), _U)], [np.zeros(0, np.int64)]
+    m = len(lines)
+    some, n = np.full((m, BINS), _EMPTY, _U), np.maximum(np.array([len(x) for x in lines], np.int64) - RUN + 1, 1)
+    tiny, whose, held = [], [], []
     for low, high in _slices(lines):
-        m = high - low
         hashes, owner = _runs(lines[low:high])
-        some, own = _signed(hashes, owner, m)
-        key, whose = bands(some).ravel(), np.repeat(np.arange(m), BINS // BAND)
-        n = np.bincount(owner, minlength=m)
-        few = np.flatnonzero(n <= 2 * TINY)
+        _sign(hashes, owner, some[low:high])
+        few = np.flatnonzero(n[low:high] <= 2 * TINY)
         if len(few):
             more, of = _tiny_keys(hashes, owner, few)
-            order = np.argsort(np.concatenate((whose, of)), kind="stable")
-            key, whose = np.concatenate((key, more))[order], np.concatenate((whose, of))[order]
-        keys.append(key)
-        counts.append(np.bincount(whose, minlength=m))
+            tiny.append(more)
+            whose.append(of + low)
         if sketched:
-            sketch.append(sketches(hashes, owner, some, own))
-            runs.append(np.where(own >= OWN, -n, n))
-    return np.concatenate(keys), np.concatenate(([0], np.cumsum(np.concatenate(counts)))), np.concatenate(sketch), np.concatenate(runs)
+            inside = np.repeat(_own(some[low:high]) < OWN, n[low:high])
+            held.append((hashes[inside], owner[inside] + low))
+    some, own = _complete(some)
+    key, counts = bands(some).ravel(), np.full(m, BINS // BAND)
+    if tiny:
+        of = np.concatenate((np.repeat(np.arange(m), BINS // BAND), *whose))
+        key, counts = np.concatenate((key, *tiny))[np.argsort(of, kind="stable")], np.bincount(of, minlength=m)
+    ends = np.concatenate(([0], np.cumsum(counts)))
+    if not sketched or not m:
+        return key, ends, np.zeros((0, 2), _U), np.zeros(0, np.int64)
+    hashes, owner = (np.concatenate(x) for x in zip(*held))
+    return key, ends, sketches(hashes, owner, some, own), np.where(own >= OWN, -n, n)
 
 
 _LINE = "key long, id string, number int, line long, check long, n int, runs int, k0 long, k1 long, keys array<long>"
@@ -299,11 +327,18 @@ def _fetch(bits):
                 where = where[np.unique(h[where], return_index=True)[1]]
                 if len(where):
                     lines = [lines[i] for i in where.tolist()]
-                    yield pd.DataFrame({"node": h[where], "n": np.array([len(s) for s in _sets(lines)], np.int32), "text": lines})
+                    yield pd.DataFrame({"node": h[where], "n": np.array([max(1, len(x) - RUN + 1) for x in lines], np.int32), "text": lines})
 
     return run
 
 
+@trimmed
+def _distinct(batches):
+    """``n``, the number of runs, becomes that of distinct ones."""
+    for pdf in batches:
+        yield pd.DataFrame({"node": pdf["node"], "n": np.array([len(s) for s in _sets(pdf["text"].tolist())], np.int32)})
+
+
 def _sets(lines: list[str]) -> list[np.ndarray]:
     out = []
     for low, high in _slices(lines):
@@ -416,9 +451,10 @@ def _send(bits: int):
 
     def packed(keys: list[np.ndarray], holders: list[np.ndarray]):
         short = np.concatenate(keys)
-        order = np.argsort(short)
+        bucket = (short >> _U(40)).astype(np.int32)
+        order = np.argsort(bucket.astype(np.uint16), kind="stable") if bits <= 16 else np.argsort(bucket)  # by radix
         low = ((short << _U(24)) | (np.concatenate(holders).view(_U) & _U(0xFFFFFF)))[order]
-        bucket = (short[order] >> _U(40)).astype(np.int32)
+        bucket = bucket[order]
         first = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1))
         return pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array([low[a:b].tobytes() for a, b in zip(first, [*first[1:], len(low)])], pa.binary())], ["bucket", "packed"])
 
@@ -445,9 +481,12 @@ def _send(bits: int):
 
 def _count(pdf: pd.DataFrame) -> pd.DataFrame:
     """Keys of a bucket that several hold, and how many."""
-    held = np.unique(np.frombuffer(b"".join(pdf["packed"]), _U))
-    key, times = np.unique(held >> _U(24), return_counts=True)
-    key, times = key[times > 1], times[times > 1]
+    held = np.frombuffer(b"".join(pdf["packed"]), _U).copy()
+    held.sort()
+    key = held[np.concatenate(([True], held[1:] != held[:-1]))] >> _U(24)
+    first = np.concatenate(([0], np.flatnonzero(key[1:] != key[:-1]) + 1))
+    times = np.diff(first, append=len(key))
+    key, times = key[first[times > 1]], times[times > 1]
     return pd.DataFrame({"band": (key | (_U(pdf["bucket"].iloc[0]) << _U(40))).view(np.int64), "times": times})
 
 
@@ -518,8 +557,11 @@ def candidate_edges(met: DataFrame, percent: int) -> DataFrame:
     own = met.withColumn("cells", cells).withColumn("own", F.pmod(F.xxhash64("line"), F.col("cells")).cast("int"))
     dealt = F.transform(F.sequence(F.lit(0), F.col("cells") - 1), lambda k: F.struct(
         F.least("own", k).alias("low"), F.greatest("own", k).alias("high"), F.when(k == F.col("own"), -1).when(F.col("own") < k, 0).otherwise(1).alias("cell")))
-    rows = own.select("band", "line", "runs", "k0", "k1", F.inline(dealt))
+    held = ["band", "line", "runs", "k0", "k1"]
     tasks = max(1, -(-met.count() // MEET_ROWS))
+    # most keys have one cell, and need no list of pairs
+    few = own.where(F.col("times").isNull() | (F.col("times") <= MEET)).select(*held, F.lit(0).alias("low"), F.lit(0).alias("high"), F.lit(-1).alias("cell"))
+    rows = few.unionByName(own.where(F.col("times") > MEET).select(*held, F.inline(dealt)))
     rows = rows.withColumn("task", F.when(F.col("high") > 0, F.xxhash64("band", "low", "high")).otherwise(F.pmod(F.xxhash64("band"), F.lit(tasks))))
     return rows.groupBy("task").applyInPandas(_near(percent), "a long, b long").distinct()
 
@@ -532,9 +574,12 @@ def line_links(docs: DataFrame, met: DataFrame, percent: int = PERCENT) -> DataF
     sets = settle(sets.join(blocks, "node").dropDuplicates(["node"]), "sets")
     # blocks that don't fit a task are left for the keys that made them
     too_large = settle(sets.groupBy("block").agg(F.sum("n").alias("runs")).where(F.col("runs") > TASK_RUNS).select("block"), "large")
-    large = sets.select("node", "block", "n").join(too_large, "block", "left_semi")
-    by_key = met.select("band", F.col("line").alias("node")).distinct().join(large.select("node", "n"), "node").select("node", F.col("band").alias("block"), "n")
-    members = sets.select("node", "block", "n").join(too_large, "block", "left_anti").unionByName(by_key)
+    members = sets.select("node", "block", "n")
+    if not too_large.isEmpty():
+        # cells of large blocks go by sizes of sets
+        large = sets.join(too_large, "block", "left_semi").select("node", "text").mapInPandas(_distinct, "node long, n int")
+        by_key = met.select("band", F.col("line").alias("node")).join(large, "node").select("node", F.col("band").alias("block"), "n").distinct()
+        members = members.join(too_large, "block", "left_anti").unionByName(by_key)
     tasks = block_tasks(settle(members.withColumn("weight", F.col("n").cast("long")), "members"), percent / 100, TASK_RUNS)
     return tasks.join(sets.select("node", "text"), "node").groupBy("task").applyInPandas(_compare(percent), "a long, b long")
 
@@ -567,20 +612,26 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return gone.groupBy("key", "id").agg(F.collect_set("number").alias("numbers"))
 
 
+def _place(id_: Column) -> Column:
+    """The id as text that is not null, another one for each."""
+    return F.coalesce(F.concat(F.lit("i"), id_), F.lit(""))
+
+
 def rewrite(docs: DataFrame, removed: DataFrame) -> DataFrame:
     """``row`` (all columns of ``docs``), ``text`` without the removed lines, ``n_lines`` and ``n_removed``.
 
     Equal rows (id and text) are one; texts that lost every line that is not blank are there, empty.
     """
-    keyed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")).withColumn("key", F.xxhash64("row.doc_id", "row.text")).withColumn("id", F.col("row.doc_id").cast("string"))
-    first = F.row_number().over(Window.partitionBy("key", "id").orderBy(F.xxhash64("row")))
-    once = keyed.withColumn("copy", first).where("copy = 1").select("row", "key", "id")
-    gone = removed.select(F.col("key").alias("k"), F.col("id").alias("i"), "numbers")
-    once = once.join(gone, (F.col("key") == F.col("k")) & F.col("id").eqNullSafe(F.col("i")), "left")
+    keyed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")).withColumn("key", F.xxhash64("row.doc_id", "row.text"))
+    keyed = keyed.withColumn("place", _place(F.col("row.doc_id").cast("string")))
+    first = F.row_number().over(Window.partitionBy("key", "place").orderBy(F.xxhash64("row")))
+    once = keyed.withColumn("copy", first).where("copy = 1").select("row", "key", "place")
+    # window and join deal rows by the same columns, so that texts are shuffled and sorted for both at once
+    once = once.join(removed.select("key", _place(F.col("id")).alias("place"), "numbers"), ["key", "place"], "left")
     once = once.select("row", "numbers", F.split("row.text", "\n").alias("lines"))
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "numbers")
     text = F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n")
-    filled = F.size(F.filter("lines", lambda x: F.btrim(x, F.lit(BLANK)) != ""))
+    filled = F.size(F.filter("lines", lambda x: F.ltrim(x, F.lit(BLANK)) != ""))
     counted = once.select("row", text.alias("left"), F.when(F.col("row.text").isNull(), 0).otherwise(filled).alias("n_lines"), F.coalesce(F.size("numbers"), F.lit(0)).alias("n_removed"))
     whole = (F.col("n_removed") > 0) & (F.col("n_removed") >= F.col("n_lines"))
     return counted.select("row", F.when(whole, "").when(F.col("n_removed") > 0, F.col("left")).otherwise(F.col("row.text")).alias("text"), "n_lines", "n_removed")
